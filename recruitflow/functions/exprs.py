@@ -162,3 +162,8 @@ def sales_score(price: Column, kind: Column, prev_kind: Column, previous_id: Col
         .otherwise(0)
         .cast("bigint")
     )
+
+
+def ntz_day(d: date) -> Column:
+    """Midnight of ``d`` as a ``TIMESTAMP_NTZ`` literal."""
+    return ntz(datetime.combine(d, datetime.min.time()))
