@@ -55,7 +55,8 @@ STANDIN: dict[str, tuple[tuple[str, ...], str]] = {
     "job_admin_info": ((), "SELECT p_partkey * 10 AS job_admin_info_id, p_partkey AS job_id FROM part"),
     "job_status_change_log": ((), """
         SELECT l_partkey * 10 AS job_admin_info_id,
-               CASE WHEN l_linestatus = 'O' THEN 'PUB' ELSE 'CLS' END AS job_status_cd,
+               CASE WHEN l_linestatus = 'O' AND l_shipdate >= TIMESTAMP '2000-06-01 00:00:00' THEN 'PUB'
+                    ELSE 'CLS' END AS job_status_cd,
                l_shipdate + to_hours(l_linenumber) AS ins_datetime
         FROM lineitem"""),
     "job_segment_info": ((), """

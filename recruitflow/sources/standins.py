@@ -98,7 +98,8 @@ def build(base: dict[str, DataFrame]) -> Tables:
     line_ts = F.col("l_shipdate") + _hours(F.col("l_linenumber"))
     t["job_status_change_log"] = li.select(
         (F.col("l_partkey") * 10).alias("job_admin_info_id"),
-        F.when(F.col("l_linestatus") == "O", "PUB").otherwise("CLS").alias("job_status_cd"),
+        F.when((F.col("l_linestatus") == "O") & (F.col("l_shipdate") >= F.lit("2000-06-01 00:00:00").cast("timestamp_ntz")),
+               "PUB").otherwise("CLS").alias("job_status_cd"),
         line_ts.alias("ins_datetime"))
     t["job_segment_info"] = li.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("job_segment_id"), F.col("l_partkey").alias("job_id"),
