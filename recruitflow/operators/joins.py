@@ -19,8 +19,16 @@ def checked_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFra
     it then joins by shuffle (and AQE may still broadcast it at runtime
     from measured sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (id(df), max_rows)
+    hit = _CHECKED.get(key)
+    if hit is None or hit[0] is not df:
+        hit = (df, df.limit(max_rows + 1).count() <= max_rows)
+        _CHECKED[key] = hit
+    return F.broadcast(df) if hit[1] else df
+
+
+# Size proofs already made, per DataFrame object (frames are immutable plans).
+_CHECKED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
 
 
 def lookup(fact: DataFrame, dim: DataFrame, left_key: str, right_key: str, how: str = "left",

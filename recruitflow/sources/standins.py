@@ -289,6 +289,26 @@ def load_base(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in BASE_TABLES}
 
 
+_CACHE: dict[tuple[str, str], Tables] = {}
+
+
 def standin_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """All 35 recruiting sources, derived from the test tables in ``sf_dir``."""
-    return build(load_base(spark, sf_dir))
+    """All 35 recruiting sources, derived from the test tables in ``sf_dir``.
+
+    The lazy plans are built once per (session, folder) and shared by
+    every query; nothing is computed or cached in memory by this.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _CACHE:
+        _CACHE[key] = build(load_base(spark, sf_dir))
+    return _CACHE[key]
+
+
+def write_standins(spark: SparkSession, sf_dir: str, out_dir: str) -> Tables:
+    """Materialise the 35 stand-in tables as Parquet under ``out_dir`` and
+    return them read back with their declared schemas (the production
+    shape of the sources: stored tables, scanned with pushdown)."""
+    t = standin_tables(spark, sf_dir)
+    for name, df in t.items():
+        df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}")
+    return Tables.from_parquet(spark, out_dir)
