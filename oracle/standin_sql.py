@@ -217,9 +217,12 @@ STANDIN: dict[str, tuple[tuple[str, ...], str]] = {
                o_orderpriority AS product_name,
                CASE WHEN o_orderstatus = 'P' THEN 'OPT' ELSE 'MAI' END AS product_category_cd,
                CASE WHEN o_totalprice < 20000 THEN 'Y' ELSE 'N' END AS del_flg,
-               CAST(o_orderdate AS DATE) AS valid_from_date,
+               CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'O' THEN NULL
+                    ELSE CAST(o_orderdate AS DATE) END AS valid_from_date,
                CAST(o_orderdate AS DATE) + CAST({PR} AS INTEGER) * 30 AS valid_to_date,
-               o_orderdate AS ins_datetime, o_orderdate + INTERVAL 1 DAY AS upd_datetime
+               CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'O' THEN NULL
+                    ELSE o_orderdate END AS ins_datetime,
+               o_orderdate + INTERVAL 1 DAY AS upd_datetime
         FROM orders"""),
     "analytical_company_daily_data": ((), "SELECT CAST(o_orderdate AS DATE) AS target_date FROM orders"),
     "hassei_sales": ((), f"""

@@ -55,8 +55,9 @@ def day_sequence(lo: Column, hi: Column) -> Column:
 def explode_days(df: DataFrame, lo: str, hi: str, out: str, clip_lo: date | None = None,
                  clip_hi: date | None = None) -> DataFrame:
     """One row per day of ``[lo, hi]`` (dates), clipped to ``[clip_lo, clip_hi]``."""
-    a = F.col(lo) if clip_lo is None else F.greatest(F.col(lo), F.lit(clip_lo))
-    b = F.col(hi) if clip_hi is None else F.least(F.col(hi), F.lit(clip_hi))
+    # greatest/least skip NULLs: a NULL bound must stay NULL (no days), not become the clip
+    a = F.col(lo) if clip_lo is None else F.when(F.col(lo).isNotNull(), F.greatest(F.col(lo), F.lit(clip_lo)))
+    b = F.col(hi) if clip_hi is None else F.when(F.col(hi).isNotNull(), F.least(F.col(hi), F.lit(clip_hi)))
     return df.withColumn(out, F.explode(day_sequence(a, b)))
 
 

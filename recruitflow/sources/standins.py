@@ -264,8 +264,12 @@ def build(base: dict[str, DataFrame]) -> Tables:
         pr.alias("product_cd"), F.col("o_orderpriority").alias("product_name"),
         F.when(st == "P", "OPT").otherwise("MAI").alias("product_category_cd"),
         F.when(F.col("o_totalprice") < 20000, "Y").otherwise("N").alias("del_flg"),
-        od.alias("valid_from_date"), F.date_add(od, pr.cast("int") * 30).alias("valid_to_date"),
-        F.col("o_orderdate").alias("ins_datetime"), (F.col("o_orderdate") + _days(1)).alias("upd_datetime"))
+        F.when((F.col("o_orderpriority") == "5-LOW") & (st == "O"), F.lit(None).cast("date")).otherwise(od)
+        .alias("valid_from_date"),
+        F.date_add(od, pr.cast("int") * 30).alias("valid_to_date"),
+        F.when((F.col("o_orderpriority") == "4-NOT SPECIFIED") & (st == "O"), F.lit(None).cast("timestamp_ntz"))
+        .otherwise(F.col("o_orderdate")).alias("ins_datetime"),
+        (F.col("o_orderdate") + _days(1)).alias("upd_datetime"))
     t["analytical_company_daily_data"] = o.select(od.alias("target_date"))
     price = F.col("o_totalprice")
     t["hassei_sales"] = o.select(
