@@ -2,6 +2,8 @@
 
 from oracle.mart_sql import sql_for
 
+from oracle.mart_sql import IND
+
 SQL: dict[str, str] = {
     "route_info": sql_for("m1_cp"),
     "clean_contracts": sql_for("m3_con", "SELECT * EXCLUDE (rn) FROM m3_con WHERE rn = 1"),
@@ -45,4 +47,25 @@ SQL: dict[str, str] = {
         SELECT date_trunc('month', CAST(act_date AS DATE))::DATE AS act_month, act_type,
                count(DISTINCT candidate_id) AS n_actions
         FROM m1 GROUP BY 1, 2"""),
+    "company_applied": sql_for("m4_apl"),
+    "company_hs": sql_for("m4_hs"),
+    "company_offers": sql_for("m4_offer"),
+    "company_decisions": sql_for("m4_dec"),
+    "fixed_logins": sql_for("m5_login"),
+    "fixed_interest": sql_for("m5_flw"),
+    "fixed_scouts": sql_for("m5_ps"),
+    "fixed_interviews": sql_for("m5_iv"),
+    "fixed_decisions": sql_for("m5_dec"),
+    "company_dims": sql_for("m3_con", f"""
+        SELECT rc.recruiter_company_id, rc.company_name, rc.company_type_cd, a.area_name,
+               {IND('b.business_type_group_cd')} AS business_group_name, b.business_type_name
+        FROM recruiter_company rc LEFT JOIN mst_area a ON rc.area_cd = a.mst_area_cd
+        LEFT JOIN mst_business_type b ON rc.business_type_cd = b.business_type_cd"""),
+    "repeated_candidates": sql_for("m2", """
+        SELECT c_candidate_id, count(*) AS n_rows FROM m2 GROUP BY c_candidate_id HAVING count(*) > 1"""),
+    "contract_overlaps": sql_for("m4", """
+        SELECT act_type, act_id, act_date, recruiter_company_id, job_id, count(DISTINCT b_contract_id) AS n_contracts
+        FROM m4 WHERE b_contract_id IS NOT NULL
+        GROUP BY act_type, act_id, act_date, recruiter_company_id, job_id
+        HAVING count(DISTINCT b_contract_id) > 1"""),
 }

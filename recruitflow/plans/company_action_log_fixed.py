@@ -139,19 +139,32 @@ def approved_sales(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
     return to_schema(out, SCHEMA, act_type=ACT["sales"])
 
 
+def applied(cp: DataFrame) -> DataFrame:
+    return _cohort(cp, F.col("apply_date"), ACT["apply"])
+
+
+def status_branch(cp: DataFrame, t: Tables, statuses, label: str) -> DataFrame:
+    return _cohort(applications.status_events(cp, t, statuses), F.to_date("status_tm"), label)
+
+
+def interviews(cp: DataFrame, p: Params) -> DataFrame:
+    """First-interview date from the JSON; no window beyond the cohort's."""
+    iv = exprs.interview_set_date("candidate_progress_data_json", p.tz)
+    return _cohort(cp.where(exprs.has_interview_set("candidate_progress_data_json")), iv, ACT["interview"])
+
+
 def company_action_log_fixed(t: Tables, p: Params) -> DataFrame:
     cp = reuse(applications_since(t, p))
-    iv = exprs.interview_set_date("candidate_progress_data_json", p.tz)
     return union_log([
         publications(t, p),
         login_days(t, p),
         interest_clicks(t, p),
         scout_mails(t, p),
         scout_replies(t, p),
-        _cohort(cp, F.col("apply_date"), ACT["apply"]),
-        _cohort(applications.status_events(cp, t, codes.STATUS_HS_COMPANY), F.to_date("status_tm"), ACT["hs"]),
-        _cohort(cp.where(exprs.has_interview_set("candidate_progress_data_json")), iv, ACT["interview"]),
-        _cohort(applications.status_events(cp, t, codes.STATUS_OFFER), F.to_date("status_tm"), ACT["offer"]),
+        applied(cp),
+        status_branch(cp, t, codes.STATUS_HS_COMPANY, ACT["hs"]),
+        interviews(cp, p),
+        status_branch(cp, t, codes.STATUS_OFFER, ACT["offer"]),
         decisions(cp, t, p),
         approved_sales(cp, t, p),
     ])

@@ -34,6 +34,13 @@ checked against the oracle separately:
   resume_education      de-duplicated first education rows
   company_funnel        distinct actions per month and type (company log)
   candidate_funnel      distinct candidates per month and type (candidate log)
+  company_applied / company_hs / company_offers / company_decisions
+                        company-log application branches (C-7, C-8, C-10, C-11)
+  fixed_logins / fixed_interest / fixed_scouts / fixed_interviews / fixed_decisions
+                        fixed-start log branches (D-1, D-2, D-3, D-7, D-9)
+  company_dims          companies with area and industry group (no fallback)
+  repeated_candidates   quality: candidates fanned out by resume children
+  contract_overlaps     quality: actions meeting more than one contract
 """
 
 from __future__ import annotations
@@ -46,6 +53,8 @@ from recruitflow.plans import candidate_action_log as m1
 from recruitflow.plans import candidate_basic_info as m2
 from recruitflow.plans import company_action_log as m4
 from recruitflow.plans import company_action_log_fixed as m5
+from recruitflow.operators.contracts import company_dims
+from recruitflow.plans import quality
 from recruitflow.plans.company_info import clean_contracts
 from recruitflow.plans.standin_queries import STANDIN_PARAMS as P
 from recruitflow.sources.standins import standin_tables
@@ -101,4 +110,18 @@ QUERIES = {
     "resume_education": _q(lambda t: m2.education_rows(t)),
     "company_funnel": _q(lambda t: funnel_counts(m4.company_action_log(t, P), ["act_type"], "act_id")),
     "candidate_funnel": _q(lambda t: funnel_counts(m1.candidate_action_log(t, P), ["act_type"], "candidate_id")),
+    "company_applied": _q(lambda t: m4.applied(m4.crs_applications(t, P), P)),
+    "company_hs": _q(lambda t: m4.status_branch(m4.crs_applications(t, P), t, P, codes.STATUS_HS_COMPANY,
+                                                m4.ACT["hs"])),
+    "company_offers": _q(lambda t: m4.status_branch(m4.crs_applications(t, P), t, P, codes.STATUS_OFFER,
+                                                    m4.ACT["offer"])),
+    "company_decisions": _q(lambda t: m4.decisions(m4.crs_applications(t, P), t, P)),
+    "fixed_logins": _q(lambda t: m5.login_days(t, P)),
+    "fixed_interest": _q(lambda t: m5.interest_clicks(t, P)),
+    "fixed_scouts": _q(lambda t: m5.scout_mails(t, P)),
+    "fixed_interviews": _q(lambda t: m5.interviews(m5.applications_since(t, P), P)),
+    "fixed_decisions": _q(lambda t: m5.decisions(m5.applications_since(t, P), t, P)),
+    "company_dims": _q(lambda t: company_dims(t, group_fallback_to_name=False)),
+    "repeated_candidates": _q(lambda t: quality.repeated_candidates(m2.candidate_basic_info(t, P))),
+    "contract_overlaps": _q(lambda t: quality.overlapping_contract_actions(m4.company_action_log(t, P))),
 }

@@ -30,12 +30,26 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, checkpoint
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the cluster, if any."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        d = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 - conf service unavailable
+        d = None
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+            d = None
     return d or None
 
 
+def session_key(spark: SparkSession) -> str:
+    """A stable id of the running application (for per-session memos)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
+        return f"session-{id(spark)}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Use the configured checkpoint folder; set one only where it is unset
     (local tests / bench: a fresh folder under the system temp dir)."""
@@ -57,7 +71,10 @@ def reuse(df: DataFrame) -> DataFrame:
     otherwise it is left to Catalyst, which recomputes it per consumer.
     """
     if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
+        try:
+            return df.checkpoint(eager=True)
+        except Exception:  # noqa: BLE001 - checkpointing unsupported here: recompute instead
+            return df
     return df
 
 

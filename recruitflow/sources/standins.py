@@ -22,6 +22,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recruitflow.session import session_key
 from recruitflow.sources.tables import SOURCE_SCHEMAS, Tables
 
 EVENT_SHIFT = "INTERVAL 23 YEARS"
@@ -302,7 +303,7 @@ def standin_tables(spark: SparkSession, sf_dir: str) -> Tables:
     The lazy plans are built once per (session, folder) and shared by
     every query; nothing is computed or cached in memory by this.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _CACHE:
         _CACHE[key] = build(load_base(spark, sf_dir))
     return _CACHE[key]
