@@ -8,7 +8,8 @@
    sources, each fully executed into a no-op sink (nothing collected).
 
 ``local[$BENCH_CPUS]`` (default 8).  Prints one JSON line; ``value`` is
-the sum of all timed steps.
+the sum of the mart timings; the stand-in build is reported as
+``setup_sec``.
 """
 
 from __future__ import annotations
@@ -53,10 +54,10 @@ def main() -> None:
     warm = write_standins(spark, "/root/testdata/sf0.001", os.path.join(scratch, "warm"))
     company_info(warm, P).write.format("noop").mode("overwrite").save()
 
-    times: dict[str, float] = {}
     t0 = time.perf_counter()
     tables = write_standins(spark, sf_dir, os.path.join(scratch, "sources"))
-    times["standin_build"] = round(time.perf_counter() - t0, 3)
+    setup = round(time.perf_counter() - t0, 3)
+    times: dict[str, float] = {}
     for name, fn in HEADLINE.items():
         t0 = time.perf_counter()
         fn(tables, P).write.format("noop").mode("overwrite").save()
@@ -64,7 +65,7 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-                      "cpus": cpus}))
+                      "cpus": cpus, "setup_sec": setup}))
 
 
 if __name__ == "__main__":

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The report definitions are batch queries relative to "now" (a parameter)
+or to a fixed start date; none has a stream, watermark, session window or
+per-key state.  A streaming rewrite would change their meaning, so no
+streaming operator is provided.  Refreshing a log is a batch re-run whose
+output replaces only the months it covers (``sources.sinks.write_log``
+with dynamic partition overwrite).
+"""
