@@ -61,19 +61,37 @@ def explode_days(df: DataFrame, lo: str, hi: str, out: str, clip_lo: date | None
     return df.withColumn(out, F.explode(day_sequence(a, b)))
 
 
+# Interval sides up to this many rows are broadcast (checked by a bounded count).
+INTERVALS_BROADCAST_MAX_ROWS = 1_000_000
+
+
 def interval_left_join(left: DataFrame, right: DataFrame, key: str, right_key: str, at: str,
-                       start: str, end: str, clip_lo: date | None = None) -> DataFrame:
+                       start: str, end: str, clip_lo: date | None = None,
+                       broadcast_max_rows: int | None = None) -> DataFrame:
     """``left ⟕ right`` on ``key`` and ``start <= at <= end`` (inclusive).
 
     ``start``/``end`` are dates of ``right``; ``at`` is a date or
-    timestamp of ``left``.  Every match lies on one calendar day of the
-    interval, so the join runs as an equi join on ``(key, day)`` with the
-    original range test as residual.  That spreads a hot key (one company
-    holding a third of all actions) over the days of its intervals
-    instead of sending it to one task, and keeps every match: a left row
-    meets each overlapping interval once.  ``clip_lo`` (a bound every
-    ``at`` is known to respect) trims days that cannot match.
+    timestamp of ``left``.  Two exact plans, chosen by the proven size of
+    the interval side:
+
+    * small (<= ``broadcast_max_rows`` rows, bounded count): broadcast
+      hash join on ``key`` with the range test as residual — the large
+      left side is not shuffled at all, so a hot key costs nothing extra;
+    * otherwise: every match lies on one calendar day of the interval, so
+      the join runs as an equi join on ``(key, day)`` (intervals exploded
+      over their days, clipped below at ``clip_lo``, a bound every ``at``
+      respects) with the range test as residual.  That spreads a hot key
+      (one company holding a third of all actions) over the days of its
+      intervals instead of one task, and AQE can split what remains.
+
+    Either way a left row meets each overlapping interval exactly once.
     """
+    if broadcast_max_rows is None:
+        broadcast_max_rows = INTERVALS_BROADCAST_MAX_ROWS
+    if broadcast_max_rows > 0 and right.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
+        r = F.broadcast(right)
+        cond = (left[key] == r[right_key]) & (r[start] <= left[at]) & (left[at] <= r[end])
+        return left.join(r, cond, "left").drop(r[right_key])
     r = explode_days(right, start, end, "_iv_day", clip_lo=clip_lo)
     lft = left.withColumn("_iv_day", F.to_date(F.col(at)))
     cond = ((lft[key] == r[right_key]) & (lft["_iv_day"] == r["_iv_day"])

@@ -57,7 +57,11 @@ def test_day_sequence_guard(spark):
     assert sorted((r.i, r.d) for r in out.collect()) == [(2, D(2018, 1, 5)), (4, D(2018, 1, 2)), (4, D(2018, 1, 3))]
 
 
-def test_interval_left_join_boundaries(spark):
+import pytest
+
+
+@pytest.mark.parametrize("bmax", [None, 0])
+def test_interval_left_join_boundaries(spark, bmax):
     acts = spark.createDataFrame([
         (1, 7, TS(2018, 1, 31, 0, 0)),   # midnight of the last day: matches
         (2, 7, TS(2018, 1, 31, 5, 0)),   # after midnight of 100's last day: only 101
@@ -68,7 +72,10 @@ def test_interval_left_join_boundaries(spark):
     ], "a int, company bigint, at timestamp_ntz")
     cons = spark.createDataFrame([(7, 100, D(2018, 1, 1), D(2018, 1, 31)), (7, 101, D(2018, 1, 31), D(2018, 2, 1)),
                                   (7, 102, D(2018, 2, 1), D(2018, 2, 28))], "cid bigint, k int, s date, e date")
-    out = joins.interval_left_join(acts, cons, "company", "cid", "at", "s", "e", clip_lo=D(2018, 1, 1))
+    out = joins.interval_left_join(acts, cons, "company", "cid", "at", "s", "e", clip_lo=D(2018, 1, 1),
+                                   broadcast_max_rows=bmax)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Generate explode" in plan) == (bmax == 0)
     got = sorted((r.a, r.k) for r in out.collect())
     assert got == [(1, 100), (1, 101), (2, 101), (3, 101), (3, 102), (4, 102), (5, None), (6, None)]
     assert set(out.columns) == {"a", "company", "at", "k", "s", "e"}
