@@ -84,7 +84,7 @@ def rank_recent(df: DataFrame, out: str = "b_recent_contract") -> DataFrame:
     """Recency rank per company: 1 = latest start (NULL start ranks first)."""
     w = Window.partitionBy("b_company_id").orderBy(F.col("b_contract_start_date").desc_nulls_first(),
                                                    F.col("b_contract_id").asc())
-    return df.withColumn(out, F.row_number().over(w))
+    return df.withColumn(out, F.row_number().over(w).cast("bigint"))  # row_number is BIGINT in SQL
 
 
 def latest_contract_per_company(df: DataFrame) -> DataFrame:
