@@ -67,11 +67,17 @@ def _crs_companies(t: Tables) -> DataFrame:
 
 
 def first_publications(t: Tables, p: Params) -> DataFrame:
-    """First publication time per job (min over its status log)."""
-    jai = t.job_admin_info
-    log = t.job_status_change_log.where(F.col("job_status_cd") == codes.JOB_PUBLISHED)
-    first = (jai.join(log, "job_admin_info_id").groupBy("job_id")
-             .agg(F.min("ins_datetime").alias("publish_datetime"))
+    """First publication time per job (min over its status log).
+
+    The status log is first reduced to its earliest publication per admin
+    record (partial aggregation map-side), then joined and reduced per
+    job: a min of mins, exact, and a job with a huge log never reaches
+    the join whole.
+    """
+    log = (t.job_status_change_log.where(F.col("job_status_cd") == codes.JOB_PUBLISHED)
+           .groupBy("job_admin_info_id").agg(F.min("ins_datetime").alias("_first")))
+    first = (t.job_admin_info.join(log, "job_admin_info_id").groupBy("job_id")
+             .agg(F.min("_first").alias("publish_datetime"))
              .where(F.col("publish_datetime") >= exprs.ntz(p.local_bound())))
     j = t.job.join(first, "job_id").join(_crs_companies(t), F.col("recruiter_company_id") == F.col("_crs"), "left_semi")
     return to_schema(j.select(F.col("publish_datetime").alias("act_date"), F.col("job_id").alias("act_id"),

@@ -80,3 +80,33 @@ def reuse(df: DataFrame) -> DataFrame:
 
 def persist(df: DataFrame) -> DataFrame:
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = TARGET_PARTITION_BYTES,
+                           minimum: int = 200) -> int:
+    """Shuffle partitions so each holds about ``target_bytes`` of input."""
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+
+
+def apply_cluster_defaults(spark: SparkSession, input_bytes: int) -> None:
+    """Runtime SQL settings for a large run of the marts.
+
+    AQE re-plans joins from measured sizes, coalesces small partitions
+    and splits skewed ones (a company or candidate holding a third of
+    the rows); the initial shuffle partition count is sized from the
+    input so partitions fit executor memory.
+    """
+    conf = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES // 2),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions_for(input_bytes)),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES // 2),
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
