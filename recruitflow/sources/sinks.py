@@ -10,16 +10,22 @@ def with_act_month(log: DataFrame, date_col: str = "act_date") -> DataFrame:
     return log.withColumn("act_month", F.trunc(F.to_date(F.col(date_col)), "MM"))
 
 
-def write_log(log: DataFrame, path: str, date_col: str = "act_date", mode: str = "overwrite") -> None:
+def write_log(log: DataFrame, path: str, date_col: str = "act_date", mode: str = "overwrite",
+              id_cols: list[str] | None = None, num_partitions: int | None = None) -> None:
     """Write an action log as Parquet partitioned by ``act_month``.
 
-    Rows are clustered by month before writing (one shuffle), so each
-    task writes few files per month; readers filtering on a date range
-    then prune whole month folders.  With ``overwrite`` and dynamic
-    partition overwrite, only the months present are replaced.
+    Rows are range-partitioned on (month, ids) before writing: a heavy
+    month is split over many balanced tasks (never one task per month),
+    and each task holds a contiguous slice, so it writes files for one
+    or two month folders only.  Readers filtering on a date range prune
+    whole month folders.  With ``overwrite`` and dynamic partition
+    overwrite, only the months present are replaced.
     """
     out = with_act_month(log, date_col)
-    (out.repartition("act_month").write.mode(mode)
+    ids = id_cols or [c for c in ("act_id", "candidate_id", "recruiter_company_id") if c in out.columns][:1]
+    keys = [F.col("act_month")] + [F.col(c) for c in ids]
+    parted = out.repartitionByRange(num_partitions, *keys) if num_partitions else out.repartitionByRange(*keys)
+    (parted.write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("act_month").parquet(path))
 

@@ -290,8 +290,20 @@ def build(base: dict[str, DataFrame]) -> Tables:
     return Tables({name: _fit(df, name) for name, df in t.items()})
 
 
+# Wall-clock timestamp columns of the test tables (kept as TIMESTAMP_NTZ whatever the
+# session's Parquet inference setting is).
+_NTZ_COLUMNS = {"orders": ("o_orderdate",), "lineitem": ("l_shipdate",), "events": ("ts",)}
+
+
 def load_base(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in BASE_TABLES}
+    out = {}
+    for n in BASE_TABLES:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet")
+        for c in _NTZ_COLUMNS.get(n, ()):
+            if dict(df.dtypes)[c] != "timestamp_ntz":
+                df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+        out[n] = df
+    return out
 
 
 _CACHE: dict[tuple[str, str], Tables] = {}
