@@ -29,6 +29,11 @@ def dlit(d: date) -> Column:
     return F.lit(d)
 
 
+def ntz_bound(v: datetime | date) -> Column:
+    """A window bound (a datetime, or a date meaning its midnight) as NTZ literal."""
+    return ntz(v if isinstance(v, datetime) else datetime.combine(v, datetime.min.time()))
+
+
 def as_col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -14,15 +14,12 @@ from recruitflow.sources.tables import Tables
 def scout_threads_for_routes(t: Tables, sent_since: datetime | date, company_type: str | None = None) -> DataFrame:
     """Distinct (thread, trigger, class) of scout threads sent since a bound."""
     mt = t.message_thread.where((F.col("create_trigger_type_cd") == codes.THREAD_SCOUT)
-                                & (F.col("scout_sent_tm") >= _ts(sent_since)))
+                                & (F.col("scout_sent_tm") >= exprs.ntz_bound(sent_since)))
     if company_type is not None:
         mt = mt.where(F.col("company_type_cd") == company_type)
     return mt.select("message_thread_id", "create_trigger_type_cd", "scout_s_class").distinct()
 
 
-def _ts(v: datetime | date):
-    return exprs.ntz(v if isinstance(v, datetime) else datetime.combine(v, datetime.min.time()))
-
 
 def applications_with_route(t: Tables, owner_id: int, thread_since: datetime | date, numbered: bool = True,
                             company_type: str | None = None, join_company: bool = False,
@@ -40,7 +37,7 @@ def applications_with_route(t: Tables, owner_id: int, thread_since: datetime | d
     """
     cp = t.candidate_progress.where(F.col("recruiter_company_id") != owner_id)
     if applied_since is not None:
-        cp = cp.where(F.col("ins_datetime") >= _ts(applied_since))
+        cp = cp.where(F.col("ins_datetime") >= exprs.ntz_bound(applied_since))
     if join_company or company_type is not None:
         rc = t.recruiter_company.select(F.col("recruiter_company_id").alias("_rc_id"), "company_type_cd")
         if company_type is not None:
@@ -64,7 +61,7 @@ def progress_log(t: Tables, statuses: tuple[str, ...] | str, since: datetime | d
     log = t.candidate_progress_log.where((F.col("del_flg") == codes.NOT_DELETED)
                                          & F.col("candidate_progress_status_cd").isin(*st))
     if since is not None:
-        log = log.where(F.col("ins_datetime") >= _ts(since))
+        log = log.where(F.col("ins_datetime") >= exprs.ntz_bound(since))
     return log.select(F.col("candidate_progress_id").alias("_log_pid"), F.col("ins_datetime").alias("status_tm"))
 
 
@@ -92,7 +89,7 @@ def net_decisions(cp: DataFrame, t: Tables, since: datetime | date | None = None
     """
     cr = t.candidate_replace
     if since is not None:
-        cr = cr.where(F.col("ins_datetime") >= _ts(since))
+        cr = cr.where(F.col("ins_datetime") >= exprs.ntz_bound(since))
     cr = cr.select(F.col("candidate_replace_id").alias("cr_id"), F.col("candidate_progress_id").alias("cr_pid"),
                    F.col("candidate_id").alias("cr_candidate_id"), F.col("job_id").alias("cr_job_id"),
                    F.col("income").alias("cr_income"), F.col("ins_datetime").alias("cr_ins_datetime"))

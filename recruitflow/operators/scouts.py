@@ -11,9 +11,6 @@ from recruitflow.functions import codes, exprs
 from recruitflow.sources.tables import Tables
 
 
-def _ts(v: datetime | date):
-    return exprs.ntz(v if isinstance(v, datetime) else datetime.combine(v, datetime.min.time()))
-
 
 def scouts_sent(t: Tables, sent_since: datetime | date, company_type: str | None = None,
                 owner_id: int | None = None, message_since: datetime | date | None = None) -> DataFrame:
@@ -26,14 +23,14 @@ def scouts_sent(t: Tables, sent_since: datetime | date, company_type: str | None
     attached job.
     """
     mt = t.message_thread.where((F.col("create_trigger_type_cd") == codes.THREAD_SCOUT)
-                                & (F.col("scout_sent_tm") >= _ts(sent_since)))
+                                & (F.col("scout_sent_tm") >= exprs.ntz_bound(sent_since)))
     if company_type is not None:
         mt = mt.where(F.col("company_type_cd") == company_type)
     if owner_id is not None:
         mt = mt.where(F.col("recruiter_company_id") != owner_id)
     m = t.message.where(F.col("from_recruiter") == codes.FLAG_TRUE)
     if message_since is not None:
-        m = m.where(F.col("sent_tm") >= _ts(message_since))
+        m = m.where(F.col("sent_tm") >= exprs.ntz_bound(message_since))
     m = m.select(F.col("message_thread_id").alias("_m_tid"), F.col("sent_tm").alias("_m_tm"))
     return mt.join(m, (mt.message_thread_id == m._m_tid) & (mt.scout_sent_tm == m._m_tm), "left_semi")
 
@@ -44,7 +41,7 @@ def first_replies(t: Tables, since: datetime | date) -> DataFrame:
     A plain min() aggregate: partial aggregation on the map side keeps a
     thread with millions of messages from reaching one task whole.
     """
-    m = t.message.where((F.col("from_recruiter") == codes.FLAG_FALSE) & (F.col("sent_tm") >= _ts(since)))
+    m = t.message.where((F.col("from_recruiter") == codes.FLAG_FALSE) & (F.col("sent_tm") >= exprs.ntz_bound(since)))
     return m.groupBy(F.col("message_thread_id").alias("_rep_tid")).agg(F.min("sent_tm").alias("reply_tm"))
 
 

@@ -1,6 +1,6 @@
 """Marts end to end on stand-in tables: oracle equality, invariants, plan shape."""
 import re
-from datetime import date
+
 
 import pytest
 from pyspark.sql import functions as F

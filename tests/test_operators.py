@@ -1,7 +1,7 @@
 """Operators on tiny in-memory tables (edge rows of FIXTURES.md §4)."""
 from datetime import date, datetime
 
-from pyspark.sql import functions as F
+
 
 from recruitflow.operators import activity, applications, contracts, joins, scouts
 from recruitflow.operators.counts import funnel_counts
