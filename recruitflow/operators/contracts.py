@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from recruitflow.functions import codes, exprs
 from recruitflow.operators.joins import explode_days, lookup
+from recruitflow.operators.ranking import asc_nulls_last, first_per_group, row_number_in_group
 from recruitflow.sources.tables import Tables
 
 
@@ -62,34 +63,51 @@ def main_contracts(t: Tables, owner_id: int, company_type: str | None = None,
     return j.select(*cols)
 
 
-def _first_inserted(*partition: str) -> Window:
+def _first_inserted_key() -> list:
     # Earliest inserted first; NULL insert times last; contract id breaks ties.
-    return Window.partitionBy(*partition).orderBy(F.col("ins_datetime").asc_nulls_last(),
-                                                  F.col("b_contract_id").asc())
+    return [*asc_nulls_last("ins_datetime"), F.col("b_contract_id")]
 
 
 def drop_duplicate_contracts(df: DataFrame, by_end_too: bool = False) -> DataFrame:
     """Keep the earliest inserted contract per (company, start) and, with
-    ``by_end_too``, also per (company, end) — both ranks are computed on
-    the same input, then filtered together."""
-    out = df.withColumn("_rn_start", F.row_number().over(_first_inserted("b_company_id", "b_contract_start_date")))
-    keep = F.col("_rn_start") == 1
+    ``by_end_too``, also per (company, end) — both choices are made on the
+    same input, then applied together.
+
+    Each choice is a min() aggregate per group (partially aggregated on
+    the map side, so one huge company is reduced before the shuffle),
+    applied back with a semi join on the contract id (the table's key).
+    """
+    keep = first_per_group(df, ["b_company_id", "b_contract_start_date"], _first_inserted_key(), "b_contract_id")
+    out = df.join(keep.select("b_contract_id"), "b_contract_id", "left_semi")
     if by_end_too:
-        out = out.withColumn("_rn_end", F.row_number().over(_first_inserted("b_company_id", "b_contract_end_date")))
-        keep = keep & (F.col("_rn_end") == 1)
-    return out.where(keep).drop("_rn_start", "_rn_end")
+        keep_end = first_per_group(df, ["b_company_id", "b_contract_end_date"], _first_inserted_key(),
+                                   "b_contract_id")
+        out = out.join(keep_end.select("b_contract_id"), "b_contract_id", "left_semi")
+    return out
+
+
+def _recency_order() -> list:
+    return [F.col("b_contract_start_date").desc_nulls_first(), F.col("b_contract_id").asc()]
 
 
 def rank_recent(df: DataFrame, out: str = "b_recent_contract") -> DataFrame:
-    """Recency rank per company: 1 = latest start (NULL start ranks first)."""
-    w = Window.partitionBy("b_company_id").orderBy(F.col("b_contract_start_date").desc_nulls_first(),
-                                                   F.col("b_contract_id").asc())
-    return df.withColumn(out, F.row_number().over(w).cast("bigint"))  # row_number is BIGINT in SQL
+    """Recency rank per company: 1 = latest start (NULL start ranks first).
+
+    Numbered by range slices (``ranking.row_number_in_group``), so a company
+    with a large share of all contracts is not ranked in one task.
+    """
+    return row_number_in_group(df, "b_company_id", _recency_order(), out)
 
 
 def latest_contract_per_company(df: DataFrame) -> DataFrame:
-    """Top-1 per company by recency (Catalyst plans a WindowGroupLimit)."""
-    return rank_recent(df, "_recent").where(F.col("_recent") == 1).drop("_recent")
+    """Top-1 per company by recency.
+
+    ``row_number() = 1`` is planned by Catalyst with a partial
+    WindowGroupLimit: each task keeps its best row per company before the
+    shuffle, so a company never reaches one task whole.
+    """
+    w = Window.partitionBy("b_company_id").orderBy(*_recency_order())
+    return df.withColumn("_recent", F.row_number().over(w)).where(F.col("_recent") == 1).drop("_recent")
 
 
 def contract_days(contracts: DataFrame, calendar: DataFrame, first: date, last: date) -> DataFrame:
