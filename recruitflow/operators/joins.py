@@ -62,7 +62,7 @@ def explode_days(df: DataFrame, lo: str, hi: str, out: str, clip_lo: date | None
 
 
 # Interval sides up to this many rows are broadcast (checked by a bounded count).
-INTERVALS_BROADCAST_MAX_ROWS = 1_000_000
+INTERVALS_BROADCAST_MAX_ROWS = 200_000  # ~40 MB of contract rows
 
 
 def interval_left_join(left: DataFrame, right: DataFrame, key: str, right_key: str, at: str,
