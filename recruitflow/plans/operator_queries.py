@@ -108,7 +108,9 @@ QUERIES = {
                                F.coalesce("ess_ps_cnt", F.lit(0)).cast("bigint").alias("c_ess_ps_cnt"))),
     "candidate_profile": _q(lambda t: m2.profile(t, P)),
     "resume_education": _q(lambda t: m2.education_rows(t)),
-    "company_funnel": _q(lambda t: funnel_counts(m4.company_action_log(t, P), ["act_type"], "act_id")),
+    # the contract merge is a left join that only repeats action rows, so distinct actions per
+    # (month, type) are the same before it: the funnel skips the as-of join
+    "company_funnel": _q(lambda t: funnel_counts(m4.company_actions(t, P), ["act_type"], "act_id")),
     "candidate_funnel": _q(lambda t: funnel_counts(m1.candidate_action_log(t, P), ["act_type"], "candidate_id")),
     "company_applied": _q(lambda t: m4.applied(m4.crs_applications(t, P), P)),
     "company_hs": _q(lambda t: m4.status_branch(m4.crs_applications(t, P), t, P, codes.STATUS_HS_COMPANY,
