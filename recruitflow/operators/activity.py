@@ -11,7 +11,6 @@ from recruitflow.functions import codes, exprs
 from recruitflow.sources.tables import Tables
 
 
-
 def candidate_login_days(t: Tables, since: datetime | date) -> DataFrame:
     """Distinct (login day, candidate) after the registration day, excluding
     the day a candidate left.

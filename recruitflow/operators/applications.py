@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from recruitflow.functions import codes, exprs
 from recruitflow.sources.tables import Tables
 
+# Default of ``thread_company_type``: restrict the scout lookup like the applications.
+SAME_AS_APPLICATIONS = "same-as-applications"
+
 
 def scout_threads_for_routes(t: Tables, sent_since: datetime | date, company_type: str | None = None) -> DataFrame:
     """Distinct (thread, trigger, class) of scout threads sent since a bound."""
@@ -20,11 +23,10 @@ def scout_threads_for_routes(t: Tables, sent_since: datetime | date, company_typ
     return mt.select("message_thread_id", "create_trigger_type_cd", "scout_s_class").distinct()
 
 
-
 def applications_with_route(t: Tables, owner_id: int, thread_since: datetime | date, numbered: bool = True,
                             company_type: str | None = None, join_company: bool = False,
                             applied_since: datetime | date | None = None,
-                            thread_company_type: str | None = "same") -> DataFrame:
+                            thread_company_type: str | None = SAME_AS_APPLICATIONS) -> DataFrame:
     """Applications with their route label (``route_info``).
 
     Scout applications look up the class of their scout thread among
@@ -45,7 +47,7 @@ def applications_with_route(t: Tables, owner_id: int, thread_since: datetime | d
         cp = cp.join(rc, cp.recruiter_company_id == rc._rc_id).drop("_rc_id")
     cpmi = t.candidate_progress_message_info.select(F.col("candidate_progress_id").alias("_mi_pid"),
                                                     F.col("message_thread_id").alias("_mi_tid"))
-    tct = company_type if thread_company_type == "same" else thread_company_type
+    tct = company_type if thread_company_type == SAME_AS_APPLICATIONS else thread_company_type
     threads = scout_threads_for_routes(t, thread_since, tct).select(
         F.col("message_thread_id").alias("_th_tid"), F.col("scout_s_class").alias("_th_class"))
     j = (cp.join(cpmi, cp.candidate_progress_id == cpmi._mi_pid, "left")

@@ -11,7 +11,6 @@ from recruitflow.functions import codes, exprs
 from recruitflow.sources.tables import Tables
 
 
-
 def scouts_sent(t: Tables, sent_since: datetime | date, company_type: str | None = None,
                 owner_id: int | None = None, message_since: datetime | date | None = None) -> DataFrame:
     """Scout thread rows whose send time equals a recruiter message's time.
