@@ -144,3 +144,33 @@ def test_candidate_basic_info_counters_golden(tiny):
         10: (27, Decimal("0.33333333333"), 2, 2, 2, 1, 1, 0, "Organic"),
         11: (28, Decimal("0E-11"), 0, 0, 0, 0, 0, 0, "Organic"),
     }
+
+
+def test_company_action_log_fixed_golden(tiny):
+    from recruitflow.plans.company_action_log_fixed import company_action_log_fixed
+
+    t = tiny(
+        recruiter_company=[(5, "co5", "CRS", "13", "AUTO"), (6, "co6", "ESS", "13", "AUTO")],
+        candidate=[(10, TS(2017, 1, 1), None, "ACT", "M", None, "13")],
+        candidate_progress=[(200, 10, 6, 100, TS(2017, 9, 1, 10), D(2017, 8, 31), "APL", None),   # agent company kept
+                            (201, 10, 5, 100, TS(2017, 7, 31), D(2017, 7, 31), "APL", None)],     # before the start
+        candidate_replace=[(300, 200, 10, 100, 500, TS(2017, 10, 1, 13))],
+        hassei_sales=[(399, None, 999, "RDC", 10, "Y", "x", D(2017, 10, 1)),                      # only a predecessor
+                      (400, 399, 300, "OFF", 1000, "Y", "x", D(2017, 11, 1)),                     # OFF after RDC -> 0
+                      (401, None, 300, "BOR", 2000, "Y", "ご利用プラ", D(2017, 11, 1)),              # plan change: out
+                      (402, None, 300, "REP", None, "Y", "y", D(2017, 11, 2)),                    # no price -> 0
+                      (403, None, 300, "OFF", 10, "Y", "z", D(2017, 7, 31))],                     # before the start
+        message_thread=[(50, 10, 5, 100, "CRS", "PSC", "FL", TS(2017, 9, 1, 9), TS(2017, 9, 2))],
+        message=[(50, TS(2017, 9, 1, 9), "TRUE"), (50, TS(2017, 9, 3, 10), "FALSE")],
+    )
+    PS, APL = "興味があるPS", "通常応募"
+    want = sorted([
+        (D(2017, 9, 1), "PS送信", 10, 5, 100, PS, D(2017, 9, 1), None, None, 50, None, None),
+        (D(2017, 9, 3), "PS返信", 10, 5, 100, PS, D(2017, 9, 1), None, None, 50, None, None),
+        (D(2017, 8, 31), "応募", 10, 6, 100, APL, D(2017, 8, 31), None, None, None, None, None),
+        (D(2017, 10, 1), "決定", 10, 6, 100, APL, D(2017, 8, 31), None, None, None, 500, None),
+        (D(2017, 11, 1), "SF決定", 10, 6, 100, APL, D(2017, 8, 31), None, None, None, 1000, 0),
+        (D(2017, 11, 2), "SF決定", 10, 6, 100, APL, D(2017, 8, 31), None, None, None, None, 0),
+    ], key=repr)
+    got = sorted((tuple(r) for r in company_action_log_fixed(t, P).collect()), key=repr)
+    assert got == want
