@@ -1,10 +1,12 @@
 """Batch job: build the marts from the 35 Parquet sources.
 
-    spark-submit -m recruitflow --sources s3://.../recruiting --out s3://.../marts \\
+    python -m recruitflow --sources s3://.../recruiting --out s3://.../marts \\
         [--as-of 2018-08-31T20:00:00] [--only company_action_log,company_info]
 
+    (or spark-submit --py-files recruitflow.zip recruitflow/__main__.py ...)
+
 ``--as-of`` (naive UTC) defaults to the job's start time, read once here
-and passed down as a parameter.  The session is the one spark-submit
+and passed down as a parameter.  The session is the one the launcher
 provides; its ``spark.checkpoint.dir`` (shared storage) is used for the
 intermediates computed once.
 """
