@@ -114,12 +114,13 @@ def contract_days(contracts: DataFrame, calendar: DataFrame, first: date, last:
     """One row per (contract, calendar day) with the day in ``[start, end]``.
 
     Days are generated from each contract's own range (clipped to the
-    calendar window), then kept only if present in the calendar.  The
+    calendar window; contracts spread over tasks by their exploded size),
+    then kept only if present in the calendar.  The
     calendar holds at most one row per day of a bounded window, so it is
     broadcast; no nested-loop theta join is planned.
     """
     days = explode_days(contracts, "b_contract_start_date", "b_contract_end_date", "cal_date",
-                        clip_lo=first, clip_hi=last)
+                        clip_lo=first, clip_hi=last, spread_by="b_contract_id")
     return days.join(F.broadcast(calendar), "cal_date", "left_semi")
 
 

@@ -52,12 +52,32 @@ def day_sequence(lo: Column, hi: Column) -> Column:
                   F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).otherwise(F.array().cast("array<date>"))
 
 
-def explode_days(df: DataFrame, lo: str, hi: str, out: str, clip_lo: date | None = None,
-                 clip_hi: date | None = None) -> DataFrame:
-    """One row per day of ``[lo, hi]`` (dates), clipped to ``[clip_lo, clip_hi]``."""
+# Rows one task should generate when intervals are exploded into days.
+DAY_ROWS_PER_TASK = 200_000
+
+
+def _clipped(lo: str, hi: str, clip_lo: date | None, clip_hi: date | None) -> tuple[Column, Column]:
     # greatest/least skip NULLs: a NULL bound must stay NULL (no days), not become the clip
     a = F.col(lo) if clip_lo is None else F.when(F.col(lo).isNotNull(), F.greatest(F.col(lo), F.lit(clip_lo)))
     b = F.col(hi) if clip_hi is None else F.when(F.col(hi).isNotNull(), F.least(F.col(hi), F.lit(clip_hi)))
+    return a, b
+
+
+def explode_days(df: DataFrame, lo: str, hi: str, out: str, clip_lo: date | None = None,
+                 clip_hi: date | None = None, spread_by: str | None = None) -> DataFrame:
+    """One row per day of ``[lo, hi]`` (dates), clipped to ``[clip_lo, clip_hi]``.
+
+    With ``spread_by`` (a well-spread key column), the intervals are first
+    hash-partitioned over enough tasks for the *exploded* row count, which
+    is computed exactly by one scalar aggregate.  Otherwise a small
+    interval table (which AQE packs into one or two partitions by its
+    byte size) would generate all its days in one or two tasks.
+    """
+    a, b = _clipped(lo, hi, clip_lo, clip_hi)
+    if spread_by is not None:
+        n_days = F.when(a.isNotNull() & b.isNotNull() & (a <= b), F.datediff(b, a) + 1).otherwise(0)
+        total = df.agg(F.sum(n_days)).first()[0] or 0
+        df = df.repartition(max(1, -(-int(total) // DAY_ROWS_PER_TASK)), spread_by)
     return df.withColumn(out, F.explode(day_sequence(a, b)))
 
 
@@ -92,7 +112,7 @@ def interval_left_join(left: DataFrame, right: DataFrame, key: str, right_key: s
         r = F.broadcast(right)
         cond = (left[key] == r[right_key]) & (r[start] <= left[at]) & (left[at] <= r[end])
         return left.join(r, cond, "left").drop(r[right_key])
-    r = explode_days(right, start, end, "_iv_day", clip_lo=clip_lo)
+    r = explode_days(right, start, end, "_iv_day", clip_lo=clip_lo, spread_by=right_key)
     lft = left.withColumn("_iv_day", F.to_date(F.col(at)))
     cond = ((lft[key] == r[right_key]) & (lft["_iv_day"] == r["_iv_day"])
             & (r[start] <= lft[at]) & (lft[at] <= r[end]))
