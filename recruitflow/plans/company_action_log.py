@@ -180,8 +180,9 @@ def attach_contracts(actions: DataFrame, contracts: DataFrame, p: Params) -> Dat
     A date end compared with a timestamp action means an action after
     00:00 on the contract's last day finds no contract — kept as defined.
     """
-    # computed once: the size proof of the join and the join itself read the same rows
-    con = reuse(contracts.select(F.col("b_company_id").alias("_con_cid"), *CONTRACT_COLUMNS))
+    # ranked contracts read a checkpointed slice table: the size proof below and the join
+    # itself only repeat a join of it with a small per-slice table
+    con = contracts.select(F.col("b_company_id").alias("_con_cid"), *CONTRACT_COLUMNS)
     lo = min(p.utc_bound(), p.local_bound()).date()
     return interval_left_join(actions, con, "recruiter_company_id", "_con_cid", "act_date",
                               "b_contract_start_date", "b_contract_end_date", clip_lo=lo)
