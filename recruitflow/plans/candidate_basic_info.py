@@ -90,27 +90,42 @@ def education_rows(t: Tables) -> DataFrame:
     return first_display(t.resume_education_background).distinct()
 
 
+def resume_profile(t: Tables) -> DataFrame:
+    """Resumes with their code labels and first-listed children, keyed by
+    ``resume_id`` throughout (the children joins are co-partitioned), then
+    handed to the candidate spine on ``candidate_id``.
+
+    Joining children to the resume first is the same as joining them after
+    ``candidate ⟕ resume``: each child join is strict on resume columns.
+    """
+    r = t.resume.withColumnRenamed("candidate_id", "_r_cand")
+    r = lookup(r, t.cls_education_bg.withColumnRenamed("code_alias", "_edu_alias"), "education_bg_cd", "education_bg_cd")
+    r = lookup(r, t.cls_income.withColumnRenamed("code_alias", "_inc_alias"), "income_cd", "income_cd")
+    reb = education_rows(t).select(F.col("resume_id").alias("_reb_rid"), F.col("school_master_id").alias("_school"))
+    r = r.join(reb, r.resume_id == reb._reb_rid, "left")
+    r = lookup(r, t.mst_school_info, "_school", "mst_school_info_id")
+    rcomp = first_display(t.resume_company).withColumnRenamed("resume_id", "_rc_rid")
+    r = r.join(rcomp, r.resume_id == rcomp._rc_rid, "left")
+    rb = first_display(t.resume_business).withColumnRenamed("resume_id", "_rb_rid")
+    r = r.join(rb, r.resume_id == rb._rb_rid, "left")
+    r = lookup(r, t.mst_business_type, "resume_business_type_cd", "business_type_cd")
+    rj = first_display(t.resume_job).withColumnRenamed("resume_id", "_rj_rid")
+    r = r.join(rj, r.resume_id == rj._rj_rid, "left")
+    r = lookup(r, t.mst_job_type, "resume_job_type_cd", "job_type_cd")
+    return r.select(
+        "_r_cand", "school_rank_cd", "job_group_type_cd", "job_type_name", "business_type_group_cd",
+        "business_type_name", "_inc_alias", "_edu_alias", "job_change_duration_cd", "toeic_score", "toefl_score",
+        "company_count", "company_business", "business_content", "appeal_point", "free_text")
+
+
 def profile(t: Tables, p: Params) -> DataFrame:
     c = t.candidate
     c = c.join(t.candidate_personal_info.withColumnRenamed("candidate_id", "_pi"),
                c.candidate_id == F.col("_pi"), "left")
     c = c.join(t.candidate_rating.withColumnRenamed("candidate_id", "_rt"), c.candidate_id == F.col("_rt"), "left")
     c = lookup(c, t.mst_area, "area_cd", "mst_area_cd")
-    r = t.resume.withColumnRenamed("candidate_id", "_r_cand")
-    c = c.join(r, c.candidate_id == r._r_cand, "left")
-    c = lookup(c, t.cls_education_bg.withColumnRenamed("code_alias", "_edu_alias"), "education_bg_cd", "education_bg_cd")
-    c = lookup(c, t.cls_income.withColumnRenamed("code_alias", "_inc_alias"), "income_cd", "income_cd")
-    reb = education_rows(t).select(F.col("resume_id").alias("_reb_rid"), F.col("school_master_id").alias("_school"))
-    c = c.join(reb, c.resume_id == reb._reb_rid, "left")
-    c = lookup(c, t.mst_school_info, "_school", "mst_school_info_id")
-    rcomp = first_display(t.resume_company).withColumnRenamed("resume_id", "_rc_rid")
-    c = c.join(rcomp, c.resume_id == rcomp._rc_rid, "left")
-    rb = first_display(t.resume_business).withColumnRenamed("resume_id", "_rb_rid")
-    c = c.join(rb, c.resume_id == rb._rb_rid, "left")
-    c = lookup(c, t.mst_business_type, "resume_business_type_cd", "business_type_cd")
-    rj = first_display(t.resume_job).withColumnRenamed("resume_id", "_rj_rid")
-    c = c.join(rj, c.resume_id == rj._rj_rid, "left")
-    c = lookup(c, t.mst_job_type, "resume_job_type_cd", "job_type_cd")
+    rp = resume_profile(t)
+    c = c.join(rp, c.candidate_id == rp._r_cand, "left")
     return c.select(
         F.col("candidate_id").alias("c_candidate_id"),
         F.col("ins_datetime").alias("c_reg_datetime"),
