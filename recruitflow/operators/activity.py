@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recruitflow.functions import codes, exprs
+from recruitflow.operators.joins import checked_broadcast
 from recruitflow.sources.tables import Tables
 
 
@@ -31,11 +32,16 @@ def company_login_days(t: Tables, since: datetime | date, company_type: str, own
     """Recruiter logins reduced to one row per (company, day) with the
     largest login id (a max() per group, partially aggregated map-side)."""
     rll = t.recruiter_login_log.where(F.col("login_tm") >= exprs.ntz_bound(since))
-    r = t.recruiter.select(F.col("recruiter_id").alias("_r_id"), F.col("recruiter_company_id").alias("_r_cid"))
-    rc = t.recruiter_company.where(F.col("company_type_cd") == company_type).select(
-        F.col("recruiter_company_id"))
-    if owner_id is not None:
-        rc = rc.where(F.col("recruiter_company_id") != owner_id)
+    r = t.derived(("recruiters",), lambda t: checked_broadcast(t.recruiter.select(
+        F.col("recruiter_id").alias("_r_id"), F.col("recruiter_company_id").alias("_r_cid"))))
+
+    def companies(t):
+        rc = t.recruiter_company.where(F.col("company_type_cd") == company_type).select(F.col("recruiter_company_id"))
+        if owner_id is not None:
+            rc = rc.where(F.col("recruiter_company_id") != owner_id)
+        return checked_broadcast(rc)
+
+    rc = t.derived(("companies_of_type", company_type, owner_id), companies)
     j = rll.join(r, rll.recruiter_id == r._r_id).join(rc, F.col("_r_cid") == rc.recruiter_company_id)
     return j.groupBy("recruiter_company_id", F.to_date("login_tm").alias("act_date")).agg(
         F.max("recruiter_login_log_id").alias("act_id"))

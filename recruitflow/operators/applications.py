@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recruitflow.functions import codes, exprs
+from recruitflow.operators.joins import checked_broadcast
 from recruitflow.sources.tables import Tables
 
 # Default of ``thread_company_type``: restrict the scout lookup like the applications.
@@ -41,9 +42,13 @@ def applications_with_route(t: Tables, owner_id: int, thread_since: datetime | d
     if applied_since is not None:
         cp = cp.where(F.col("ins_datetime") >= exprs.ntz_bound(applied_since))
     if join_company or company_type is not None:
-        rc = t.recruiter_company.select(F.col("recruiter_company_id").alias("_rc_id"), "company_type_cd")
-        if company_type is not None:
-            rc = rc.where(F.col("company_type_cd") == company_type)
+        def companies(t):
+            rc = t.recruiter_company.select(F.col("recruiter_company_id").alias("_rc_id"), "company_type_cd")
+            if company_type is not None:
+                rc = rc.where(F.col("company_type_cd") == company_type)
+            return checked_broadcast(rc)
+
+        rc = t.derived(("application_companies", company_type), companies)
         cp = cp.join(rc, cp.recruiter_company_id == rc._rc_id).drop("_rc_id")
     cpmi = t.candidate_progress_message_info.select(F.col("candidate_progress_id").alias("_mi_pid"),
                                                     F.col("message_thread_id").alias("_mi_tid"))
@@ -99,7 +104,8 @@ def net_decisions(cp: DataFrame, t: Tables, since: datetime | date | None = None
     cr = cr.join(cancelled, cr.cr_pid == cancelled._log_pid, "left_anti")
     j = cr.join(cp, cr.cr_pid == cp.candidate_progress_id)
     if require_parents:
-        rc = t.recruiter_company.select(F.col("recruiter_company_id").alias("_p_cid"))
+        rc = t.derived(("company_ids",), lambda t: checked_broadcast(
+            t.recruiter_company.select(F.col("recruiter_company_id").alias("_p_cid"))))
         ca = t.candidate.select(F.col("candidate_id").alias("_p_candidate"))
         j = j.join(rc, j.recruiter_company_id == rc._p_cid, "left_semi")
         j = j.join(ca, j.candidate_id == ca._p_candidate, "left_semi")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recruitflow.functions import codes, exprs
-from recruitflow.operators.joins import explode_days, lookup
+from recruitflow.operators.joins import checked_broadcast, explode_days, lookup
 from recruitflow.operators.ranking import asc_nulls_last, first_per_group, row_number_in_group
 from recruitflow.sources.tables import Tables
 
@@ -43,9 +43,13 @@ def main_contracts(t: Tables, owner_id: int, company_type: str | None = None,
         & (F.col("recruiter_company_id") != owner_id))
     if start_since is not None:
         pr = pr.where(F.col("valid_from_date") >= F.lit(start_since))
-    comp = company_dims(t) if with_dims else t.recruiter_company.select("recruiter_company_id", "company_type_cd")
-    if company_type is not None:
-        comp = comp.where(F.col("company_type_cd") == company_type)
+    def companies(t):
+        comp = company_dims(t) if with_dims else t.recruiter_company.select("recruiter_company_id", "company_type_cd")
+        if company_type is not None:
+            comp = comp.where(F.col("company_type_cd") == company_type)
+        return checked_broadcast(comp)
+
+    comp = t.derived(("contract_companies", with_dims, company_type), companies)
     j = pr.join(comp.withColumnRenamed("recruiter_company_id", "_cid"), pr.recruiter_company_id == F.col("_cid"))
     cols = [
         F.col("purchase_receipt_id").alias("b_contract_id"),

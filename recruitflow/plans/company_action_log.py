@@ -18,7 +18,7 @@ from recruitflow.functions import codes, exprs
 from recruitflow.operators import activity, applications, scouts
 from recruitflow.operators.contracts import (calendar, contract_days, drop_duplicate_contracts, main_contracts,
                                              rank_recent)
-from recruitflow.operators.joins import interval_left_join
+from recruitflow.operators.joins import checked_broadcast, interval_left_join
 from recruitflow.operators.logs import to_schema, union_log
 from recruitflow.params import Params
 from recruitflow.session import reuse
@@ -63,7 +63,10 @@ def days_under_contract(t: Tables, p: Params) -> DataFrame:
 
 
 def _crs_companies(t: Tables) -> DataFrame:
-    return t.recruiter_company.where(F.col("company_type_cd") == CRS).select(F.col("recruiter_company_id").alias("_crs"))
+    """Direct-hiring company ids; broadcast after a bounded size check, so
+    the fact sides semi-joined to it are never shuffled on company."""
+    return t.derived(("crs_companies",), lambda t: checked_broadcast(
+        t.recruiter_company.where(F.col("company_type_cd") == CRS).select(F.col("recruiter_company_id").alias("_crs"))))
 
 
 def first_publications(t: Tables, p: Params) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from recruitflow.functions import codes, exprs
 from recruitflow.operators import activity, applications, scouts
+from recruitflow.operators.joins import checked_broadcast
 from recruitflow.operators.logs import to_schema, union_log
 from recruitflow.params import Params
 from recruitflow.session import reuse
@@ -44,9 +45,10 @@ def applications_since(t: Tables, p: Params) -> DataFrame:
 
 
 def _crs(t: Tables, owner_id: int) -> DataFrame:
-    return t.recruiter_company.where((F.col("company_type_cd") == CRS)
-                                     & (F.col("recruiter_company_id") != owner_id)).select(
-        F.col("recruiter_company_id").alias("_crs"))
+    """Direct-hiring company ids except the platform (checked broadcast)."""
+    return t.derived(("crs_companies_no_owner", owner_id), lambda t: checked_broadcast(
+        t.recruiter_company.where((F.col("company_type_cd") == CRS) & (F.col("recruiter_company_id") != owner_id))
+        .select(F.col("recruiter_company_id").alias("_crs"))))
 
 
 def publications(t: Tables, p: Params) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from recruitflow.functions import exprs
 from recruitflow.operators.contracts import company_dims
-from recruitflow.operators.joins import lookup
+from recruitflow.operators.joins import checked_broadcast, lookup
 from recruitflow.params import Params
 from recruitflow.sources.tables import Tables
 
@@ -25,6 +25,7 @@ def job_info(t: Tables, p: Params) -> DataFrame:
     com = company_dims(t, group_fallback_to_name=False).select(
         F.col("recruiter_company_id").alias("_com_id"), F.col("company_name").alias("_com_name"),
         F.col("company_type_cd").alias("_com_type"), F.col("business_group_name").alias("_com_group"))
+    com = checked_broadcast(com)
     j = t.job.join(com, t.job.recruiter_company_id == com._com_id)
     j = lookup(j, t.mst_job_type, "job_type_cd", "job_type_cd")
     jbt = t.job_business_type.where(F.col("display_no") == 1).select(

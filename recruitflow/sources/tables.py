@@ -104,6 +104,14 @@ class Tables(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._frames)
 
+    def derived(self, key, build):
+        """A frame derived from these tables, built once and shared (the same
+        plan object for every use, so size checks on it run once)."""
+        cache = self.__dict__.setdefault("_derived", {})
+        if key not in cache:
+            cache[key] = build(self)
+        return cache[key]
+
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> "Tables":
         """One Parquet dataset per table under ``root/<name>``, declared schema."""
