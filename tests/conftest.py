@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
     from recruitflow.session import ensure_checkpoint_dir
 
     s = (SparkSession.builder.master("local[*]").appName("recruitflow-tests")
+         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
