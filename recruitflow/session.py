@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None,
-                  app: str = "recruitflow") -> SparkSession:
+                  app: str = "recruitflow", warehouse_dir: str | None = None) -> SparkSession:
     """Local session for tests and benchmarks (UI off, UTC, AQE on)."""
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
+         .config("spark.sql.warehouse.dir", warehouse_dir or tempfile.mkdtemp(prefix="recruitflow-wh-"))
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
