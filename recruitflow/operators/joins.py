@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import weakref
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -19,16 +20,15 @@ def checked_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFra
     it then joins by shuffle (and AQE may still broadcast it at runtime
     from measured sizes).
     """
-    key = (id(df), max_rows)
-    hit = _CHECKED.get(key)
-    if hit is None or hit[0] is not df:
-        hit = (df, df.limit(max_rows + 1).count() <= max_rows)
-        _CHECKED[key] = hit
-    return F.broadcast(df) if hit[1] else df
+    proofs = _CHECKED.setdefault(df, {})
+    if max_rows not in proofs:
+        proofs[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if proofs[max_rows] else df
 
 
-# Size proofs already made, per DataFrame object (frames are immutable plans).
-_CHECKED: dict[tuple[int, int], tuple[DataFrame, bool]] = {}
+# Size proofs already made, per DataFrame object (frames are immutable plans);
+# entries go away with their frames.
+_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
 
 
 def lookup(fact: DataFrame, dim: DataFrame, left_key: str, right_key: str, how: str = "left",
