@@ -174,3 +174,36 @@ def test_company_action_log_fixed_golden(tiny):
     ], key=repr)
     got = sorted((tuple(r) for r in company_action_log_fixed(t, P).collect()), key=repr)
     assert got == want
+
+
+def test_job_info_golden(tiny):
+    from decimal import Decimal
+
+    from recruitflow.plans.job_info import job_info
+
+    def job(i, cid, jtype, lo, hi, area):
+        return (i, cid, f"j{i}", TS(2018, 1, 1), "P1", jtype, "full", lo, hi, area)
+
+    t = tiny(
+        recruiter_company=[(5, "co5", "CRS", "13", "AUTO"), (6, "agent6", "ESS", "99", "XX")],
+        mst_area=[("13", "Tokyo"), ("27", "Osaka")],
+        mst_business_type=[("AUTO", "IA", "auto"), ("XX", "ZZ", "other"), ("MED", "IG", "medical")],
+        mst_job_type=[("gear", "JA", "job gear"), ("ring", "JZ", "job ring")],
+        job=[job(100, 5, "gear", 4567890, 8000000, "27"),
+             job(101, 6, "ring", 3000000, None, "99"),
+             job(102, 7, "gear", 1, 2, "13"),            # company unknown: dropped
+             job(103, 5, "bolt", 2000000, 3000000, "13")],
+        job_business_type=[(100, 1, "MED"), (100, 2, "XX"), (101, 1, "UNKNOWN")],
+        job_company=[(101, "client co")],
+    )
+    got = {r.j_job_id: (r.j_business_g_type, r.j_business_type, r.j_g_job_type, r.j_job_type, r.j_income_range,
+                        r.j_income_median, r.j_company_name, r.j_main_area_name, r.j_company_type_cd,
+                        r.j_source_company)
+           for r in job_info(t, P).collect()}
+    IA = "IT・インターネット・ゲーム・通信"
+    assert got == {
+        100: ("医薬・医療・バイオ・メディカル", None, "営業", "job gear", "456万円-800万円", Decimal("6283945.000000"),
+              "co5", "Osaka", "CRS", "co5"),
+        101: (None, None, None, "job ring", None, None, "client co", None, "ESS", "agent6"),
+        103: (IA, IA, None, None, "200万円-300万円", Decimal("2500000.000000"), "co5", "Tokyo", "CRS", "co5"),
+    }
