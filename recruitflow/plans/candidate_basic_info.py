@@ -37,6 +37,12 @@ def login_days_2_7(t: Tables) -> DataFrame:
 
 
 def login_ratio(n: F.Column) -> F.Column:
+    """Distinct login days 2..7 over 6, as an exact decimal.
+
+    The definition casts the count to the dialect's bare ``dec``, which is
+    DECIMAL(18,0); DECIMAL(18,0) / DECIMAL(10,0) is DECIMAL(29,11).  (A bare
+    Spark ``decimal`` would be DECIMAL(10,0) and give scale 6.)
+    """
     return (n.cast("decimal(18,0)") / F.lit(6).cast("decimal(10,0)")).cast(RATIO_TYPE)
 
 
