@@ -33,16 +33,28 @@ def asc_nulls_last(c: str) -> list[Column]:
     return [F.col(c).isNull(), F.col(c)]
 
 
-def row_number_in_group(df: DataFrame, group: str, order: list[Column], out: str) -> DataFrame:
+# Inputs up to this many rows are numbered with a plain window: no group can exceed it.
+WINDOW_MAX_ROWS = 200_000
+
+
+def row_number_in_group(df: DataFrame, group: str, order: list[Column], out: str,
+                        window_max_rows: int | None = None) -> DataFrame:
     """``row_number() OVER (PARTITION BY group ORDER BY order)`` as a bigint.
 
     ``order`` must be a total order within each group (end it with a key).
-    Needs a reliable checkpoint folder: the numbered slices are written
-    once so that counts and rows come from the same layout.  Without one,
-    falls back to the window function.
+    An input proven to hold at most ``window_max_rows`` rows (bounded
+    count) uses the window function: its largest group is bounded too.
+    Larger inputs are numbered by range slices, which needs a reliable
+    checkpoint folder (the slices are written once so that counts and rows
+    come from the same layout); without one, the window function is used.
     """
+    bound = WINDOW_MAX_ROWS if window_max_rows is None else window_max_rows
+    window = Window.partitionBy(group).orderBy(*order)
     if not checkpoint_dir(df.sparkSession):
-        return df.withColumn(out, F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("bigint"))
+        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
+    df = reuse(df)  # computed once: the size proof, the numbering and later readers share it
+    if bound > 0 and df.limit(bound + 1).count() <= bound:
+        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
     keys = [F.col(group).asc_nulls_first(), *order]
     sliced = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
               .withColumn("_slice", F.spark_partition_id())

@@ -115,3 +115,14 @@ def test_company_log_day_bucketed_path_matches_oracle(spark, con, monkeypatch):
     c1, r1 = spark_rows(df)
     c2, r2 = duck_rows(con, ORACLE["company_action_log"])
     assert digest(c1, r1) == digest(c2, r2)
+
+
+def test_ranked_contracts_sliced_path_matches_oracle(spark, con, monkeypatch):
+    """Force the range-sliced numbering of the recency rank and compare."""
+    from recruitflow.operators import ranking
+    monkeypatch.setattr(ranking, "WINDOW_MAX_ROWS", 0)
+    df = QUERIES["ranked_contracts"](spark, SF)
+    assert "LogicalRDD" in df._jdf.queryExecution().optimizedPlan().toString()
+    c1, r1 = spark_rows(df)
+    c2, r2 = duck_rows(con, ORACLE["ranked_contracts"])
+    assert digest(c1, r1) == digest(c2, r2)

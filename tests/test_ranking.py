@@ -17,7 +17,9 @@ def test_row_number_in_group_equals_window(spark, data):
     data = data + [(0, v) for _, v in data]
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "id bigint, g bigint, v bigint")
     order = [F.col("v").desc_nulls_first(), F.col("id").asc()]
-    got = {r.id: r.rn for r in row_number_in_group(df.repartition(4), "g", order, "rn").collect()}
+    sliced = row_number_in_group(df.repartition(4), "g", order, "rn", window_max_rows=0)
+    assert "LogicalRDD" in sliced._jdf.queryExecution().optimizedPlan().toString()  # checkpointed slices
+    got = {r.id: r.rn for r in sliced.collect()}
     want = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
             .collect()}
     assert got == want
