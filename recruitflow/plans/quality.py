@@ -39,3 +39,18 @@ def overlapping_contract_actions(company_log: DataFrame) -> DataFrame:
 def before_window(log: DataFrame, bound: datetime, date_col: str = "act_date") -> DataFrame:
     """Log rows older than the window bound."""
     return log.where(F.col(date_col) < exprs.ntz(bound))
+
+
+def owner_rows(df: DataFrame, owner_id: int, company_col: str = "recruiter_company_id") -> DataFrame:
+    """Rows attributed to the platform company where the definition excludes it."""
+    return df.where(F.col(company_col) == owner_id)
+
+
+def duplicate_kept_contracts(contracts: DataFrame) -> DataFrame:
+    """Kept contracts sharing (company, start) or (company, end): the
+    de-duplication promises none.  Returns (key kind, company, date, n)."""
+    def dups(kind: str, col: str) -> DataFrame:
+        return (contracts.groupBy("b_company_id", F.col(col).alias("b_date"))
+                .agg(F.count(F.lit(1)).alias("n_contracts")).where(F.col("n_contracts") > 1)
+                .select(F.lit(kind).alias("key_kind"), "b_company_id", "b_date", "n_contracts"))
+    return dups("start", "b_contract_start_date").unionByName(dups("end", "b_contract_end_date"))

@@ -126,3 +126,17 @@ def test_ranked_contracts_sliced_path_matches_oracle(spark, con, monkeypatch):
     c1, r1 = spark_rows(df)
     c2, r2 = duck_rows(con, ORACLE["ranked_contracts"])
     assert digest(c1, r1) == digest(c2, r2)
+
+
+def test_quality_checks_hold(spark):
+    from recruitflow.plans import quality
+    from recruitflow.plans.company_action_log import ranked_contracts
+    from recruitflow.sources.standins import standin_tables
+    t = standin_tables(spark, SF)
+    assert quality.owner_rows(QUERIES["candidate_action_log"](spark, SF).where(
+        F.col("act_type").isin("2_興味がある", "3_PS送信", "4_応募", "5_HS", "6_内定", "7_決定")),
+        P.owner_company_id).count() == 0
+    assert quality.owner_rows(QUERIES["company_info"](spark, SF), P.owner_company_id, "b_company_id").count() == 0
+    assert quality.duplicate_kept_contracts(ranked_contracts(t, P)).count() == 0
+    assert quality.repeated_companies(QUERIES["company_info"](spark, SF)).count() == 0
+    assert quality.before_window(QUERIES["candidate_action_log"](spark, SF), P.local_bound()).count() == 0
