@@ -105,7 +105,12 @@ def interval_left_join(left: DataFrame, right: DataFrame, key: str, right_key: s
       intervals instead of one task, and AQE can split what remains.
 
     Either way a left row meets each overlapping interval exactly once.
+    Intervals ending before ``clip_lo`` are dropped first (they cannot match).
     """
+    if clip_lo is not None:
+        # every ``at`` is >= clip_lo, so an interval ending earlier can never match: dropping it
+        # is exact and shrinks both plans (fewer contracts per probed key, fewer days)
+        right = right.where(F.col(end) >= F.lit(clip_lo))
     if broadcast_max_rows is None:
         broadcast_max_rows = INTERVALS_BROADCAST_MAX_ROWS
     if broadcast_max_rows > 0 and right.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
