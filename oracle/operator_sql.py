@@ -47,6 +47,10 @@ SQL: dict[str, str] = {
         SELECT date_trunc('month', CAST(act_date AS DATE))::DATE AS act_month, act_type,
                count(DISTINCT candidate_id) AS n_actions
         FROM m1 GROUP BY 1, 2"""),
+    "scout_funnel": sql_for("m1_ps", """
+        SELECT date_trunc('month', CAST(act_date AS DATE))::DATE AS act_month, route_info,
+               count(DISTINCT message_thread_id) AS n_actions
+        FROM m1_ps GROUP BY 1, 2"""),
     "company_applied": sql_for("m4_apl"),
     "company_hs": sql_for("m4_hs"),
     "company_offers": sql_for("m4_offer"),

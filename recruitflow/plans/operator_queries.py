@@ -34,6 +34,7 @@ checked against the oracle separately:
   resume_education      de-duplicated first education rows
   company_funnel        distinct actions per month and type (company log)
   candidate_funnel      distinct candidates per month and type (candidate log)
+  scout_funnel          scout mails per month and route as distinct threads (one row per attached job)
   company_applied / company_hs / company_offers / company_decisions
                         company-log application branches (C-7, C-8, C-10, C-11)
   fixed_logins / fixed_interest / fixed_scouts / fixed_interviews / fixed_decisions
@@ -112,6 +113,7 @@ QUERIES = {
     # (month, type) are the same before it: the funnel skips the as-of join
     "company_funnel": _q(lambda t: funnel_counts(m4.company_actions(t, P), ["act_type"], "act_id")),
     "candidate_funnel": _q(lambda t: funnel_counts(m1.candidate_action_log(t, P), ["act_type"], "candidate_id")),
+    "scout_funnel": _q(lambda t: funnel_counts(m1.scout_mails(t, P), ["route_info"], "message_thread_id")),
     "company_applied": _q(lambda t: m4.applied(m4.crs_applications(t, P), P)),
     "company_hs": _q(lambda t: m4.status_branch(m4.crs_applications(t, P), t, P, codes.STATUS_HS_COMPANY,
                                                 m4.ACT["hs"])),
