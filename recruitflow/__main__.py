@@ -24,6 +24,7 @@ from recruitflow.sources.tables import Tables
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> list[str]:
+    """Parse arguments, read the sources and write the requested marts."""
     ap = argparse.ArgumentParser(prog="recruitflow")
     ap.add_argument("--sources", required=True, help="folder with one Parquet dataset per source table")
     ap.add_argument("--out", required=True, help="output folder for the marts")

@@ -25,16 +25,13 @@ def ntz(ts: datetime) -> Column:
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
-def dlit(d: date) -> Column:
-    return F.lit(d)
-
-
 def ntz_bound(v: datetime | date) -> Column:
     """A window bound (a datetime, or a date meaning its midnight) as NTZ literal."""
     return ntz(v if isinstance(v, datetime) else datetime.combine(v, datetime.min.time()))
 
 
 def as_col(c: Column | str) -> Column:
+    """Column from a name or a Column."""
     return F.col(c) if isinstance(c, str) else c
 
 
@@ -49,10 +46,12 @@ def label_of(code: Column | str, labels: Mapping[str, str], fallback: Column | N
 
 
 def industry_group(group_cd: Column | str, fallback: Column | None = None) -> Column:
+    """Industry group label; unknown groups take ``fallback`` (NULL by default)."""
     return label_of(group_cd, codes.INDUSTRY_GROUP_LABELS, fallback)
 
 
 def job_group(group_cd: Column | str) -> Column:
+    """Job group label; unknown groups are NULL."""
     return label_of(group_cd, codes.JOB_GROUP_LABELS)
 
 
@@ -94,10 +93,6 @@ def local_time(ts: Column | str, tz: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), as_col(ts))
 
 
-def day(ts: Column | str) -> Column:
-    return F.to_date(as_col(ts))
-
-
 def epoch_ms_local_date(ms: Column, tz: str) -> Column:
     """Epoch milliseconds -> calendar date in ``tz``."""
     utc = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=ms / F.lit(1000))
@@ -115,6 +110,7 @@ def interview_set_date(json_col: Column | str, tz: str) -> Column:
 
 
 def has_interview_set(json_col: Column | str) -> Column:
+    """True when the first-interview key holds a non-empty value (NULL when missing)."""
     return F.get_json_object(as_col(json_col), f"$.{codes.INTERVIEW_SET_KEY}") != ""
 
 
@@ -146,6 +142,7 @@ def income_range(lower: str, upper: str) -> Column:
 
 
 def income_median(lower: Column | str, upper: Column | str) -> Column:
+    """Mid income as DECIMAL: (lower + upper) / 2 with both sides DECIMAL(38,2)."""
     return (as_col(lower).cast(DEC_38_2) + as_col(upper).cast(DEC_38_2)) / F.lit(2)
 
 

@@ -38,6 +38,7 @@ def routed_applications(t: Tables, p: Params) -> DataFrame:
 
 
 def registrations(t: Tables, p: Params) -> DataFrame:
+    """Sign-ups in the window with their acquisition channel as route."""
     c = t.candidate.where(F.col("ins_datetime") >= exprs.ntz(p.local_bound()))
     cpi = t.candidate_personal_info.select(F.col("candidate_id").alias("_pi_id"), "tracking_code")
     j = c.join(cpi, c.candidate_id == cpi._pi_id, "left")
@@ -46,10 +47,12 @@ def registrations(t: Tables, p: Params) -> DataFrame:
 
 
 def login_days(t: Tables, p: Params) -> DataFrame:
+    """Login days after the sign-up day, leaving day excluded, in the window."""
     return to_schema(activity.candidate_login_days(t, p.local_bound()), SCHEMA, act_type=ACT["login"])
 
 
 def interest_days(t: Tables, p: Params) -> DataFrame:
+    """Distinct (day, candidate, job, company) interest clicks in the window (platform excluded)."""
     clicks = activity.interest_clicks(t, p.local_bound()).where(F.col("recruiter_company_id") != p.owner_company_id)
     d = clicks.select(F.to_date("conversion_tm").alias("act_date"), "candidate_id", "job_id",
                       "recruiter_company_id").distinct()
@@ -70,16 +73,19 @@ def scout_mails(t: Tables, p: Params) -> DataFrame:
 
 
 def applied(cp: DataFrame, p: Params) -> DataFrame:
+    """Applications inserted in the window, with route."""
     a = cp.where(F.col("ins_datetime") >= exprs.ntz(p.local_bound()))
     return to_schema(a.withColumnRenamed("ins_datetime", "act_date"), SCHEMA, act_type=ACT["apply"])
 
 
 def status_branch(cp: DataFrame, t: Tables, p: Params, statuses, label: str) -> DataFrame:
+    """Status changes (``statuses``, not deleted) in the window, with the application's route."""
     e = applications.status_events(cp, t, statuses, p.local_bound())
     return to_schema(e.drop("ins_datetime").withColumnRenamed("status_tm", "act_date"), SCHEMA, act_type=label)
 
 
 def decisions(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
+    """Net decisions in the window: cancelled hires removed; candidate from the decision row."""
     d = applications.net_decisions(cp, t, since=p.local_bound())
     d = d.select(F.col("cr_candidate_id").alias("candidate_id"), F.col("cr_ins_datetime").alias("act_date"),
                  "route_info", "job_id", "recruiter_company_id")
@@ -87,12 +93,14 @@ def decisions(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
 
 
 def leavers(t: Tables, p: Params) -> DataFrame:
+    """Candidates who left, dated by their last update, in the window."""
     c = t.candidate.where((F.col("candidate_status_cd") == codes.CANDIDATE_LEFT)
                           & (F.col("upd_datetime") >= exprs.ntz(p.local_bound())))
     return to_schema(c.select("candidate_id", F.col("upd_datetime").alias("act_date")), SCHEMA, act_type=ACT["left"])
 
 
 def candidate_action_log(t: Tables, p: Params) -> DataFrame:
+    """The nine branches of the candidate log, unioned to ``SCHEMA``."""
     cp = reuse(routed_applications(t, p))
     return union_log([
         registrations(t, p),

@@ -84,6 +84,7 @@ def scouts_received(t: Tables, p: Params) -> DataFrame:
 
 
 def first_display(df: DataFrame) -> DataFrame:
+    """Only first-listed child rows (``display_no = '1'``)."""
     return df.where(F.col("display_no") == codes.FIRST_DISPLAY).drop("display_no")
 
 
@@ -125,6 +126,7 @@ def resume_profile(t: Tables) -> DataFrame:
 
 
 def profile(t: Tables, p: Params) -> DataFrame:
+    """Static candidate attributes (one row per candidate and resume row combination)."""
     c = t.candidate
     c = c.join(t.candidate_personal_info.withColumnRenamed("candidate_id", "_pi"),
                c.candidate_id == F.col("_pi"), "left")
@@ -172,6 +174,7 @@ def behaviour(t: Tables, p: Params) -> DataFrame:
 
 
 def candidate_basic_info(t: Tables, p: Params) -> DataFrame:
+    """Profile rows with the five behaviour counters."""
     prof = profile(t, p)
     b = behaviour(t, p)
     return prof.join(b, prof.c_candidate_id == b._b_id, "left").drop("_b_id")

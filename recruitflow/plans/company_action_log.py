@@ -48,6 +48,7 @@ def ranked_contracts(t: Tables, p: Params) -> DataFrame:
 
 
 def crs_applications(t: Tables, p: Params) -> DataFrame:
+    """Direct-hiring applications (platform excluded) with route; scout lookup windowed."""
     return applications.applications_with_route(t, p.owner_company_id, p.local_bound(), numbered=True,
                                                 company_type=CRS)
 
@@ -88,6 +89,7 @@ def first_publications(t: Tables, p: Params) -> DataFrame:
 
 
 def auto_scout_segments(t: Tables, p: Params) -> DataFrame:
+    """Auto-scout job segments switched to sending, in the window (direct-hiring jobs)."""
     s = t.job_segment_info.where((F.col("scout_type_cd") == codes.SEGMENT_SCOUT_TYPE)
                                  & (F.col("job_segment_status_cd") == codes.SEGMENT_SENDING)
                                  & (F.col("ins_datetime") >= exprs.ntz(p.local_bound())))
@@ -98,6 +100,7 @@ def auto_scout_segments(t: Tables, p: Params) -> DataFrame:
 
 
 def login_days(t: Tables, p: Params) -> DataFrame:
+    """One row per direct-hiring company and login day: the day's largest login id."""
     d = activity.company_login_days(t, p.local_bound(), CRS)
     return to_schema(d, ACTION_SCHEMA, act_type=ACT["login"])
 
@@ -113,6 +116,7 @@ def scout_mails(t: Tables, p: Params) -> DataFrame:
 
 
 def footprints(t: Tables, p: Params) -> DataFrame:
+    """Footprints on direct-hiring jobs in the window; company from the footprint row."""
     f = t.footprint.where(F.col("upd_datetime") >= exprs.ntz(p.local_bound()))
     jobs = t.job.select(F.col("job_id").alias("_j_id"), F.col("recruiter_company_id").alias("_j_cid")).join(
         _crs_companies(t), F.col("_j_cid") == F.col("_crs"), "left_semi")
@@ -124,6 +128,7 @@ def footprints(t: Tables, p: Params) -> DataFrame:
 
 
 def interest_clicks(t: Tables, p: Params) -> DataFrame:
+    """Distinct interest clicks on direct-hiring companies in the window."""
     c = activity.interest_clicks(t, p.local_bound()).join(
         _crs_companies(t), F.col("recruiter_company_id") == F.col("_crs"), "left_semi")
     d = c.select(F.col("conversion_tm").alias("act_date"), F.col("id").alias("act_id"), "recruiter_company_id",
@@ -137,14 +142,17 @@ def _progress_branch(df: DataFrame, date_col: str, label: str) -> DataFrame:
 
 
 def applied(cp: DataFrame, p: Params) -> DataFrame:
+    """Applications inserted in the window."""
     return _progress_branch(cp.where(F.col("ins_datetime") >= exprs.ntz(p.local_bound())), "ins_datetime", ACT["apply"])
 
 
 def status_branch(cp: DataFrame, t: Tables, p: Params, statuses, label: str) -> DataFrame:
+    """Status changes (``statuses``, not deleted) in the window."""
     return _progress_branch(applications.status_events(cp, t, statuses, p.local_bound()), "status_tm", label)
 
 
 def first_interviews(cp: DataFrame, p: Params) -> DataFrame:
+    """First-interview dates (JSON epoch ms as a JST date) on or after the window start."""
     d = exprs.interview_set_date("candidate_progress_data_json", p.tz)
     c = cp.where(exprs.has_interview_set("candidate_progress_data_json")).withColumn("_iv", d).where(
         F.col("_iv") >= F.lit(p.local_bound().date()))
@@ -152,6 +160,7 @@ def first_interviews(cp: DataFrame, p: Params) -> DataFrame:
 
 
 def decisions(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
+    """Net decisions in the window with income; company and candidate must exist."""
     d = applications.net_decisions(cp, t, since=p.local_bound(), require_parents=True)
     return to_schema(d.select(F.col("cr_ins_datetime").alias("act_date"), F.col("cr_id").alias("act_id"),
                               "recruiter_company_id", "job_id", "route_info",
@@ -192,5 +201,6 @@ def attach_contracts(actions: DataFrame, contracts: DataFrame, p: Params) -> Dat
 
 
 def company_action_log(t: Tables, p: Params) -> DataFrame:
+    """The unioned company actions with every contract in force (see ``attach_contracts``)."""
     out = attach_contracts(company_actions(t, p), ranked_contracts(t, p), p)
     return out.select(*[f.name for f in ACTION_SCHEMA.fields], *CONTRACT_COLUMNS)

@@ -39,6 +39,9 @@ CRS = codes.COMPANY_DIRECT
 
 
 def applications_since(t: Tables, p: Params) -> DataFrame:
+    """Applications since the fixed start (platform excluded, all company types), route looked up
+    among direct-hiring scouts since the same start; labels without the number prefix.
+    """
     return applications.applications_with_route(t, p.owner_company_id, p.since, numbered=False,
                                                 company_type=None, join_company=True, applied_since=p.since,
                                                 thread_company_type=CRS)
@@ -63,12 +66,14 @@ def publications(t: Tables, p: Params) -> DataFrame:
 
 
 def login_days(t: Tables, p: Params) -> DataFrame:
+    """One row per direct-hiring company and login day since the start (platform excluded)."""
     d = activity.company_login_days(t, p.since, CRS, owner_id=p.owner_company_id)
     return to_schema(d.select("act_date", "recruiter_company_id", F.col("act_date").alias("date_for_join")),
                      SCHEMA, act_type=ACT["login"])
 
 
 def interest_clicks(t: Tables, p: Params) -> DataFrame:
+    """Distinct interest clicks per day with the done / scout flags (direct-hiring companies)."""
     c = activity.interest_clicks(t, p.since).where(F.col("recruiter_company_id") != p.owner_company_id).join(
         _crs(t, p.owner_company_id), F.col("recruiter_company_id") == F.col("_crs"), "left_semi")
     d = F.to_date("conversion_tm")
@@ -79,6 +84,7 @@ def interest_clicks(t: Tables, p: Params) -> DataFrame:
 
 
 def scout_mails(t: Tables, p: Params) -> DataFrame:
+    """Scouts sent since the start, one row per attached job, cohort = send day."""
     mt = scouts.scouts_sent(t, p.since, company_type=CRS, owner_id=p.owner_company_id, message_since=p.since)
     d = F.to_date("scout_sent_tm")
     out = mt.select(d.alias("act_date"), "candidate_id", "recruiter_company_id",
@@ -111,6 +117,7 @@ def _cohort(df: DataFrame, act_date, label: str, **extra) -> DataFrame:
 
 
 def decisions(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
+    """Net decisions (cancelled hires removed) by request day, with income; cohort = apply day."""
     d = applications.net_decisions(cp, t, require_parents=True)
     return _cohort(d, F.to_date("cr_ins_datetime"), ACT["decision"], replace_income=F.col("cr_income"))
 
@@ -142,10 +149,12 @@ def approved_sales(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
 
 
 def applied(cp: DataFrame) -> DataFrame:
+    """Applications by their apply date (cohort = the same date)."""
     return _cohort(cp, F.col("apply_date"), ACT["apply"])
 
 
 def status_branch(cp: DataFrame, t: Tables, statuses, label: str) -> DataFrame:
+    """Status changes (``statuses``, not deleted) by change day; cohort = apply day."""
     return _cohort(applications.status_events(cp, t, statuses), F.to_date("status_tm"), label)
 
 
@@ -156,6 +165,7 @@ def interviews(cp: DataFrame, p: Params) -> DataFrame:
 
 
 def company_action_log_fixed(t: Tables, p: Params) -> DataFrame:
+    """The eleven branches of the fixed-start company log, unioned to ``SCHEMA``."""
     cp = reuse(applications_since(t, p))
     return union_log([
         publications(t, p),

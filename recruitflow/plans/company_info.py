@@ -20,6 +20,7 @@ def clean_contracts(t: Tables, p: Params) -> DataFrame:
 
 
 def company_info(t: Tables, p: Params) -> DataFrame:
+    """Latest main contract per company with the company's labels (platform excluded)."""
     latest = latest_contract_per_company(clean_contracts(t, p))
     return latest.select(
         "b_company_id", "b_company_name", "b_company_type", "b_company_area", "b_com_g_business", "b_com_business",

@@ -49,5 +49,6 @@ MARTS: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
+    """The six marts plus every operator-level query."""
     from recruitflow.plans import operator_queries
     return {**MARTS, **operator_queries.QUERIES}

@@ -6,7 +6,6 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -79,10 +78,6 @@ def reuse(df: DataFrame) -> DataFrame:
     return df
 
 
-def persist(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 
 

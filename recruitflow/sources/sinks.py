@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 
 def with_act_month(log: DataFrame, date_col: str = "act_date") -> DataFrame:
+    """Add ``act_month`` = first day of the action's month."""
     return log.withColumn("act_month", F.trunc(F.to_date(F.col(date_col)), "MM"))
 
 

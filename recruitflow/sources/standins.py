@@ -47,6 +47,7 @@ def _fit(df: DataFrame, name: str) -> DataFrame:
 
 
 def build(base: dict[str, DataFrame]) -> Tables:
+    """Derive the 35 sources from the base test tables (lazy plans)."""
     cu, pa, o, li, ev, na = (base[n] for n in BASE_TABLES)
     ev = ev.withColumn("ts2", F.col("ts") - F.expr(EVENT_SHIFT)).withColumn(
         "k", F.get_json_object("props", "$.k").cast("bigint"))
@@ -296,6 +297,7 @@ _NTZ_COLUMNS = {"orders": ("o_orderdate",), "lineitem": ("l_shipdate",), "events
 
 
 def load_base(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Read the base test tables (timestamps pinned to TIMESTAMP_NTZ)."""
     out = {}
     for n in BASE_TABLES:
         df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet")

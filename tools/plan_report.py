@@ -13,7 +13,6 @@ import sys
 import tempfile
 
 sys.path.insert(0, ".")
-from recruitflow.plans.standin_queries import MARTS  # noqa: E402,F401
 from recruitflow.plans.standin_queries import STANDIN_PARAMS as P  # noqa: E402
 from recruitflow.session import local_session  # noqa: E402
 from recruitflow.sources.standins import write_standins  # noqa: E402
