@@ -30,10 +30,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     ap.add_argument("--out", required=True, help="output folder for the marts")
     ap.add_argument("--as-of", help="'now' as naive UTC ISO timestamp (default: job start)")
     ap.add_argument("--since", help="fixed start of the cohort log (default 2017-08-01)")
+    ap.add_argument("--contract-since", help="earliest contract start of the company log (default 2016-08-01)")
     ap.add_argument("--only", help="comma-separated mart names")
     a = ap.parse_args(argv)
     as_of = datetime.fromisoformat(a.as_of) if a.as_of else datetime.now(timezone.utc).replace(tzinfo=None)
-    p = Params(as_of=as_of) if not a.since else Params(as_of=as_of, since=date.fromisoformat(a.since))
+    extra = {}
+    if a.since:
+        extra["since"] = date.fromisoformat(a.since)
+    if a.contract_since:
+        extra["contract_since"] = date.fromisoformat(a.contract_since)
+    p = Params(as_of=as_of, **extra)
     spark = spark or SparkSession.builder.appName("recruitflow").getOrCreate()
     t = Tables.from_parquet(spark, a.sources)
     return write_all(t, p, a.out, a.only.split(",") if a.only else None)
