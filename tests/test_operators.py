@@ -174,3 +174,14 @@ def test_checked_broadcast_respects_bound(spark):
     assert "broadcast" not in plan.lower()
     plan = big.join(joins.checked_broadcast(small, 10), "id")._jdf.queryExecution().logical().toString()
     assert "broadcast" in plan.lower()
+
+
+def test_explode_days_spreads_by_exploded_size(spark, monkeypatch):
+    monkeypatch.setattr(joins, "DAY_ROWS_PER_TASK", 10)
+    df = spark.createDataFrame([(i, D(2018, 1, 1), D(2018, 1, 10)) for i in range(7)] + [(99, None, D(2018, 1, 2))],
+                               "i int, a date, b date").coalesce(1)
+    out = joins.explode_days(df, "a", "b", "d", spread_by="i")
+    assert out.rdd.getNumPartitions() == 7          # 70 day rows / 10 per task
+    assert out.count() == 70
+    plain = joins.explode_days(df, "a", "b", "d")
+    assert plain.rdd.getNumPartitions() == 1 and plain.count() == 70
