@@ -27,7 +27,8 @@ def scout_threads_for_routes(t: Tables, sent_since: datetime | date, company_typ
 def applications_with_route(t: Tables, owner_id: int, thread_since: datetime | date, numbered: bool = True,
                             company_type: str | None = None, join_company: bool = False,
                             applied_since: datetime | date | None = None,
-                            thread_company_type: str | None = SAME_AS_APPLICATIONS) -> DataFrame:
+                            thread_company_type: str | None = SAME_AS_APPLICATIONS,
+                            with_json: bool = False) -> DataFrame:
     """Applications with their route label (``route_info``).
 
     Scout applications look up the class of their scout thread among
@@ -36,7 +37,9 @@ def applications_with_route(t: Tables, owner_id: int, thread_since: datetime | d
     of the application).  ``join_company`` adds ``company_type_cd`` and,
     with ``company_type``, keeps only that company type.
     ``thread_company_type`` restricts the scout lookup (defaults to
-    ``company_type``).
+    ``company_type``).  ``with_json`` keeps the progress JSON text (only the
+    interview branches read it; the frame is often checkpointed whole, so
+    unused wide columns are left out).
     """
     cp = t.candidate_progress.where(F.col("recruiter_company_id") != owner_id)
     if applied_since is not None:
@@ -57,8 +60,9 @@ def applications_with_route(t: Tables, owner_id: int, thread_since: datetime | d
         F.col("message_thread_id").alias("_th_tid"), F.col("scout_s_class").alias("_th_class"))
     j = (cp.join(cpmi, cp.candidate_progress_id == cpmi._mi_pid, "left")
          .join(threads, F.col("_mi_tid") == F.col("_th_tid"), "left"))
-    keep = ["ins_datetime", "candidate_progress_id", "apply_date", "candidate_id", "recruiter_company_id", "job_id",
-            "candidate_progress_data_json"] + (["company_type_cd"] if "company_type_cd" in cp.columns else [])
+    keep = ["ins_datetime", "candidate_progress_id", "apply_date", "candidate_id", "recruiter_company_id", "job_id"]
+    if with_json:
+        keep.append("candidate_progress_data_json")
     return j.select(*keep, exprs.route_info("application_route_type_cd", "_th_class", numbered).alias("route_info"))
 
 

@@ -50,7 +50,7 @@ def ranked_contracts(t: Tables, p: Params) -> DataFrame:
 def crs_applications(t: Tables, p: Params) -> DataFrame:
     """Direct-hiring applications (platform excluded) with route; scout lookup windowed."""
     return applications.applications_with_route(t, p.owner_company_id, p.local_bound(), numbered=True,
-                                                company_type=CRS)
+                                                company_type=CRS, with_json=True)
 
 
 def days_under_contract(t: Tables, p: Params) -> DataFrame:

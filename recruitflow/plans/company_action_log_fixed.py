@@ -44,7 +44,7 @@ def applications_since(t: Tables, p: Params) -> DataFrame:
     """
     return applications.applications_with_route(t, p.owner_company_id, p.since, numbered=False,
                                                 company_type=None, join_company=True, applied_since=p.since,
-                                                thread_company_type=CRS)
+                                                thread_company_type=CRS, with_json=True)
 
 
 def _crs(t: Tables, owner_id: int) -> DataFrame:

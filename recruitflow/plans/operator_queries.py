@@ -75,7 +75,7 @@ def _counter(t, agg, col, out, ratio=False):
 
 
 QUERIES = {
-    "route_info": _q(lambda t: m1.routed_applications(t, P).drop("candidate_progress_data_json")),
+    "route_info": _q(lambda t: m1.routed_applications(t, P)),
     "clean_contracts": _q(lambda t: clean_contracts(t, P).drop("ins_datetime")),
     "ranked_contracts": _q(lambda t: m4.ranked_contracts(t, P).drop("ins_datetime")),
     "contract_days": _q(lambda t: m4.days_under_contract(t, P)),
