@@ -87,13 +87,16 @@ def shuffle_partitions_for(input_bytes: int, target_bytes: int = TARGET_PARTITIO
     return max(minimum, -(-int(input_bytes) // int(target_bytes)))
 
 
-def apply_cluster_defaults(spark: SparkSession, input_bytes: int) -> None:
+def apply_cluster_defaults(spark: SparkSession, input_bytes: int, bucketed_sources: bool = False) -> None:
     """Runtime SQL settings for a large run of the marts.
 
     AQE re-plans joins from measured sizes, coalesces small partitions
     and splits skewed ones (a company or candidate holding a third of
     the rows); the initial shuffle partition count is sized from the
-    input so partitions fit executor memory.
+    input so partitions fit executor memory.  With ``bucketed_sources``
+    (``sources.layout``) a join on (bucket key, more keys) may reuse the
+    bucketing instead of re-shuffling on all its keys: the rows already
+    sit in their key's bucket, so nothing new concentrates.
     """
     conf = {
         "spark.sql.adaptive.enabled": "true",
@@ -104,5 +107,7 @@ def apply_cluster_defaults(spark: SparkSession, input_bytes: int) -> None:
         "spark.sql.shuffle.partitions": str(shuffle_partitions_for(input_bytes)),
         "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES // 2),
     }
+    if bucketed_sources:
+        conf["spark.sql.requireAllClusterKeysForCoPartition"] = "false"
     for k, v in conf.items():
         spark.conf.set(k, v)
