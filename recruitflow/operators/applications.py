@@ -83,6 +83,29 @@ def status_events(cp: DataFrame, t: Tables, statuses: tuple[str, ...] | str,
     return cp.join(log, cp.candidate_progress_id == log._log_pid).drop("_log_pid")
 
 
+def labelled_status_events(cp: DataFrame, t: Tables, labels: dict[str, tuple[str, ...]],
+                           since: datetime | date | None = None) -> DataFrame:
+    """Applications joined once to their status changes for several disjoint
+    status sets; ``status_label`` names the set each change belongs to.
+
+    One scan and one join of the (large) status log serve every labelled
+    branch, instead of one per branch.
+    """
+    codes_all = tuple(c for sts in labels.values() for c in sts)
+    assert len(set(codes_all)) == len(codes_all), "status sets must be disjoint"
+    log = t.candidate_progress_log.where((F.col("del_flg") == codes.NOT_DELETED)
+                                         & F.col("candidate_progress_status_cd").isin(*codes_all))
+    if since is not None:
+        log = log.where(F.col("ins_datetime") >= exprs.ntz_bound(since))
+    label = None
+    for name, sts in labels.items():
+        cond = F.col("candidate_progress_status_cd").isin(*sts)
+        label = F.when(cond, F.lit(name)) if label is None else label.when(cond, F.lit(name))
+    log = log.select(F.col("candidate_progress_id").alias("_log_pid"), F.col("ins_datetime").alias("status_tm"),
+                     label.alias("status_label"))
+    return cp.join(log, cp.candidate_progress_id == log._log_pid).drop("_log_pid")
+
+
 def cancelled_progress(t: Tables) -> DataFrame:
     """Progress ids with a live 'hire cancelled' log row."""
     return progress_log(t, codes.STATUS_HIRE_CANCELLED).select("_log_pid")

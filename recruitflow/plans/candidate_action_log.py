@@ -84,6 +84,14 @@ def status_branch(cp: DataFrame, t: Tables, p: Params, statuses, label: str) ->
     return to_schema(e.drop("ins_datetime").withColumnRenamed("status_tm", "act_date"), SCHEMA, act_type=label)
 
 
+def status_branches(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
+    """Screening passes and offers in the window, from one join with the status log."""
+    e = applications.labelled_status_events(
+        cp, t, {ACT["hs"]: codes.STATUS_HS_CANDIDATE, ACT["offer"]: (codes.STATUS_OFFER,)}, p.local_bound())
+    return to_schema(e.drop("ins_datetime").withColumnRenamed("status_tm", "act_date")
+                     .withColumnRenamed("status_label", "act_type"), SCHEMA)
+
+
 def decisions(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
     """Net decisions in the window: cancelled hires removed; candidate from the decision row."""
     d = applications.net_decisions(cp, t, since=p.local_bound())
@@ -108,8 +116,7 @@ def candidate_action_log(t: Tables, p: Params) -> DataFrame:
         interest_days(t, p),
         scout_mails(t, p),
         applied(cp, p),
-        status_branch(cp, t, p, codes.STATUS_HS_CANDIDATE, ACT["hs"]),
-        status_branch(cp, t, p, codes.STATUS_OFFER, ACT["offer"]),
+        status_branches(cp, t, p),
         decisions(cp, t, p),
         leavers(t, p),
     ])

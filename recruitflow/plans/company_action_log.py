@@ -151,6 +151,15 @@ def status_branch(cp: DataFrame, t: Tables, p: Params, statuses, label: str) ->
     return _progress_branch(applications.status_events(cp, t, statuses, p.local_bound()), "status_tm", label)
 
 
+def status_branches(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
+    """Screening passes (ITV__ only) and offers in the window, from one join with the status log."""
+    e = applications.labelled_status_events(
+        cp, t, {ACT["hs"]: codes.STATUS_HS_COMPANY, ACT["offer"]: (codes.STATUS_OFFER,)}, p.local_bound())
+    return to_schema(e.select(F.col("status_tm").alias("act_date"), F.col("candidate_progress_id").alias("act_id"),
+                              F.col("status_label").alias("act_type"), "recruiter_company_id", "job_id",
+                              "route_info"), ACTION_SCHEMA)
+
+
 def first_interviews(cp: DataFrame, p: Params) -> DataFrame:
     """First-interview dates (JSON epoch ms as a JST date) on or after the window start."""
     d = exprs.interview_set_date("candidate_progress_data_json", p.tz)
@@ -179,9 +188,8 @@ def company_actions(t: Tables, p: Params) -> DataFrame:
         footprints(t, p),
         interest_clicks(t, p),
         applied(cp, p),
-        status_branch(cp, t, p, codes.STATUS_HS_COMPANY, ACT["hs"]),
+        status_branches(cp, t, p),
         first_interviews(cp, p),
-        status_branch(cp, t, p, codes.STATUS_OFFER, ACT["offer"]),
         decisions(cp, t, p),
     ])
 

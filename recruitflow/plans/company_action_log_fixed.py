@@ -111,9 +111,11 @@ def scout_replies(t: Tables, p: Params) -> DataFrame:
 
 
 def _cohort(df: DataFrame, act_date, label: str, **extra) -> DataFrame:
+    """Project an application-based branch: cohort date = apply date.  ``label``
+    is the constant act type, unless ``act_type`` is given among ``extra``."""
     cols = [act_date.alias("act_date"), "candidate_id", "recruiter_company_id", "job_id", "route_info",
             F.col("apply_date").alias("date_for_join")] + [c.alias(n) for n, c in extra.items()]
-    return to_schema(df.select(*cols), SCHEMA, act_type=label)
+    return to_schema(df.select(*cols), SCHEMA, **({} if "act_type" in extra else {"act_type": label}))
 
 
 def decisions(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
@@ -158,6 +160,13 @@ def status_branch(cp: DataFrame, t: Tables, statuses, label: str) -> DataFrame:
     return _cohort(applications.status_events(cp, t, statuses), F.to_date("status_tm"), label)
 
 
+def status_branches(cp: DataFrame, t: Tables) -> DataFrame:
+    """Screening passes (ITV__ only) and offers by change day, from one join with the status log."""
+    e = applications.labelled_status_events(
+        cp, t, {ACT["hs"]: codes.STATUS_HS_COMPANY, ACT["offer"]: (codes.STATUS_OFFER,)})
+    return _cohort(e, F.to_date("status_tm"), "", act_type=F.col("status_label"))
+
+
 def interviews(cp: DataFrame, p: Params) -> DataFrame:
     """First-interview date from the JSON; no window beyond the cohort's."""
     iv = exprs.interview_set_date("candidate_progress_data_json", p.tz)
@@ -174,9 +183,8 @@ def company_action_log_fixed(t: Tables, p: Params) -> DataFrame:
         scout_mails(t, p),
         scout_replies(t, p),
         applied(cp),
-        status_branch(cp, t, codes.STATUS_HS_COMPANY, ACT["hs"]),
+        status_branches(cp, t),
         interviews(cp, p),
-        status_branch(cp, t, codes.STATUS_OFFER, ACT["offer"]),
         decisions(cp, t, p),
         approved_sales(cp, t, p),
     ])
