@@ -185,3 +185,33 @@ def test_explode_days_spreads_by_exploded_size(spark, monkeypatch):
     assert out.count() == 70
     plain = joins.explode_days(df, "a", "b", "d")
     assert plain.rdd.getNumPartitions() == 1 and plain.count() == 70
+
+
+def test_labelled_status_events(tiny):
+    t = tiny(candidate_progress=[(1, 7, 5, 100, TS(2018, 1, 1), D(2018, 1, 1), "APL", None)],
+             candidate_progress_log=[(1, TS(2018, 1, 5), "ITV__", "N"), (1, TS(2018, 1, 6), "MTADJ", "N"),
+                                     (1, TS(2018, 1, 7), "OFFER", "N"), (1, TS(2018, 1, 8), "OFFER", "Y"),
+                                     (1, TS(2017, 1, 7), "OFFER", "N"), (1, TS(2018, 1, 9), "HIRNG", "N")],
+             recruiter_company=companies(5))
+    cp = applications.applications_with_route(t, 1, TS(2017, 1, 1))
+    e = applications.labelled_status_events(cp, t, {"hs": ("ITV__", "MTADJ"), "offer": ("OFFER",)}, TS(2018, 1, 1))
+    assert sorted((r.status_label, r.status_tm.day) for r in e.collect()) == [("hs", 5), ("hs", 6), ("offer", 7)]
+    with pytest.raises(AssertionError):
+        applications.labelled_status_events(cp, t, {"a": ("OFFER",), "b": ("OFFER",)})
+
+
+def test_apply_cluster_defaults(spark):
+    from recruitflow.session import apply_cluster_defaults
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.skewJoin.enabled",
+            "spark.sql.requireAllClusterKeysForCoPartition", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor",
+            "spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        apply_cluster_defaults(spark, 100 * 2**40, bucketed_sources=True)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "409600"
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+        assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "false"
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
