@@ -42,9 +42,12 @@ CRS = codes.COMPANY_DIRECT
 
 def ranked_contracts(t: Tables, p: Params) -> DataFrame:
     """CRS main contracts since ``contract_since``, duplicate starts *and*
-    ends removed, with the recency rank kept as a column."""
-    c = main_contracts(t, p.owner_company_id, company_type=CRS, start_since=p.contract_since)
-    return rank_recent(drop_duplicate_contracts(c, by_end_too=True))
+    ends removed, with the recency rank kept as a column (built once per
+    source set and parameters)."""
+    def build(t: Tables) -> DataFrame:
+        c = main_contracts(t, p.owner_company_id, company_type=CRS, start_since=p.contract_since)
+        return rank_recent(drop_duplicate_contracts(c, by_end_too=True))
+    return t.derived(("m4_ranked_contracts", p), build)
 
 
 def crs_applications(t: Tables, p: Params) -> DataFrame:
@@ -53,6 +56,11 @@ def crs_applications(t: Tables, p: Params) -> DataFrame:
                                                 company_type=CRS, with_json=True)
 
 
+def shared_crs_applications(t: Tables, p: Params) -> DataFrame:
+    """``crs_applications`` written once per source set and parameters, shared."""
+    return t.derived(("m4_applications", p), lambda t: reuse(crs_applications(t, p)))
+
+
 def days_under_contract(t: Tables, p: Params) -> DataFrame:
     """One row per calendar day per CRS contract in force (end day included)."""
     first, last = p.utc_bound().date(), p.calendar_last_day()
@@ -178,7 +186,7 @@ def decisions(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
 
 def company_actions(t: Tables, p: Params) -> DataFrame:
     """The unioned branches before the contract merge."""
-    cp = reuse(crs_applications(t, p))
+    cp = shared_crs_applications(t, p)
     return union_log([
         days_under_contract(t, p),
         first_publications(t, p),

@@ -47,6 +47,11 @@ def applications_since(t: Tables, p: Params) -> DataFrame:
                                                 thread_company_type=CRS, with_json=True)
 
 
+def shared_applications(t: Tables, p: Params) -> DataFrame:
+    """``applications_since`` written once per source set and parameters, shared."""
+    return t.derived(("m5_applications", p), lambda t: reuse(applications_since(t, p)))
+
+
 def _crs(t: Tables, owner_id: int) -> DataFrame:
     """Direct-hiring company ids except the platform (checked broadcast)."""
     return t.derived(("crs_companies_no_owner", owner_id), lambda t: checked_broadcast(
@@ -175,7 +180,7 @@ def interviews(cp: DataFrame, p: Params) -> DataFrame:
 
 def company_action_log_fixed(t: Tables, p: Params) -> DataFrame:
     """The eleven branches of the fixed-start company log, unioned to ``SCHEMA``."""
-    cp = reuse(applications_since(t, p))
+    cp = shared_applications(t, p)
     return union_log([
         publications(t, p),
         login_days(t, p),

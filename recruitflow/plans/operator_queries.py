@@ -75,7 +75,7 @@ def _counter(t, agg, col, out, ratio=False):
 
 
 QUERIES = {
-    "route_info": _q(lambda t: m1.routed_applications(t, P)),
+    "route_info": _q(lambda t: m1.shared_applications(t, P)),
     "clean_contracts": _q(lambda t: clean_contracts(t, P).drop("ins_datetime")),
     "ranked_contracts": _q(lambda t: m4.ranked_contracts(t, P).drop("ins_datetime")),
     "contract_days": _q(lambda t: m4.days_under_contract(t, P)),
@@ -85,8 +85,8 @@ QUERIES = {
     "scout_sent": _q(lambda t: m1.scout_mails(t, P)),
     "status_events": _q(lambda t: (lambda cp: m1.status_branch(cp, t, P, codes.STATUS_HS_CANDIDATE, m1.ACT["hs"])
                                    .unionByName(m1.status_branch(cp, t, P, codes.STATUS_OFFER, m1.ACT["offer"])))(
-        m1.routed_applications(t, P))),
-    "net_decisions": _q(lambda t: m1.decisions(m1.routed_applications(t, P), t, P)),
+        m1.shared_applications(t, P))),
+    "net_decisions": _q(lambda t: m1.decisions(m1.shared_applications(t, P), t, P)),
     "leavers": _q(lambda t: m1.leavers(t, P)),
     "first_publish": _q(lambda t: m4.first_publications(t, P)),
     "auto_scout": _q(lambda t: m4.auto_scout_segments(t, P)),
@@ -94,11 +94,11 @@ QUERIES = {
     "company_scouts": _q(lambda t: m4.scout_mails(t, P)),
     "footprints": _q(lambda t: m4.footprints(t, P)),
     "company_interest": _q(lambda t: m4.interest_clicks(t, P)),
-    "interview_date": _q(lambda t: m4.first_interviews(m4.crs_applications(t, P), P)),
+    "interview_date": _q(lambda t: m4.first_interviews(m4.shared_crs_applications(t, P), P)),
     "company_actions": _q(lambda t: m4.company_actions(t, P)),
     "all_publish": _q(lambda t: m5.publications(t, P)),
     "scout_replies": _q(lambda t: m5.scout_replies(t, P)),
-    "sales_score": _q(lambda t: m5.approved_sales(m5.applications_since(t, P), t, P)),
+    "sales_score": _q(lambda t: m5.approved_sales(m5.shared_applications(t, P), t, P)),
     "login_2_7_ratio": _q(lambda t: _counter(t, m2.login_days_2_7(t), "login_days", "c_login_2_7_ratio", ratio=True)),
     "same_day_interest": _q(lambda t: _counter(t, m2.same_day_interest(t), "flw_1_cnt", "c_flw_1_cnt")),
     "apply_count": _q(lambda t: _counter(t, m2.application_count(t), "apl_cnt", "c_apl_cnt")),
@@ -114,17 +114,17 @@ QUERIES = {
     "company_funnel": _q(lambda t: funnel_counts(m4.company_actions(t, P), ["act_type"], "act_id")),
     "candidate_funnel": _q(lambda t: funnel_counts(m1.candidate_action_log(t, P), ["act_type"], "candidate_id")),
     "scout_funnel": _q(lambda t: funnel_counts(m1.scout_mails(t, P), ["route_info"], "message_thread_id")),
-    "company_applied": _q(lambda t: m4.applied(m4.crs_applications(t, P), P)),
-    "company_hs": _q(lambda t: m4.status_branch(m4.crs_applications(t, P), t, P, codes.STATUS_HS_COMPANY,
+    "company_applied": _q(lambda t: m4.applied(m4.shared_crs_applications(t, P), P)),
+    "company_hs": _q(lambda t: m4.status_branch(m4.shared_crs_applications(t, P), t, P, codes.STATUS_HS_COMPANY,
                                                 m4.ACT["hs"])),
-    "company_offers": _q(lambda t: m4.status_branch(m4.crs_applications(t, P), t, P, codes.STATUS_OFFER,
+    "company_offers": _q(lambda t: m4.status_branch(m4.shared_crs_applications(t, P), t, P, codes.STATUS_OFFER,
                                                     m4.ACT["offer"])),
-    "company_decisions": _q(lambda t: m4.decisions(m4.crs_applications(t, P), t, P)),
+    "company_decisions": _q(lambda t: m4.decisions(m4.shared_crs_applications(t, P), t, P)),
     "fixed_logins": _q(lambda t: m5.login_days(t, P)),
     "fixed_interest": _q(lambda t: m5.interest_clicks(t, P)),
     "fixed_scouts": _q(lambda t: m5.scout_mails(t, P)),
-    "fixed_interviews": _q(lambda t: m5.interviews(m5.applications_since(t, P), P)),
-    "fixed_decisions": _q(lambda t: m5.decisions(m5.applications_since(t, P), t, P)),
+    "fixed_interviews": _q(lambda t: m5.interviews(m5.shared_applications(t, P), P)),
+    "fixed_decisions": _q(lambda t: m5.decisions(m5.shared_applications(t, P), t, P)),
     "company_dims": _q(lambda t: company_dims(t, group_fallback_to_name=False)),
     "repeated_candidates": _q(lambda t: quality.repeated_candidates(m2.candidate_basic_info(t, P))),
     "contract_overlaps": _q(lambda t: quality.overlapping_contract_actions(m4.company_action_log(t, P))),
