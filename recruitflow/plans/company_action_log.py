@@ -64,7 +64,9 @@ def shared_crs_applications(t: Tables, p: Params) -> DataFrame:
 def days_under_contract(t: Tables, p: Params) -> DataFrame:
     """One row per calendar day per CRS contract in force (end day included)."""
     first, last = p.utc_bound().date(), p.calendar_last_day()
-    con = drop_duplicate_contracts(main_contracts(t, p.owner_company_id, company_type=CRS, with_dims=False))
+    # written once: the explode's size count and the explode itself read the same rows
+    con = t.derived(("m4_day_contracts", p), lambda t: reuse(drop_duplicate_contracts(
+        main_contracts(t, p.owner_company_id, company_type=CRS, with_dims=False))))
     d = contract_days(con, calendar(t, first, last), first, last)
     return to_schema(d.select(F.col("cal_date").alias("act_date"), F.col("b_company_id").alias("act_id"),
                               F.col("b_company_id").alias("recruiter_company_id")), ACTION_SCHEMA,
