@@ -19,3 +19,26 @@ def test_write_log_partitions_by_month(spark, tmp_path):
 def test_shuffle_partitions_for():
     assert shuffle_partitions_for(10) == 200
     assert shuffle_partitions_for(100 * 2**40) == 409600
+
+
+def test_tables_derived_memoises(tiny):
+    t = tiny()
+    calls = []
+
+    def build(tt):
+        calls.append(1)
+        return tt.candidate.select("candidate_id")
+
+    a = t.derived(("k",), build)
+    b = t.derived(("k",), build)
+    assert a is b and len(calls) == 1
+    assert t.derived(("other",), build) is not a and len(calls) == 2
+
+
+def test_reuse_checkpoints_only_with_a_folder(spark, monkeypatch):
+    import recruitflow.session as session
+    df = spark.range(10).withColumnRenamed("id", "x")
+    out = session.reuse(df)                       # the test session names a checkpoint folder
+    assert "LogicalRDD" in out._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(session, "checkpoint_dir", lambda s: None)
+    assert session.reuse(df) is df
