@@ -144,3 +144,11 @@ def test_quality_checks_hold(spark):
     assert quality.duplicate_kept_contracts(ranked_contracts(t, P)).count() == 0
     assert quality.repeated_companies(QUERIES["company_info"](spark, SF)).count() == 0
     assert quality.before_window(QUERIES["candidate_action_log"](spark, SF), P.local_bound()).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_row_caps(spark, name):
+    """Every registered query runs over whole tables: no LIMIT in its plan or its oracle SQL."""
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "GlobalLimit" not in plan and "LocalLimit" not in plan
+    assert not re.search(r"\bLIMIT\b", ORACLE[name], re.IGNORECASE)
