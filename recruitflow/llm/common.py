@@ -102,9 +102,9 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
             at = to
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends (bytes) of all words, and offsets of each text's words."""
-    inside = ~_IS_SPACE[data]
+def word_spans(data: np.ndarray, offs: np.ndarray, apart: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends (bytes) of all words, and offsets of each text's words.  ``apart``: bytes between words."""
+    inside = ~apart[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules
+from . import quality_rules, token_counts, toxicity
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,5 +19,14 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score_keys(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules,)}
+    return {f.__name__: f for f in (op1_quality_rules, op5_toxicity, op9_token_counts)}
