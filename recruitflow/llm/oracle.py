@@ -43,5 +43,24 @@ based AS (
 SELECT *, NOT base_failed AND {_verdict()} AS kept FROM based"""
 
 
+def op2() -> str:
+    chars = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v >> {k} & 31) + 1, 1)" for k in (15, 10, 5, 0))
+    return f"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex
+  FROM pages),
+b AS (
+  SELECT hex, string_agg(four, '' ORDER BY g) AS payload_digest
+  FROM (SELECT hex, g, {chars} AS four
+        FROM (SELECT hex, g, ('0x' || substr(hex, 5 * g + 1, 5))::INTEGER AS v
+              FROM (SELECT DISTINCT hex FROM p), range(8) AS r(g)))
+  GROUP BY hex),
+w AS (SELECT hex, max(page_id) AS winner FROM p GROUP BY hex)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = winner THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = winner THEN NULL ELSE winner END AS refers_to
+FROM p JOIN b USING (hex) JOIN w USING (hex)"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op1_quality_rules": op1()}
+    return {"op1_quality_rules": op1(), "op2_warc": op2()}

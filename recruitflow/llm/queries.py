@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, token_counts, toxicity
-from .common import read
+from . import mixing, quality_rules, token_counts, toxicity, warc
+from .common import new_folder, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write_archive(read(spark, sf_dir, "pages"), folder)
+    return warc.read_archive(spark, folder, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = mixing.allocations(read(spark, sf_dir, "documents"), carry=["doc_id"])
+    return got.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score_keys(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
@@ -29,4 +41,4 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op5_toxicity, op9_token_counts)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_mixing, op5_toxicity, op9_token_counts)}
