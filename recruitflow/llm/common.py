@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,9 @@ WORD_CLASS = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
 
 _U = np.uint64
-#: Bytes hashed in one numpy step.
+#: Bytes or items hashed in one numpy step.
 _STEP = 1 << 20
+MOST_WINDOW = 1 << 16
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -147,30 +149,29 @@ def word_hashes(data: np.ndarray, offs: np.ndarray, lower: bool = False) -> tupl
     return span_hashes(_LOWER[data] if lower else data, starts, ends), at
 
 
+@lru_cache(maxsize=4)
+def _window_powers(salt: int) -> np.ndarray:
+    return _powers((_BASE * (2 * salt + 1) + 2) & ((1 << 64) - 1) | 1, _STEP + MOST_WINDOW)
+
+
 def window_hashes(items: np.ndarray, length: int, salt: int = 1) -> np.ndarray:
-    """Hash of every run of ``length`` items; a run may cross texts, the caller drops those."""
+    """Hash of every run of ``length`` (up to ``MOST_WINDOW``) items; a run may cross texts, the caller drops those."""
     n = len(items) - length + 1
     if n <= 0:
         return np.zeros(0, dtype=_U)
     out = np.empty(n, dtype=_U)
-    base = _U(_BASE * salt * 2 + 1 & (1 << 64) - 1 | 1)
-    pow_ = _powers(int(base), min(n, _STEP) + length + 1)
-    top = min(n, _STEP)
+    pow_ = _window_powers(salt)
     for at in range(0, n, _STEP):
         part = items[at:at + _STEP + length - 1]
         sums = np.zeros(len(part) + 1, dtype=_U)
         np.cumsum(part * pow_[:len(part)], out=sums[1:])
         k = len(part) - length + 1
-        out[at:at + k] = (sums[length:] - sums[:k]) * pow_[top - np.arange(k)]
+        out[at:at + k] = (sums[length:] - sums[:k]) * pow_[_STEP:_STEP - k:-1]
     return mix64(out)
 
 
 def own_windows(at: np.ndarray, length: int, n: int) -> np.ndarray:
     """Which of ``n`` window starts keep their window of ``length`` items inside one text."""
-    ok = np.zeros(n, dtype=np.int32)
-    lo, hi = at[:-1], np.maximum(at[1:] - length + 1, at[:-1])
-    edge = np.zeros(n + 1, dtype=np.int32)
-    np.add.at(edge, np.minimum(lo, n), 1)
-    np.add.at(edge, np.minimum(hi, n), -1)
-    ok = np.cumsum(edge[:n])
-    return ok > 0
+    lo, hi = np.minimum(at[:-1], n), np.minimum(np.maximum(at[1:] - length + 1, at[:-1]), n)
+    edge = np.bincount(lo, minlength=n + 1) - np.bincount(hi, minlength=n + 1)
+    return np.cumsum(edge[:n]) > 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .quality_rules import MAX_REPEAT_PCT, MIN_WORDS, RULES, STOP_FORMS, WINDOW
+from .substring_dedup import LENGTH
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -62,5 +63,21 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM p JOIN b USING (hex) JOIN w USING (hex)"""
 
 
+def op6() -> str:
+    n = LENGTH
+    return f"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS rid, {WORDS} AS words FROM documents),
+win AS (
+  SELECT rid, i, array_to_string(words[i:i + {n - 1}], ' ') AS win
+  FROM (SELECT rid, words, unnest(range(1, len(words) - {n - 2})) AS i FROM w)),
+hit AS (SELECT rid, i FROM win WHERE win IN (SELECT win FROM win GROUP BY win HAVING count(*) > 1)),
+gone AS (SELECT rid, list(DISTINCT p) AS gone FROM (SELECT rid, unnest(range(i, i + {n})) AS p FROM hit) GROUP BY rid)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(
+         CASE WHEN gone IS NULL THEN words
+              ELSE list_filter(words, lambda x, k: NOT list_contains(gone, k)) END, ' '), '')) AS kept_sha256
+FROM w LEFT JOIN gone USING (rid)"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op1_quality_rules": op1(), "op2_warc": op2()}
+    return {"op1_quality_rules": op1(), "op2_warc": op2(), "op6_substring_dedup": op6()}

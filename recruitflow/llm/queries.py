@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, packing, quality_rules, token_counts, toxicity, warc
-from .common import new_folder, read
+from . import mixing, packing, quality_rules, substring_dedup, token_counts, toxicity, warc
+from .common import SPACE_CLASS, new_folder, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +37,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_keys(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = substring_dedup.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    words = F.filter(F.split("kept_text", SPACE_CLASS), lambda w: w != "")
+    return got.select("doc_id", "n_words", "n_removed",
+                      F.sha2(F.array_join(words, " ").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
@@ -45,4 +53,4 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_mixing, op5_toxicity, op7_packing, op9_token_counts)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_mixing, op5_toxicity, op6_substring_dedup, op7_packing, op9_token_counts)}
