@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality_rules, substring_dedup, token_counts, toxicity, warc
+from . import mixing, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity, warc
 from .common import SPACE_CLASS, new_folder, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,9 +48,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = suffix_dedup.remove_strings(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_mixing, op5_toxicity, op6_substring_dedup, op7_packing, op9_token_counts)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_mixing, op5_toxicity, op6_substring_dedup, op7_packing, op8_suffix_dedup, op9_token_counts)}

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_bytes, window_hashes, own_windows, span_hashes, word_spans
+from .common import covered, own_windows, span_hashes, text_bytes, window_hashes, word_spans
 from .repeats import REPEATED, in_rounds
 
 LENGTH = 35
@@ -41,12 +41,6 @@ def cover_for(length: int) -> tuple[int, tuple[int, ...]]:
     return (max(fit), COVERS[max(fit)]) if fit else (1, (0,))
 
 
-def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
-    """Which of ``n`` items lie in a window that begins at one of ``starts``."""
-    edge = np.bincount(starts, minlength=n + 1)[:n + 1] - np.bincount(np.minimum(starts + length, n), minlength=n + 1)
-    return np.cumsum(edge[:n]) > 0
-
-
 def repeated_words(data: np.ndarray, offs: np.ndarray, length: int = LENGTH) -> Generator:
     """Coroutine: anchors, then windows; returns word spans, text offsets and the mask of words to remove."""
     period, cover = cover_for(length)
