@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity, warc
+from . import minhash, mixing, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity, warc
 from .common import SPACE_CLASS, new_folder, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,5 +57,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_classes(read(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_mixing, op5_toxicity, op6_substring_dedup, op7_packing, op8_suffix_dedup, op9_token_counts)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_mixing, op5_toxicity, op6_substring_dedup, op7_packing, op8_suffix_dedup, op9_token_counts, op10_minhash)}
