@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, quality_rules, substring_dedup, suffix_dedup, token_counts, toxicity, warc
+from . import (
+    minhash,
+    mixing,
+    packing,
+    permutation_index,
+    quality_rules,
+    substring_dedup,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
 from .common import SPACE_CLASS, new_folder, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +43,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.neighbours(read(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score_keys(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
@@ -62,4 +77,4 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_mixing, op5_toxicity, op6_substring_dedup, op7_packing, op8_suffix_dedup, op9_token_counts, op10_minhash)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_mixing, op4_permutation_index, op5_toxicity, op6_substring_dedup, op7_packing, op8_suffix_dedup, op9_token_counts, op10_minhash)}
