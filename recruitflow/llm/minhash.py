@@ -121,9 +121,15 @@ def bands(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return key
 
 
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """id, the number a row is found by, and text."""
+    own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    return own.withColumn("row", F.coalesce("id", F.xxhash64("text")))
+
+
 def signed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """id, n_shingles, set key and band keys of every row."""
-    src = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    """id, row, n_shingles, set key and band keys of every row."""
+    src = _rows(docs, key, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, "text", 2 << 20):
@@ -131,10 +137,10 @@ def signed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
             b = bands(signatures(hashes, at)).view(np.int64)
             rows = pa.ListArray.from_arrays(pa.array(np.arange(0, b.size + 1, b.shape[1], dtype=np.int32)), pa.array(b.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(np.diff(at).astype(np.int64)), pa.array(set_keys(hashes, at), pa.binary()), rows],
-                ["id", "n", "key", "bands"])
+                [part.column("id"), part.column("row"), pa.array(np.diff(at).astype(np.int64)), pa.array(set_keys(hashes, at), pa.binary()), rows],
+                ["id", "row", "n", "key", "bands"])
 
-    return src.mapInArrow(run, "id long, n long, key binary, bands array<long>")
+    return src.mapInArrow(run, "id long, row long, n long, key binary, bands array<long>")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
@@ -187,17 +193,17 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
                  threshold: int = THRESHOLD) -> DataFrame:
     """key, n_shingles, component_id and kept (is the component's least id) of every row."""
     sig = written(signed(docs, key, text, size), "near-signed")
-    classes = written(sig.where("n > 0").groupBy("key").agg(
-        F.min(F.coalesce("id", F.lit(_NO_ID))).alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")),
-        "near-classes")
-    entries = classes.select("key", "rep", "n", F.explode("bands").alias("bucket"))
+    # a row without an id is found again by its text's hash
+    least = F.min(F.struct(F.coalesce("id", F.lit(_NO_ID)).alias("rep"), "row")).alias("m")
+    classes = written(sig.where("n > 0").groupBy("key").agg(least, F.first("n").alias("n"), F.first("bands").alias("bands"))
+                      .select("key", "m.rep", "m.row", "n", "bands"), "near-classes")
+    entries = classes.select("key", "rep", "row", "n", F.explode("bands").alias("bucket"))
     shared = written(entries.groupBy("bucket").count().where("count > 1").select("bucket"), "near-buckets")
     members = written(entries.join(shared, "bucket"), "near-members")
 
-    nodes = members.select("key", "rep").distinct()
-    ids = nodes.select(F.when(F.col("rep") < _NO_ID, F.col("rep")).alias("id"), "key")
-    src = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    texts = written(src.join(ids, src["id"].eqNullSafe(ids["id"])).select("key", "text"), "near-texts")
+    nodes = written(members.select("key", "rep", "row").distinct(), "near-nodes")
+    texts = written(_rows(docs, key, text).select("row", "text").join(nodes.select("row", "key"), "row")
+                    .select("key", "text"), "near-texts")
 
     def pairs_of(centres: DataFrame, lab: DataFrame) -> DataFrame:
         """Centre and members of other components in the same bucket, of fitting sizes."""
