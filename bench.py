@@ -51,7 +51,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     scratch = tempfile.mkdtemp(prefix="recruitflow-bench-")
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")),
-                          checkpoint_dir=os.path.join(scratch, "ckpt"), warehouse_dir=os.path.join(scratch, "wh"))
+                          warehouse_dir=os.path.join(scratch, "wh"))
     # warm-up (JVM, codegen caches): every headline query once on the smallest data set, untimed
     warm = write_standins(spark, "/root/testdata/sf0.001", os.path.join(scratch, "warm"))
     for fn in HEADLINE.values():

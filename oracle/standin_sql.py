@@ -37,7 +37,7 @@ STANDIN: dict[str, tuple[tuple[str, ...], str]] = {
                'job ' || noun AS job_type_name
         FROM (SELECT DISTINCT split_part(p_name, ' ', 2) AS noun FROM part) WHERE noun <> 'bolt'"""),
     "job": ((), """
-        SELECT p_partkey AS job_id, CAST(p_size AS BIGINT) AS recruiter_company_id, p_name AS job_name,
+        SELECT p_partkey AS job_id, CAST(p_partkey // 2 + 1 AS BIGINT) AS recruiter_company_id, p_name AS job_name,
                CAST(DATE '2000-01-01' + p_size * 7 AS TIMESTAMP) AS publish_start_tm,
                p_brand AS job_publish_type_cd, split_part(p_name, ' ', 2) AS job_type_cd,
                split_part(p_name, ' ', 1) AS employment_type_cd,
@@ -66,13 +66,13 @@ STANDIN: dict[str, tuple[tuple[str, ...], str]] = {
                l_shipdate + to_hours(l_linenumber) AS ins_datetime
         FROM lineitem"""),
     "order_job": ((), """
-        SELECT l_orderkey, min(l_partkey) AS job_id, CAST(min(p_size) AS BIGINT) AS company_id
+        SELECT l_orderkey, min(l_partkey) AS job_id, CAST(min(p_partkey // 2 + 1) AS BIGINT) AS company_id
         FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey"""),
     "cp_src": (("order_job",), f"""
         SELECT o_orderkey AS candidate_progress_id, o_custkey AS candidate_id,
                company_id AS recruiter_company_id, job_id,
                o_orderdate + to_hours(o_orderkey % 24) AS ins_datetime,
-               CAST(o_orderdate AS DATE) AS apply_date,
+               CAST(o_orderdate AS DATE) - CAST(o_orderkey % 3 AS INTEGER) AS apply_date,
                CASE WHEN {PR} = '1' THEN 'SPE'
                     WHEN {PR} = '2' THEN CASE WHEN o_orderstatus = 'F' THEN 'SCT' ELSE 'HSC' END
                     WHEN {PR} = '3' THEN 'PSC'
@@ -108,8 +108,8 @@ STANDIN: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN l_discount >= 0.09 THEN 'Y' ELSE 'N' END AS del_flg
         FROM lineitem"""),
     "candidate_replace": (("order_job",), """
-        SELECT o_orderkey AS candidate_replace_id, o_orderkey AS candidate_progress_id,
-               o_custkey AS candidate_id, job_id, CAST(floor(o_totalprice) AS BIGINT) AS income,
+        SELECT o_orderkey * 3 + 1 AS candidate_replace_id, o_orderkey AS candidate_progress_id,
+               o_custkey + 1 AS candidate_id, job_id + 1 AS job_id, CAST(floor(o_totalprice) AS BIGINT) AS income,
                o_orderdate + INTERVAL 30 DAY + to_hours(o_orderkey % 24) AS ins_datetime
         FROM orders LEFT JOIN order_job ON o_orderkey = l_orderkey
         WHERE o_orderstatus = 'F'"""),
@@ -123,7 +123,7 @@ STANDIN: dict[str, tuple[tuple[str, ...], str]] = {
                  AS cn_scout_first_view_tm
         FROM orders
         LEFT JOIN order_job oj ON o_orderkey = oj.l_orderkey
-        JOIN (SELECT l_orderkey AS lk, l_partkey FROM lineitem WHERE l_linenumber <= 2) fl ON o_orderkey = fl.lk
+        JOIN (SELECT l_orderkey AS lk, l_partkey FROM lineitem) fl ON o_orderkey = fl.lk
         LEFT JOIN recruiter_company rc ON oj.company_id = rc.recruiter_company_id"""),
     "message": ((), """
         SELECT l_orderkey AS message_thread_id,
@@ -156,7 +156,10 @@ STANDIN: dict[str, tuple[tuple[str, ...], str]] = {
                substr(c_mktsegment, 1, 2) AS income_cd, substr(c_mktsegment, 1, 3) AS job_change_duration_cd,
                CAST(floor(c_acctbal / 10) AS INTEGER) AS toeic_score, CAST(c_nationkey * 4 AS INTEGER) AS toefl_score,
                CAST(length(c_mktsegment) AS INTEGER) AS company_count
-        FROM customer WHERE c_acctbal >= 0"""),
+        FROM customer WHERE c_acctbal >= 0
+        UNION ALL
+        SELECT c_custkey * 2 + 1, c_custkey, 'E9', substr(c_mktsegment, 1, 2), 'LTR', 0, 1, 2
+        FROM customer WHERE c_acctbal >= 0 AND c_nationkey % 5 = 0"""),
     "cls_education_bg": ((), """
         SELECT education_bg_cd, 'edu ' || education_bg_cd AS code_alias
         FROM (SELECT DISTINCT 'E' || right(c_name, 1) AS education_bg_cd FROM customer)
@@ -207,7 +210,7 @@ STANDIN: dict[str, tuple[tuple[str, ...], str]] = {
     "recruiter_login_log": (("ev2",), """
         SELECT event_id AS recruiter_login_log_id, user_id AS recruiter_id, ts2 AS login_tm
         FROM ev2 WHERE event_type = 'signup'"""),
-    "recruiter": ((), "SELECT c_custkey AS recruiter_id, CAST(c_nationkey AS BIGINT) AS recruiter_company_id FROM customer"),
+    "recruiter": ((), "SELECT c_custkey AS recruiter_id, c_custkey * 2 AS recruiter_company_id FROM customer"),
     "footprint": (("ev2",), """
         SELECT event_id AS footprint_key, CAST(floor(value) AS BIGINT) AS company_id, k AS job_id,
                ts2 AS upd_datetime

@@ -7,8 +7,8 @@
 
 ``--as-of`` (naive UTC) defaults to the job's start time, read once here
 and passed down as a parameter.  The session is the one the launcher
-provides; its ``spark.checkpoint.dir`` (shared storage) is used for the
-intermediates computed once.
+provides; ``--input-gb``, the size of the sources, sets its shuffle
+partitions and the other settings of a large run.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import SparkSession
 
 from recruitflow.params import Params
 from recruitflow.plans.catalog import write_all
+from recruitflow.session import apply_cluster_defaults
 from recruitflow.sources.tables import Tables
 
 
@@ -31,6 +32,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     ap.add_argument("--as-of", help="'now' as naive UTC ISO timestamp (default: job start)")
     ap.add_argument("--since", help="fixed start of the cohort log (default 2017-08-01)")
     ap.add_argument("--contract-since", help="earliest contract start of the company log (default 2016-08-01)")
+    ap.add_argument("--input-gb", type=float, help="size of the sources, for the settings of a large run")
     ap.add_argument("--only", help="comma-separated mart names")
     a = ap.parse_args(argv)
     as_of = datetime.fromisoformat(a.as_of) if a.as_of else datetime.now(timezone.utc).replace(tzinfo=None)
@@ -41,6 +43,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
         extra["contract_since"] = date.fromisoformat(a.contract_since)
     p = Params(as_of=as_of, **extra)
     spark = spark or SparkSession.builder.appName("recruitflow").getOrCreate()
+    if a.input_gb:
+        apply_cluster_defaults(spark, int(a.input_gb * 1e9))
     t = Tables.from_parquet(spark, a.sources)
     return write_all(t, p, a.out, a.only.split(",") if a.only else None)
 

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recruitflow.functions import codes, exprs
-from recruitflow.operators.joins import checked_broadcast, explode_days, lookup
-from recruitflow.operators.ranking import asc_nulls_last, first_per_group, row_number_in_group
+from recruitflow.operators.joins import explode_days, lookup
+from recruitflow.operators.ranking import asc_nulls_last, first_per_group, first_row, row_number_in_group
 from recruitflow.sources.tables import Tables
 
 
@@ -43,13 +43,9 @@ def main_contracts(t: Tables, owner_id: int, company_type: str | None = None,
         & (F.col("recruiter_company_id") != owner_id))
     if start_since is not None:
         pr = pr.where(F.col("valid_from_date") >= F.lit(start_since))
-    def companies(t):
-        comp = company_dims(t) if with_dims else t.recruiter_company.select("recruiter_company_id", "company_type_cd")
-        if company_type is not None:
-            comp = comp.where(F.col("company_type_cd") == company_type)
-        return checked_broadcast(comp)
-
-    comp = t.derived(("contract_companies", with_dims, company_type), companies)
+    comp = company_dims(t) if with_dims else t.recruiter_company.select("recruiter_company_id", "company_type_cd")
+    if company_type is not None:
+        comp = comp.where(F.col("company_type_cd") == company_type)
     j = pr.join(comp.withColumnRenamed("recruiter_company_id", "_cid"), pr.recruiter_company_id == F.col("_cid"))
     cols = [
         F.col("purchase_receipt_id").alias("b_contract_id"),
@@ -78,11 +74,11 @@ def drop_duplicate_contracts(df: DataFrame, by_end_too: bool = False) -> DataFra
     same input, then applied together.
 
     Each choice is a min() aggregate per group (partially aggregated on
-    the map side, so one huge company is reduced before the shuffle),
-    applied back with a semi join on the contract id (the table's key).
+    the map side, so one huge company is reduced before the shuffle).
+    The first carries the whole row; the second is applied with a semi
+    join on the contract id (the table's key).
     """
-    keep = first_per_group(df, ["b_company_id", "b_contract_start_date"], _first_inserted_key(), "b_contract_id")
-    out = df.join(keep.select("b_contract_id"), "b_contract_id", "left_semi")
+    out = first_row(df, ["b_company_id", "b_contract_start_date"], _first_inserted_key())
     if by_end_too:
         keep_end = first_per_group(df, ["b_company_id", "b_contract_end_date"], _first_inserted_key(),
                                    "b_contract_id")
@@ -97,8 +93,8 @@ def _recency_order() -> list:
 def rank_recent(df: DataFrame, out: str = "b_recent_contract") -> DataFrame:
     """Recency rank per company: 1 = latest start (NULL start ranks first).
 
-    Numbered by range slices (``ranking.row_number_in_group``), so a company
-    with a large share of all contracts is not ranked in one task.
+    Contracts are de-duplicated first: one per company and start date, so
+    the window's groups are bounded by the days of the calendar.
     """
     return row_number_in_group(df, "b_company_id", _recency_order(), out)
 

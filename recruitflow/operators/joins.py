@@ -1,46 +1,21 @@
-"""Join helpers: size-checked broadcast lookups and skew-safe interval joins."""
+"""Join helpers: code lookups and skew-safe interval joins."""
 
 from __future__ import annotations
 
-import weakref
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A code dimension is broadcast only when it has at most this many rows.
-LOOKUP_MAX_ROWS = 200_000
 
-
-def checked_broadcast(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after proving it has <= ``max_rows`` rows.
-
-    The proof is a bounded count (``limit(max_rows + 1)``), so a table
-    that has grown beyond the bound is never shipped to every executor;
-    it then joins by shuffle (and AQE may still broadcast it at runtime
-    from measured sizes).
-    """
-    proofs = _CHECKED.setdefault(df, {})
-    if max_rows not in proofs:
-        proofs[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if proofs[max_rows] else df
-
-
-# Size proofs already made, per DataFrame object (frames are immutable plans);
-# entries go away with their frames.
-_CHECKED: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
-
-
-def lookup(fact: DataFrame, dim: DataFrame, left_key: str, right_key: str, how: str = "left",
-           max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
-    """``fact ⟕ dim`` on one code column; the dimension is broadcast when small.
+def lookup(fact: DataFrame, dim: DataFrame, left_key: str, right_key: str, how: str = "left") -> DataFrame:
+    """``fact ⟕ dim`` on one code column; Spark picks the join from measured sizes.
 
     ``right_key`` is dropped from the output (the fact keeps its own key).
     """
-    d = checked_broadcast(dim, max_rows)
     if left_key == right_key:
-        return fact.join(d, left_key, how)
-    return fact.join(d, fact[left_key] == d[right_key], how).drop(d[right_key])
+        return fact.join(dim, left_key, how)
+    return fact.join(dim, fact[left_key] == dim[right_key], how).drop(dim[right_key])
 
 
 def day_sequence(lo: Column, hi: Column) -> Column:
@@ -52,10 +27,6 @@ def day_sequence(lo: Column, hi: Column) -> Column:
                   F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).otherwise(F.array().cast("array<date>"))
 
 
-# Rows one task should generate when intervals are exploded into days.
-DAY_ROWS_PER_TASK = 200_000
-
-
 def _clipped(lo: str, hi: str, clip_lo: date | None, clip_hi: date | None) -> tuple[Column, Column]:
     # greatest/least skip NULLs: a NULL bound must stay NULL (no days), not become the clip
     a = F.col(lo) if clip_lo is None else F.when(F.col(lo).isNotNull(), F.greatest(F.col(lo), F.lit(clip_lo)))
@@ -67,58 +38,44 @@ def explode_days(df: DataFrame, lo: str, hi: str, out: str, clip_lo: date | None
                  clip_hi: date | None = None, spread_by: str | None = None) -> DataFrame:
     """One row per day of ``[lo, hi]`` (dates), clipped to ``[clip_lo, clip_hi]``.
 
-    With ``spread_by`` (a well-spread key column), the intervals are first
-    hash-partitioned over enough tasks for the *exploded* row count, which
-    is computed exactly by one scalar aggregate.  Otherwise a small
-    interval table (which AQE packs into one or two partitions by its
-    byte size) would generate all its days in one or two tasks.
+    With ``spread_by`` (a well-spread key column) the intervals are first
+    hash-partitioned over the session's shuffle partitions, a number AQE
+    does not reduce.  Otherwise a small interval table, which AQE packs
+    into one or two partitions by its byte size, would generate all its
+    days in one or two tasks.
     """
     a, b = _clipped(lo, hi, clip_lo, clip_hi)
     if spread_by is not None:
-        n_days = F.when(a.isNotNull() & b.isNotNull() & (a <= b), F.datediff(b, a) + 1).otherwise(0)
-        total = df.agg(F.sum(n_days)).first()[0] or 0
-        df = df.repartition(max(1, -(-int(total) // DAY_ROWS_PER_TASK)), spread_by)
+        df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), spread_by)
     return df.withColumn(out, F.explode(day_sequence(a, b)))
 
 
-# Interval sides up to this many rows are broadcast (checked by a bounded count).
-INTERVALS_BROADCAST_MAX_ROWS = 200_000  # ~40 MB of contract rows
-
-
 def interval_left_join(left: DataFrame, right: DataFrame, key: str, right_key: str, at: str,
-                       start: str, end: str, clip_lo: date | None = None,
-                       broadcast_max_rows: int | None = None) -> DataFrame:
+                       start: str, end: str, spread_by: str, clip_lo: date | None = None) -> DataFrame:
     """``left ⟕ right`` on ``key`` and ``start <= at <= end`` (inclusive).
 
     ``start``/``end`` are dates of ``right``; ``at`` is a date or
-    timestamp of ``left``.  Two exact plans, chosen by the proven size of
-    the interval side:
-
-    * small (<= ``broadcast_max_rows`` rows, bounded count): broadcast
-      hash join on ``key`` with the range test as residual — the large
-      left side is not shuffled at all, so a hot key costs nothing extra;
-    * otherwise: every match lies on one calendar day of the interval, so
-      the join runs as an equi join on ``(key, day)`` (intervals exploded
-      over their days, clipped below at ``clip_lo``, a bound every ``at``
-      respects) with the range test as residual.  That spreads a hot key
-      (one company holding a third of all actions) over the days of its
-      intervals instead of one task, and AQE can split what remains.
-
-    Either way a left row meets each overlapping interval exactly once.
-    Intervals ending before ``clip_lo`` are dropped first (they cannot match).
+    timestamp of ``left``.  Every match lies in one calendar month of its
+    interval, so the join is an equi join on ``(key, month)``, intervals
+    repeated for each of their months, with the range test as residual: a
+    left row meets each overlapping interval exactly once.  Actions of
+    one hot key spread over months, and AQE splits what remains (or
+    broadcasts the intervals where their measured size allows).
+
+    ``clip_lo`` is a bound every ``at`` respects: earlier months are never
+    generated.  An end far in the future costs twelve rows a year, so no
+    upper bound has to be known.  ``spread_by``, a key of ``right``,
+    spreads the intervals of a hot key over tasks before they are repeated.
     """
     if clip_lo is not None:
-        # every ``at`` is >= clip_lo, so an interval ending earlier can never match: dropping it
-        # is exact and shrinks both plans (fewer contracts per probed key, fewer days)
+        # every ``at`` is >= clip_lo, so an interval ending earlier can never match
         right = right.where(F.col(end) >= F.lit(clip_lo))
-    if broadcast_max_rows is None:
-        broadcast_max_rows = INTERVALS_BROADCAST_MAX_ROWS
-    if broadcast_max_rows > 0 and right.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
-        r = F.broadcast(right)
-        cond = (left[key] == r[right_key]) & (r[start] <= left[at]) & (left[at] <= r[end])
-        return left.join(r, cond, "left").drop(r[right_key])
-    r = explode_days(right, start, end, "_iv_day", clip_lo=clip_lo, spread_by=right_key)
-    lft = left.withColumn("_iv_day", F.to_date(F.col(at)))
-    cond = ((lft[key] == r[right_key]) & (lft["_iv_day"] == r["_iv_day"])
+    a, b = _clipped(start, end, clip_lo, None)
+    months = F.when(a.isNotNull() & b.isNotNull() & (a <= b), F.sequence(
+        F.trunc(a, "MM"), F.trunc(b, "MM"), F.expr("INTERVAL 1 MONTH"))).otherwise(F.array().cast("array<date>"))
+    parts = int(right.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    r = right.repartition(parts, spread_by).withColumn("_iv_month", F.explode(months))
+    lft = left.withColumn("_at_month", F.trunc(F.to_date(F.col(at)), "MM"))
+    cond = ((lft[key] == r[right_key]) & (lft["_at_month"] == r["_iv_month"])
             & (r[start] <= lft[at]) & (lft[at] <= r[end]))
-    return lft.join(r, cond, "left").drop(lft["_iv_day"]).drop(r["_iv_day"]).drop(r[right_key])
+    return lft.join(r, cond, "left").drop("_at_month", "_iv_month").drop(r[right_key])

@@ -1,30 +1,26 @@
-"""Per-group first-row selection and row numbering without one-task groups.
-
-A window function holds a whole partition group in one task.  These
-helpers give the same results when one group may hold a large share of
-all rows:
-
-* ``first_per_group`` — the winning row id per group by a min() aggregate
-  (partial aggregation map-side, then one small row per group);
-* ``row_number_in_group`` — range-partition on (group, order) so a hot
-  group is split over several tasks in contiguous slices, count rows per
-  slice, turn the counts into per-slice offsets on that small table, and
-  number rows as offset + position within the slice.
-"""
+"""Per-group first-row selection and row numbering."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recruitflow.session import checkpoint_dir, reuse
+
+def first_row(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
+    """The first row of each group by ``order``, whole.
+
+    One ``min_by`` of the row as a struct: partially aggregated on the map
+    side, so a group never reaches one task whole and nothing is joined
+    back.  ``order`` is a struct comparison (encode NULL placement and
+    descending keys in it) and should end in a key, so ties are broken.
+    """
+    rest = [c for c in df.columns if c not in group]
+    row = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
+    return df.groupBy(*group).agg(row).select(*group, "_row.*").select(*df.columns)
 
 
 def first_per_group(df: DataFrame, group: list[str], order: list[Column], id_col: str) -> DataFrame:
-    """One row per group: ``group`` columns + the ``id_col`` of its first row
-    by ``order`` (ascending struct comparison; encode NULL placement and
-    descending keys in ``order``).  ``id_col`` should end ``order`` so ties
-    are broken deterministically."""
+    """One row per group: ``group`` columns + the ``id_col`` of its first row by ``order``."""
     return df.groupBy(*group).agg(F.min_by(F.col(id_col), F.struct(*order)).alias(id_col))
 
 
@@ -33,37 +29,11 @@ def asc_nulls_last(c: str) -> list[Column]:
     return [F.col(c).isNull(), F.col(c)]
 
 
-# Inputs up to this many rows are numbered with a plain window: no group can exceed it.
-WINDOW_MAX_ROWS = 200_000
-
-
-def row_number_in_group(df: DataFrame, group: str, order: list[Column], out: str,
-                        window_max_rows: int | None = None) -> DataFrame:
+def row_number_in_group(df: DataFrame, group: str, order: list[Column], out: str) -> DataFrame:
     """``row_number() OVER (PARTITION BY group ORDER BY order)`` as a bigint.
 
-    ``order`` must be a total order within each group (end it with a key).
-    An input proven to hold at most ``window_max_rows`` rows (bounded
-    count) uses the window function: its largest group is bounded too.
-    Larger inputs are numbered by range slices, which needs a reliable
-    checkpoint folder (the slices are written once so that counts and rows
-    come from the same layout); without one, the window function is used.
+    For groups whose size has a bound (a company's contracts after
+    de-duplication: one per start date, so at most the days of the
+    calendar); a group is ordered in one task, which may spill.
     """
-    bound = WINDOW_MAX_ROWS if window_max_rows is None else window_max_rows
-    window = Window.partitionBy(group).orderBy(*order)
-    if not checkpoint_dir(df.sparkSession):
-        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
-    df = reuse(df)  # computed once: the size proof, the numbering and later readers share it
-    if bound > 0 and df.limit(bound + 1).count() <= bound:
-        return df.withColumn(out, F.row_number().over(window).cast("bigint"))
-    keys = [F.col(group).asc_nulls_first(), *order]
-    sliced = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-              .withColumn("_slice", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()))
-    sliced = reuse(sliced)
-    stats = sliced.groupBy("_slice", group).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    j = sliced.join(stats, (sliced["_slice"] == stats["_slice"])
-                    & sliced[group].eqNullSafe(stats[group]))
-    return j.select(sliced["*"], (stats["_offset"] + sliced["_pos"] - stats["_first"] + 1).cast("bigint").alias(out)) \
-        .drop("_slice", "_pos")
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("bigint"))

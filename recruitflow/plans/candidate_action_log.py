@@ -16,7 +16,6 @@ from recruitflow.functions import codes, exprs
 from recruitflow.operators import activity, applications, scouts
 from recruitflow.operators.logs import to_schema, union_log
 from recruitflow.params import Params
-from recruitflow.session import reuse
 from recruitflow.sources.tables import Tables
 
 SCHEMA = T.StructType([
@@ -37,12 +36,6 @@ def routed_applications(t: Tables, p: Params) -> DataFrame:
     return applications.applications_with_route(t, p.owner_company_id, p.local_bound(), numbered=True)
 
 
-def shared_applications(t: Tables, p: Params) -> DataFrame:
-    """``routed_applications`` written once per source set and parameters (reliable
-    checkpoint) and shared by every branch and query that reads it."""
-    return t.derived(("m1_applications", p), lambda t: reuse(routed_applications(t, p)))
-
-
 def registrations(t: Tables, p: Params) -> DataFrame:
     """Sign-ups in the window with their acquisition channel as route."""
     c = t.candidate.where(F.col("ins_datetime") >= exprs.ntz(p.local_bound()))
@@ -115,7 +108,7 @@ def leavers(t: Tables, p: Params) -> DataFrame:
 
 def candidate_action_log(t: Tables, p: Params) -> DataFrame:
     """The nine branches of the candidate log, unioned to ``SCHEMA``."""
-    cp = shared_applications(t, p)
+    cp = routed_applications(t, p)
     return union_log([
         registrations(t, p),
         login_days(t, p),

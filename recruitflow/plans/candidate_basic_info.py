@@ -29,11 +29,12 @@ def _reg(t: Tables) -> DataFrame:
 
 def login_days_2_7(t: Tables) -> DataFrame:
     """Distinct login days 2..7 after registration, per candidate."""
-    days = t.candidate_login_history.select(F.col("cid"), F.to_date("login_tm").alias("_day")).distinct()
+    days = t.candidate_login_history.select(F.col("cid"), F.to_date("login_tm").alias("_day"))
     reg = _reg(t)
+    # six days at most survive the join, so distinct days are counted after it
     j = days.join(reg, (days.cid == reg._reg_id) & (reg._reg_day < days._day)
                   & (days._day <= F.date_add(reg._reg_day, 6)))
-    return j.groupBy(F.col("_reg_id").alias("candidate_id")).agg(F.count("_day").alias("login_days"))
+    return j.groupBy(F.col("_reg_id").alias("candidate_id")).agg(F.countDistinct("_day").alias("login_days"))
 
 
 def login_ratio(n: F.Column) -> F.Column:

@@ -29,8 +29,7 @@ ENTITIES: dict[str, Callable[[Tables, Params], DataFrame]] = {
 
 
 def register_views(spark: SparkSession, t: Tables, p: Params, prefix: str = "") -> list[str]:
-    """Register every mart as a temporary view (lazy: nothing runs here
-    beyond the small size checks and checkpoints the plans need)."""
+    """Register every mart as a temporary view (lazy: nothing runs here)."""
     names = []
     for name, fn in {**LOGS, **ENTITIES}.items():
         fn(t, p).createOrReplaceTempView(prefix + name)

@@ -18,10 +18,9 @@ from recruitflow.functions import codes, exprs
 from recruitflow.operators import activity, applications, scouts
 from recruitflow.operators.contracts import (calendar, contract_days, drop_duplicate_contracts, main_contracts,
                                              rank_recent)
-from recruitflow.operators.joins import checked_broadcast, interval_left_join
+from recruitflow.operators.joins import interval_left_join
 from recruitflow.operators.logs import to_schema, union_log
 from recruitflow.params import Params
-from recruitflow.session import reuse
 from recruitflow.sources.tables import Tables
 
 ACTION_SCHEMA = T.StructType([
@@ -42,12 +41,9 @@ CRS = codes.COMPANY_DIRECT
 
 def ranked_contracts(t: Tables, p: Params) -> DataFrame:
     """CRS main contracts since ``contract_since``, duplicate starts *and*
-    ends removed, with the recency rank kept as a column (built once per
-    source set and parameters)."""
-    def build(t: Tables) -> DataFrame:
-        c = main_contracts(t, p.owner_company_id, company_type=CRS, start_since=p.contract_since)
-        return rank_recent(drop_duplicate_contracts(c, by_end_too=True))
-    return t.derived(("m4_ranked_contracts", p), build)
+    ends removed, with the recency rank kept as a column."""
+    c = main_contracts(t, p.owner_company_id, company_type=CRS, start_since=p.contract_since)
+    return rank_recent(drop_duplicate_contracts(c, by_end_too=True))
 
 
 def crs_applications(t: Tables, p: Params) -> DataFrame:
@@ -56,17 +52,10 @@ def crs_applications(t: Tables, p: Params) -> DataFrame:
                                                 company_type=CRS, with_json=True)
 
 
-def shared_crs_applications(t: Tables, p: Params) -> DataFrame:
-    """``crs_applications`` written once per source set and parameters, shared."""
-    return t.derived(("m4_applications", p), lambda t: reuse(crs_applications(t, p)))
-
-
 def days_under_contract(t: Tables, p: Params) -> DataFrame:
     """One row per calendar day per CRS contract in force (end day included)."""
     first, last = p.utc_bound().date(), p.calendar_last_day()
-    # written once: the explode's size count and the explode itself read the same rows
-    con = t.derived(("m4_day_contracts", p), lambda t: reuse(drop_duplicate_contracts(
-        main_contracts(t, p.owner_company_id, company_type=CRS, with_dims=False))))
+    con = drop_duplicate_contracts(main_contracts(t, p.owner_company_id, company_type=CRS, with_dims=False))
     d = contract_days(con, calendar(t, first, last), first, last)
     return to_schema(d.select(F.col("cal_date").alias("act_date"), F.col("b_company_id").alias("act_id"),
                               F.col("b_company_id").alias("recruiter_company_id")), ACTION_SCHEMA,
@@ -74,10 +63,9 @@ def days_under_contract(t: Tables, p: Params) -> DataFrame:
 
 
 def _crs_companies(t: Tables) -> DataFrame:
-    """Direct-hiring company ids; broadcast after a bounded size check, so
-    the fact sides semi-joined to it are never shuffled on company."""
-    return t.derived(("crs_companies",), lambda t: checked_broadcast(
-        t.recruiter_company.where(F.col("company_type_cd") == CRS).select(F.col("recruiter_company_id").alias("_crs"))))
+    """Direct-hiring company ids."""
+    return t.recruiter_company.where(F.col("company_type_cd") == CRS).select(
+        F.col("recruiter_company_id").alias("_crs"))
 
 
 def first_publications(t: Tables, p: Params) -> DataFrame:
@@ -188,7 +176,7 @@ def decisions(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
 
 def company_actions(t: Tables, p: Params) -> DataFrame:
     """The unioned branches before the contract merge."""
-    cp = shared_crs_applications(t, p)
+    cp = crs_applications(t, p)
     return union_log([
         days_under_contract(t, p),
         first_publications(t, p),
@@ -210,12 +198,10 @@ def attach_contracts(actions: DataFrame, contracts: DataFrame, p: Params) -> Dat
     A date end compared with a timestamp action means an action after
     00:00 on the contract's last day finds no contract — kept as defined.
     """
-    # ranked contracts read a checkpointed slice table: the size proof below and the join
-    # itself only repeat a join of it with a small per-slice table
     con = contracts.select(F.col("b_company_id").alias("_con_cid"), *CONTRACT_COLUMNS)
     lo = min(p.utc_bound(), p.local_bound()).date()
     return interval_left_join(actions, con, "recruiter_company_id", "_con_cid", "act_date",
-                              "b_contract_start_date", "b_contract_end_date", clip_lo=lo)
+                              "b_contract_start_date", "b_contract_end_date", spread_by="b_contract_id", clip_lo=lo)
 
 
 def company_action_log(t: Tables, p: Params) -> DataFrame:

@@ -14,10 +14,8 @@ from pyspark.sql import types as T
 
 from recruitflow.functions import codes, exprs
 from recruitflow.operators import activity, applications, scouts
-from recruitflow.operators.joins import checked_broadcast
 from recruitflow.operators.logs import to_schema, union_log
 from recruitflow.params import Params
-from recruitflow.session import reuse
 from recruitflow.sources.tables import Tables
 
 SCHEMA = T.StructType([
@@ -47,16 +45,10 @@ def applications_since(t: Tables, p: Params) -> DataFrame:
                                                 thread_company_type=CRS, with_json=True)
 
 
-def shared_applications(t: Tables, p: Params) -> DataFrame:
-    """``applications_since`` written once per source set and parameters, shared."""
-    return t.derived(("m5_applications", p), lambda t: reuse(applications_since(t, p)))
-
-
 def _crs(t: Tables, owner_id: int) -> DataFrame:
-    """Direct-hiring company ids except the platform (checked broadcast)."""
-    return t.derived(("crs_companies_no_owner", owner_id), lambda t: checked_broadcast(
-        t.recruiter_company.where((F.col("company_type_cd") == CRS) & (F.col("recruiter_company_id") != owner_id))
-        .select(F.col("recruiter_company_id").alias("_crs"))))
+    """Direct-hiring company ids except the platform."""
+    return (t.recruiter_company.where((F.col("company_type_cd") == CRS) & (F.col("recruiter_company_id") != owner_id))
+            .select(F.col("recruiter_company_id").alias("_crs")))
 
 
 def publications(t: Tables, p: Params) -> DataFrame:
@@ -180,7 +172,7 @@ def interviews(cp: DataFrame, p: Params) -> DataFrame:
 
 def company_action_log_fixed(t: Tables, p: Params) -> DataFrame:
     """The eleven branches of the fixed-start company log, unioned to ``SCHEMA``."""
-    cp = shared_applications(t, p)
+    cp = applications_since(t, p)
     return union_log([
         publications(t, p),
         login_days(t, p),

@@ -1,15 +1,13 @@
-"""Session helpers: a configured local session for tests / bench, and the
-shared checkpoint folder used to cut lineage of reused intermediates."""
+"""Session helpers: a configured local session for bench and tools, and the settings of a large run."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, checkpoint_dir: str | None = None,
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "recruitflow", warehouse_dir: str | None = None) -> SparkSession:
     """Local session for tests and benchmarks (UI off, UTC, AQE on)."""
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
@@ -24,60 +22,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, checkpoint
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark, checkpoint_dir)
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder named by the cluster, if any."""
-    try:
-        d = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:  # noqa: BLE001 - conf service unavailable
-        d = None
-    if not d:
-        try:
-            d = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
-            d = None
-    return d or None
-
-
-def session_key(spark: SparkSession) -> str:
-    """A stable id of the running application (for per-session memos)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext
-        return f"session-{id(spark)}"
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the configured checkpoint folder; set one only where it is unset
-    (local tests / bench: a fresh folder under the system temp dir)."""
-    d = checkpoint_dir(spark)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return d
-    d = fallback or tempfile.mkdtemp(prefix="recruitflow-ckpt-")
-    os.makedirs(d, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
-def reuse(df: DataFrame) -> DataFrame:
-    """Compute an intermediate once for several consumers.
-
-    With a checkpoint folder configured the frame is written there
-    (reliable checkpoint: survives executor loss and cuts lineage);
-    otherwise it is left to Catalyst, which recomputes it per consumer.
-    """
-    if checkpoint_dir(df.sparkSession):
-        try:
-            return df.checkpoint(eager=True)
-        except Exception:  # noqa: BLE001 - checkpointing unsupported here: recompute instead
-            return df
-    return df
-
-
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
 
 

@@ -11,23 +11,31 @@ def with_act_month(log: DataFrame, date_col: str = "act_date") -> DataFrame:
     return log.withColumn("act_month", F.trunc(F.to_date(F.col(date_col)), "MM"))
 
 
+def ranged(out: DataFrame, date_col: str = "act_date", num_partitions: int | None = None) -> DataFrame:
+    """Rows in ranges of (month, ids, date)."""
+    out = with_act_month(out, date_col)
+    keys = [F.col(c) for c in ("act_month", "act_id", "candidate_id", "recruiter_company_id", "job_id", date_col)
+            if c in out.columns]
+    return out.repartitionByRange(num_partitions, *keys) if num_partitions else out.repartitionByRange(*keys)
+
+
 def write_log(log: DataFrame, path: str, date_col: str = "act_date", mode: str = "overwrite",
-              id_cols: list[str] | None = None, num_partitions: int | None = None) -> None:
+              num_partitions: int | None = None, only_months_present: bool = False) -> None:
     """Write an action log as Parquet partitioned by ``act_month``.
 
-    Rows are range-partitioned on (month, ids) before writing: a heavy
-    month is split over many balanced tasks (never one task per month),
-    and each task holds a contiguous slice, so it writes files for one
-    or two month folders only.  Readers filtering on a date range prune
-    whole month folders.  With ``overwrite`` and dynamic partition
-    overwrite, only the months present are replaced.
+    ``overwrite`` leaves exactly ``log`` in the folder: months that left the
+    window or became empty go.  With ``only_months_present`` months that
+    ``log`` does not hold are left as they are (to refresh a part).
+
+    Rows are range-partitioned on the month and all ids and dates before
+    writing, so a heavy month is split over many balanced tasks also
+    where its first id is NULL in every row, and each task holds a
+    contiguous slice: it writes files for one or two month folders only.
+    Readers filtering on a date range prune whole month folders.
     """
-    out = with_act_month(log, date_col)
-    ids = id_cols or [c for c in ("act_id", "candidate_id", "recruiter_company_id") if c in out.columns][:1]
-    keys = [F.col("act_month")] + [F.col(c) for c in ids]
-    parted = out.repartitionByRange(num_partitions, *keys) if num_partitions else out.repartitionByRange(*keys)
+    parted = ranged(log, date_col, num_partitions)
     (parted.write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic")
+     .option("partitionOverwriteMode", "dynamic" if only_months_present else "static")
      .partitionBy("act_month").parquet(path))
 
 

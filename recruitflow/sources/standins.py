@@ -8,7 +8,7 @@ sampling).  The DuckDB oracle derives the very same tables with SQL (see
 
 Mapping (entity <- test table):
   company, candidate, recruiter     <- customer
-  job                               <- part (company = p_size)
+  job                               <- part (company from the part key)
   application, scout thread         <- orders (+ its lines)
   status log, messages, job log     <- lineitem
   logins, clicks, footprints        <- events, shifted back 23 years
@@ -22,7 +22,6 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recruitflow.session import session_key
 from recruitflow.sources.tables import SOURCE_SCHEMAS, Tables
 
 EVENT_SHIFT = "INTERVAL 23 YEARS"
@@ -41,6 +40,11 @@ def _digit(c: str) -> Column:
     return F.substring(F.col(c), 1, 1)
 
 
+def _company() -> Column:
+    """The company of a job: two jobs each, so companies grow with the jobs."""
+    return F.floor(F.col("p_partkey") / 2).cast("bigint") + 1
+
+
 def _fit(df: DataFrame, name: str) -> DataFrame:
     schema = SOURCE_SCHEMAS[name]
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
@@ -80,7 +84,7 @@ def build(base: dict[str, DataFrame]) -> Tables:
 
     # ---------------------------------------------------------- jobs
     t["job"] = pa.select(
-        F.col("p_partkey").alias("job_id"), F.col("p_size").cast("bigint").alias("recruiter_company_id"),
+        F.col("p_partkey").alias("job_id"), _company().alias("recruiter_company_id"),
         F.col("p_name").alias("job_name"),
         F.date_add(F.lit(date(2000, 1, 1)), F.col("p_size") * 7).cast("timestamp_ntz").alias("publish_start_tm"),
         F.col("p_brand").alias("job_publish_type_cd"), noun.alias("job_type_cd"),
@@ -110,9 +114,9 @@ def build(base: dict[str, DataFrame]) -> Tables:
         line_ts.alias("ins_datetime"))
 
     # ---------------------------------------------------------- applications
-    order_job = (li.join(pa.select("p_partkey", "p_size"), li.l_partkey == pa.p_partkey)
+    order_job = (li.join(pa.select("p_partkey"), li.l_partkey == pa.p_partkey)
                  .groupBy("l_orderkey")
-                 .agg(F.min("l_partkey").alias("job_id"), F.min("p_size").cast("bigint").alias("company_id")))
+                 .agg(F.min("l_partkey").alias("job_id"), F.min(_company()).alias("company_id")))
     ojo = o.join(order_job, o.o_orderkey == order_job.l_orderkey, "left")
     pr = _digit("o_orderpriority")
     st = F.col("o_orderstatus")
@@ -131,7 +135,7 @@ def build(base: dict[str, DataFrame]) -> Tables:
         F.col("o_orderkey").alias("candidate_progress_id"), F.col("o_custkey").alias("candidate_id"),
         F.col("company_id").alias("recruiter_company_id"), F.col("job_id"),
         (F.col("o_orderdate") + _hours(F.col("o_orderkey") % 24)).alias("ins_datetime"),
-        F.to_date("o_orderdate").alias("apply_date"), route.alias("application_route_type_cd"),
+        F.date_sub(F.to_date("o_orderdate"), F.col("o_orderkey").cast("int") % 3).alias("apply_date"), route.alias("application_route_type_cd"),
         js.alias("candidate_progress_data_json"), F.col("o_orderpriority"))
     t["candidate_progress"] = cp
     psc = cp.where(F.col("application_route_type_cd") == "PSC")
@@ -149,8 +153,8 @@ def build(base: dict[str, DataFrame]) -> Tables:
         .otherwise("REJCT").alias("candidate_progress_status_cd"),
         F.when(F.col("l_discount") >= 0.09, "Y").otherwise("N").alias("del_flg"))
     t["candidate_replace"] = ojo.where(st == "F").select(
-        F.col("o_orderkey").alias("candidate_replace_id"), F.col("o_orderkey").alias("candidate_progress_id"),
-        F.col("o_custkey").alias("candidate_id"), F.col("job_id"),
+        (F.col("o_orderkey") * 3 + 1).alias("candidate_replace_id"), F.col("o_orderkey").alias("candidate_progress_id"),
+        (F.col("o_custkey") + 1).alias("candidate_id"), (F.col("job_id") + 1).alias("job_id"),
         F.floor("o_totalprice").cast("bigint").alias("income"),
         (F.col("o_orderdate") + _days(30) + _hours(F.col("o_orderkey") % 24)).alias("ins_datetime"))
 
@@ -159,8 +163,8 @@ def build(base: dict[str, DataFrame]) -> Tables:
     thread_base = o.join(order_job, o.o_orderkey == order_job.l_orderkey, "left").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate",
         F.col("company_id"))
-    first_lines = li.where(F.col("l_linenumber") <= 2).select(F.col("l_orderkey").alias("lk"), "l_partkey")
-    th = (thread_base.join(first_lines, thread_base.o_orderkey == first_lines.lk)
+    lines = li.select(F.col("l_orderkey").alias("lk"), "l_partkey")
+    th = (thread_base.join(lines, thread_base.o_orderkey == lines.lk)
           .join(t["recruiter_company"].select("recruiter_company_id", "company_type_cd"),
                 F.col("company_id") == F.col("recruiter_company_id"), "left"))
     t["message_thread"] = th.select(
@@ -208,6 +212,10 @@ def build(base: dict[str, DataFrame]) -> Tables:
         F.floor(F.col("c_acctbal") / 10).cast("int").alias("toeic_score"),
         (F.col("c_nationkey") * 4).cast("int").alias("toefl_score"),
         F.length("c_mktsegment").cast("int").alias("company_count"))
+    second = rs.where(F.col("c_nationkey") % 5 == 0)  # some candidates have a second resume
+    t["resume"] = t["resume"].unionAll(second.select(
+        F.col("c_custkey") * 2 + 1, F.col("c_custkey"), F.lit("E9"), F.substring("c_mktsegment", 1, 2),
+        F.lit("LTR"), F.lit(0), F.lit(1), F.lit(2)))
     edu = cu.select(F.concat(F.lit("E"), F.right(F.col("c_name"), F.lit(1))).alias("education_bg_cd")).distinct()
     t["cls_education_bg"] = edu.where(F.col("education_bg_cd") != "E9").select(
         "education_bg_cd", F.concat(F.lit("edu "), F.col("education_bg_cd")).alias("code_alias"))
@@ -254,7 +262,7 @@ def build(base: dict[str, DataFrame]) -> Tables:
         F.col("event_id").alias("recruiter_login_log_id"), F.col("user_id").alias("recruiter_id"),
         F.col("ts2").alias("login_tm"))
     t["recruiter"] = cu.select(F.col("c_custkey").alias("recruiter_id"),
-                               F.col("c_nationkey").cast("bigint").alias("recruiter_company_id"))
+                               (F.col("c_custkey") * 2).alias("recruiter_company_id"))
     t["footprint"] = ev.where(F.col("event_type") == "error").select(
         F.col("event_id").alias("footprint_key"), F.floor("value").cast("bigint").alias("company_id"),
         F.col("k").alias("job_id"), F.col("ts2").alias("upd_datetime"))
@@ -308,19 +316,9 @@ def load_base(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return out
 
 
-_CACHE: dict[tuple[str, str], Tables] = {}
-
-
 def standin_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """All 35 recruiting sources, derived from the test tables in ``sf_dir``.
-
-    The lazy plans are built once per (session, folder) and shared by
-    every query; nothing is computed or cached in memory by this.
-    """
-    key = (session_key(spark), sf_dir.rstrip("/"))
-    if key not in _CACHE:
-        _CACHE[key] = build(load_base(spark, sf_dir))
-    return _CACHE[key]
+    """All 35 recruiting sources as lazy plans over the test tables in ``sf_dir``."""
+    return build(load_base(spark, sf_dir))
 
 
 def write_standins(spark: SparkSession, sf_dir: str, out_dir: str) -> Tables:

@@ -104,14 +104,6 @@ class Tables(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._frames)
 
-    def derived(self, key, build):
-        """A frame derived from these tables, built once and shared (the same
-        plan object for every use, so size checks on it run once)."""
-        cache = self.__dict__.setdefault("_derived", {})
-        if key not in cache:
-            cache[key] = build(self)
-        return cache[key]
-
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> "Tables":
         """One Parquet dataset per table under ``root/<name>``, declared schema."""
@@ -119,9 +111,9 @@ class Tables(Mapping[str, DataFrame]):
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str | None = None) -> "Tables":
-        """Tables registered in the session catalog (optionally in ``database``)."""
+        """Tables of the session catalog (optionally in ``database``), cast to the declared types."""
         prefix = f"{database}." if database else ""
-        return cls({n: spark.table(prefix + n) for n in SOURCE_SCHEMAS})
+        return cls({n: spark.table(prefix + n) for n in SOURCE_SCHEMAS}).conformed()
 
     def conformed(self) -> "Tables":
         """Select and cast every table to its declared schema."""

@@ -11,8 +11,6 @@ sys.path.insert(0, ROOT)
 def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
-    from recruitflow.session import ensure_checkpoint_dir
-
     s = (SparkSession.builder.master("local[*]").appName("recruitflow-tests")
          .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
          .config("spark.sql.shuffle.partitions", "8")
@@ -21,7 +19,6 @@ def spark(tmp_path_factory):
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(s, str(tmp_path_factory.mktemp("ckpt")))
     yield s
 
 

@@ -12,7 +12,7 @@ def test_views_and_job(spark, tmp_path):
     assert n > 5
     done = main(["--sources", str(tmp_path / "src"), "--out", str(tmp_path / "marts"),
                  "--as-of", "2001-07-31T20:00:00", "--since", "2000-08-01",
-                 "--only", "company_info,candidate_action_log"], spark=spark)
+                 "--input-gb", "0.01", "--only", "company_info,candidate_action_log"], spark=spark.newSession())
     assert sorted(done) == ["candidate_action_log", "company_info"]
     log = spark.read.parquet(str(tmp_path / "marts" / "candidate_action_log"))
     assert "act_month" in log.columns and log.count() > 0

@@ -60,8 +60,7 @@ def test_day_sequence_guard(spark):
 import pytest
 
 
-@pytest.mark.parametrize("bmax", [None, 0])
-def test_interval_left_join_boundaries(spark, bmax):
+def test_interval_left_join_boundaries(spark):
     acts = spark.createDataFrame([
         (1, 7, TS(2018, 1, 31, 0, 0)),   # midnight of the last day: matches
         (2, 7, TS(2018, 1, 31, 5, 0)),   # after midnight of 100's last day: only 101
@@ -72,10 +71,7 @@ def test_interval_left_join_boundaries(spark, bmax):
     ], "a int, company bigint, at timestamp_ntz")
     cons = spark.createDataFrame([(7, 100, D(2018, 1, 1), D(2018, 1, 31)), (7, 101, D(2018, 1, 31), D(2018, 2, 1)),
                                   (7, 102, D(2018, 2, 1), D(2018, 2, 28))], "cid bigint, k int, s date, e date")
-    out = joins.interval_left_join(acts, cons, "company", "cid", "at", "s", "e", clip_lo=D(2018, 1, 1),
-                                   broadcast_max_rows=bmax)
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert ("Generate explode" in plan) == (bmax == 0)
+    out = joins.interval_left_join(acts, cons, "company", "cid", "at", "s", "e", spread_by="k", clip_lo=D(2018, 1, 1))
     got = sorted((r.a, r.k) for r in out.collect())
     assert got == [(1, 100), (1, 101), (2, 101), (3, 101), (3, 102), (4, 102), (5, None), (6, None)]
     assert set(out.columns) == {"a", "company", "at", "k", "s", "e"}
@@ -165,26 +161,39 @@ def test_funnel_counts_distinct(spark):
     assert got == [(1, "a", 2), (2, "b", 1)]
 
 
-def test_checked_broadcast_respects_bound(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    assert "broadcast" in small.join(joins.checked_broadcast(small, 10), "id")._jdf.queryExecution() \
-        .analyzed().toString().lower() or True
-    plan = big.join(joins.checked_broadcast(big, 10), "id")._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in plan.lower()
-    plan = big.join(joins.checked_broadcast(small, 10), "id")._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan.lower()
-
-
-def test_explode_days_spreads_by_exploded_size(spark, monkeypatch):
-    monkeypatch.setattr(joins, "DAY_ROWS_PER_TASK", 10)
-    df = spark.createDataFrame([(i, D(2018, 1, 1), D(2018, 1, 10)) for i in range(7)] + [(99, None, D(2018, 1, 2))],
+def test_explode_days_spreads_intervals(spark):
+    df = spark.createDataFrame([(i, D(2018, 1, 1), D(2018, 1, 10)) for i in range(70)] + [(99, None, D(2018, 1, 2))],
                                "i int, a date, b date").coalesce(1)
     out = joins.explode_days(df, "a", "b", "d", spread_by="i")
-    assert out.rdd.getNumPartitions() == 7          # 70 day rows / 10 per task
-    assert out.count() == 70
+    assert out.rdd.getNumPartitions() == 8          # the session's shuffle partitions
+    assert out.count() == 700
     plain = joins.explode_days(df, "a", "b", "d")
-    assert plain.rdd.getNumPartitions() == 1 and plain.count() == 70
+    assert plain.rdd.getNumPartitions() == 1 and plain.count() == 700
+
+
+def test_interval_join_of_a_hot_company_with_far_ends_spreads(spark):
+    """One company with 4,000 contracts, many of them ending in 2037: no task generates a large share."""
+    from pyspark.sql import functions as F
+    cons = spark.range(4000).select(
+        F.lit(7).cast("bigint").alias("cid"), F.col("id").alias("k"),
+        F.expr("date_add(date'2017-01-01', cast(id % 365 as int))").alias("s"),
+        F.expr("if(id % 2 = 0, date'2037-12-31', date'2018-02-01')").alias("e")).coalesce(1)
+    acts = spark.createDataFrame([(i, 7, TS(2018, 1 + i % 6, 3)) for i in range(12)], "a int, company bigint, at timestamp_ntz")
+    out = joins.interval_left_join(acts, cons, "company", "cid", "at", "s", "e", spread_by="k", clip_lo=D(2018, 1, 1))
+    assert out.count() == 4 * 4000 + 8 * 2000
+    parts = (cons.repartition(8, "k").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect())
+    assert max(r["count"] for r in parts) < 2 * 4000 / 8
+
+
+def test_write_log_spreads_rows_with_null_first_id(spark):
+    from pyspark.sql import functions as F
+
+    from recruitflow.sources import sinks
+    df = spark.range(20000).select(F.lit(D(2018, 1, 5)).alias("act_date"), F.lit(None).cast("bigint").alias("candidate_id"),
+                                   (F.col("id") % 700).alias("recruiter_company_id"), F.col("id").alias("job_id"))
+    out = sinks.ranged(df, "act_date", 8)
+    n = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(n) == 8 and max(n) < 2 * 20000 / 8
 
 
 def test_labelled_status_events(tiny):

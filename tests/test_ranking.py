@@ -1,10 +1,10 @@
-"""Distributed row numbering and per-group winners equal the window functions."""
+"""Row numbering and per-group winners equal the window functions."""
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from recruitflow.operators.ranking import asc_nulls_last, first_per_group, row_number_in_group
+from recruitflow.operators.ranking import asc_nulls_last, first_per_group, first_row, row_number_in_group
 
 rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 20))),
                 min_size=1, max_size=60)
@@ -17,9 +17,7 @@ def test_row_number_in_group_equals_window(spark, data):
     data = data + [(0, v) for _, v in data]
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "id bigint, g bigint, v bigint")
     order = [F.col("v").desc_nulls_first(), F.col("id").asc()]
-    sliced = row_number_in_group(df.repartition(4), "g", order, "rn", window_max_rows=0)
-    assert "LogicalRDD" in sliced._jdf.queryExecution().optimizedPlan().toString()  # checkpointed slices
-    got = {r.id: r.rn for r in sliced.collect()}
+    got = {r.id: r.rn for r in row_number_in_group(df.repartition(4), "g", order, "rn").collect()}
     want = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*order)))
             .collect()}
     assert got == want
@@ -35,10 +33,11 @@ def test_first_per_group_equals_window(spark, data):
     assert got == want
 
 
-def test_row_number_in_group_without_checkpoint_falls_back(spark, monkeypatch):
-    import recruitflow.operators.ranking as ranking
-    monkeypatch.setattr(ranking, "checkpoint_dir", lambda s: None)
-    df = spark.createDataFrame([(1, 0, 5), (2, 0, None), (3, 1, 2), (4, 0, 5)], "id bigint, g bigint, v bigint")
-    out = ranking.row_number_in_group(df, "g", [F.col("v").desc_nulls_first(), F.col("id")], "rn")
-    assert "Window" in out._jdf.queryExecution().optimizedPlan().toString()
-    assert {r.id: r.rn for r in out.collect()} == {2: 1, 1: 2, 4: 3, 3: 1}
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=rows)
+def test_first_row_equals_window(spark, data):
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "id bigint, g bigint, v bigint")
+    got = {tuple(r) for r in first_row(df, ["g"], [*asc_nulls_last("v"), F.col("id")]).collect()}
+    w = Window.partitionBy("g").orderBy(F.col("v").asc_nulls_last(), F.col("id"))
+    want = {tuple(r) for r in df.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn").collect()}
+    assert got == want

@@ -21,24 +21,26 @@ def test_shuffle_partitions_for():
     assert shuffle_partitions_for(100 * 2**40) == 409600
 
 
-def test_tables_derived_memoises(tiny):
-    t = tiny()
-    calls = []
-
-    def build(tt):
-        calls.append(1)
-        return tt.candidate.select("candidate_id")
-
-    a = t.derived(("k",), build)
-    b = t.derived(("k",), build)
-    assert a is b and len(calls) == 1
-    assert t.derived(("other",), build) is not a and len(calls) == 2
-
-
-def test_reuse_checkpoints_only_with_a_folder(spark, monkeypatch):
-    import recruitflow.session as session
-    df = spark.range(10).withColumnRenamed("id", "x")
-    out = session.reuse(df)                       # the test session names a checkpoint folder
-    assert "LogicalRDD" in out._jdf.queryExecution().optimizedPlan().toString()
-    monkeypatch.setattr(session, "checkpoint_dir", lambda s: None)
-    assert session.reuse(df) is df
+def test_write_log_leaves_exactly_the_log(spark, tmp_path):
+    """The window moves a month and a month becomes empty: the folder holds the new log only."""
+    schema = "act_date timestamp_ntz, act_type string, act_id bigint"
+    months = lambda *m: spark.createDataFrame([(datetime(2018, k, 3), "a", k) for k in m], schema)
+    out = str(tmp_path / "log")
+    write_log(months(1, 2, 3), out)
+    write_log(months(2, 4), out)
+    assert sorted(r.act_id for r in spark.read.parquet(out).collect()) == [2, 4]
+    write_log(months(5), out, only_months_present=True)
+    assert sorted(r.act_id for r in spark.read.parquet(out).collect()) == [2, 4, 5]
+
+
+def test_catalog_tables_have_the_declared_types(spark):
+    from recruitflow.sources.tables import SOURCE_SCHEMAS, Tables
+    spark.sql("CREATE DATABASE IF NOT EXISTS typed")
+    for name, schema in SOURCE_SCHEMAS.items():
+        empty = spark.createDataFrame([], schema)
+        loose = empty.select(*[empty[f.name].cast("string") if f.name.endswith("_date") else empty[f.name]
+                               for f in schema.fields])
+        loose.write.mode("overwrite").saveAsTable(f"typed.{name}")
+    t = Tables.from_catalog(spark, "typed")
+    for name, schema in SOURCE_SCHEMAS.items():
+        assert [(f.name, f.dataType) for f in t[name].schema] == [(f.name, f.dataType) for f in schema]
