@@ -177,7 +177,7 @@ def own_windows(at: np.ndarray, length: int, n: int) -> np.ndarray:
     return np.cumsum(edge[:n]) > 0
 
 
-def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
-    """Which of ``n`` items lie in a window that begins at one of ``starts``."""
+def covered(n: int, starts: np.ndarray, length: int | np.ndarray) -> np.ndarray:
+    """Which of ``n`` items lie in a window of ``length`` that begins at one of ``starts``."""
     edge = np.bincount(starts, minlength=n + 1)[:n + 1] - np.bincount(np.minimum(starts + length, n), minlength=n + 1)
     return np.cumsum(edge[:n]) > 0

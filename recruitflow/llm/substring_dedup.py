@@ -57,7 +57,8 @@ def repeated_words(data: np.ndarray, offs: np.ndarray, length: int = LENGTH) ->
     hit = pick[(got & REPEATED) > 0]
     full = window_hashes(words, length)
     # a window that holds an anchor begins at most period - 1 words before it
-    near = covered(len(words), np.maximum(hit - (period - 1), 0), period)[:len(full)] if len(hit) else np.zeros(len(full), bool)
+    least = np.maximum(hit - (period - 1), 0)
+    near = covered(len(words), least, hit + 1 - least)[:len(full)]
     pick = np.flatnonzero(near & own_windows(at, length, len(full)))
     more = (window_hashes(words, length, salt=3) >> np.uint64(32)).astype(np.uint32) if len(pick) else np.zeros(len(full), np.uint32)
     got = yield full[pick], more[pick], None
