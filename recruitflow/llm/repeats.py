@@ -32,8 +32,27 @@ REPEATED, ASKED = 1, 2
 Keys = tuple[np.ndarray, np.ndarray | None, np.ndarray | None]
 Step = Callable[[pa.Table], Generator[Keys, np.ndarray, pa.Table]]
 
-_FLAGS = "round int, chunk long, slot int, flags binary"
-_KEYS = "slot int, chunk long, keys binary, more binary, twice binary, asked binary"
+_FLAGS = "chunk long, round int, slot int, flags binary"
+#: A question (keys and marks of one chunk for one slot), or an answer on its way back to its chunk (slot: none).
+_KEYS = ("to long, chunk long, slot int, keys binary, more binary, twice binary, asked binary, "
+         "round int, flags binary")
+_KEY_TYPES = (pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 4, pa.int32(), pa.binary())
+_FLAG_TYPES = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
+
+
+def _table(rows: list[tuple], schema: str, kinds: tuple) -> pa.Table:
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * len(kinds)
+    return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                    names=[x.split()[0] for x in schema.split(", ")])
+
+
+def _packed(flags: np.ndarray) -> bytes:
+    return np.packbits(np.stack([flags & REPEATED, flags >> 1])).tobytes()
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    one, two = np.unpackbits(np.frombuffer(data, np.uint8), count=2 * n).reshape(2, n)
+    return one | two << 1
 
 
 def _unique(keys: Keys) -> tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray, np.ndarray]:
@@ -69,10 +88,10 @@ def _bits(x: np.ndarray) -> bytes:
 
 def _replay(step: Step, texts: pa.Table, flags: pa.Table | None, rounds: int, slots: int):
     """Run the step through the rounds answered so far: its next keys, or its result."""
-    answers: dict[int, dict[int, np.ndarray]] = {}
+    answers: dict[int, dict[int, bytes]] = {}
     if flags is not None:
         for r, s, f in zip(*(flags.column(c).to_pylist() for c in ("round", "slot", "flags")), strict=True):
-            answers.setdefault(r, {})[s] = np.frombuffer(f, np.uint8)
+            answers.setdefault(r, {})[s] = f
     run = step(texts)
     try:
         keys = next(run)
@@ -82,7 +101,7 @@ def _replay(step: Step, texts: pa.Table, flags: pa.Table | None, rounds: int, sl
             if r in answers:
                 cuts = _cuts(h1, slots)
                 for s, f in answers[r].items():
-                    got[cuts[s]:cuts[s + 1]] = f
+                    got[cuts[s]:cuts[s + 1]] = _unpacked(f, cuts[s + 1] - cuts[s])
             keys = run.send(got[place])
     except StopIteration as end:
         return None, end.value
@@ -90,37 +109,34 @@ def _replay(step: Step, texts: pa.Table, flags: pa.Table | None, rounds: int, sl
 
 
 def _ask(step: Step, rounds: int, slots: int):
-    names = [x.split()[0] for x in _KEYS.split(", ")]
+    """Questions of one chunk; the answers it has so far travel on with them."""
 
-    def rows(chunk: int, texts: pa.Table, flags: pa.Table | None) -> pa.Table:
+    def rows(key: tuple, texts: pa.Table, flags: pa.Table | None = None) -> pa.Table:
+        chunk = key[0].as_py()
         keys, _ = _replay(step, texts, flags, rounds, slots)
-        out = []
+        out: list[tuple] = []
+        if flags is not None:
+            out = [(-1 - chunk, chunk, s, None, None, None, None, r, f) for r, s, f in zip(
+                *(flags.column(c).to_pylist() for c in ("round", "slot", "flags")), strict=True)]
         if keys is not None and len(keys[0]):
             h1, h2, twice, asked, _ = _unique(keys)
             cuts = _cuts(h1, slots)
             for s in np.flatnonzero(np.diff(cuts)):
                 a, b = cuts[s], cuts[s + 1]
-                out.append((int(s), chunk, h1[a:b].tobytes(), None if h2 is None else h2[a:b].astype(np.uint32).tobytes(),
-                            _bits(twice[a:b]), _bits(asked[a:b])))
-        cols = list(zip(*out, strict=True)) if out else [[]] * 6
-        kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 4)
-        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+                out.append((int(s), chunk, int(s), h1[a:b].tobytes(),
+                            None if h2 is None else h2[a:b].astype(np.uint32).tobytes(),
+                            _bits(twice[a:b]), _bits(asked[a:b]), None, None))
+        return _table(out, _KEYS, _KEY_TYPES)
 
     return rows
 
 
-def _alone(rows):
-    return lambda key, texts: rows(key[0].as_py(), texts, None)
-
-
-def _answered(rows):
-    return lambda key, texts, flags: rows(key[0].as_py(), texts, flags)
-
-
 def _answer(number: int):
     """Answers of one slot: bit 1 if a key is repeated, bit 2 if a chunk asks for it."""
 
     def run(table: pa.Table) -> pa.Table:
+        if table["to"][0].as_py() < 0:  # earlier answers
+            return table.select([x.split()[0] for x in _FLAGS.split(", ")])
         held = table.to_pydict()
         h1 = np.frombuffer(b"".join(held["keys"]), np.uint64)
         lens = np.array([len(k) // 8 for k in held["keys"]])
@@ -140,7 +156,7 @@ def _answer(number: int):
         first = np.flatnonzero(new)
         count = np.add.reduceat(plane("twice")[order].astype(np.int64) + 1, first)
         asked = np.maximum.reduceat(plane("asked")[order], first)
-        value = np.where(count > 1, REPEATED, 0) | np.where(asked > 0, ASKED, 0)
+        value = (np.where(count > 1, REPEATED, 0) | np.where(asked > 0, ASKED, 0)).astype(np.uint8)
         flags = np.empty(len(a), np.uint8)
         flags[order] = value[np.cumsum(new) - 1]
         out, at = [], 0
@@ -148,15 +164,20 @@ def _answer(number: int):
             part = flags[at:at + n]
             at += n
             if (part & REPEATED).any():
-                out.append((number, chunk, slot, part.tobytes()))
-        cols = list(zip(*out, strict=True)) if out else [[]] * 4
-        kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary())
-        return pa.table([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                        names=[x.split()[0] for x in _FLAGS.split(", ")])
+                out.append((chunk, number, slot, _packed(part)))
+        return _table(out, _FLAGS, _FLAG_TYPES)
 
     return run
 
 
+def _alone(rows):
+    return lambda key, texts: rows(key, texts)
+
+
+def _answered(rows):
+    return lambda key, texts, flags: rows(key, texts, flags)
+
+
 def in_rounds(docs: DataFrame, step: Step, rounds: int, schema, keys_per_byte: float, text: str = "text",
               chunk_bytes: int = CHUNK_BYTES, slot_bytes: int = SLOT_BYTES) -> DataFrame:
     """Run ``step`` on chunks of ``docs`` through ``rounds`` rounds; rows of its results, with ``schema``."""
@@ -168,12 +189,13 @@ def in_rounds(docs: DataFrame, step: Step, rounds: int, schema, keys_per_byte: f
     held = docs.withColumn("__chunk", chunk)
     flags = None
     for number in range(rounds):
+        texts = held.groupBy("__chunk")
         rows = _ask(step, number, slots)
+        # a chain: each round takes the last one's answers and passes them on with its own
         if flags is None:
-            keys = held.groupBy("__chunk").applyInArrow(_alone(rows), _KEYS)
+            keys = texts.applyInArrow(_alone(rows), _KEYS)
         else:
-            keys = held.groupBy("__chunk").cogroup(flags.groupBy("chunk")).applyInArrow(_answered(rows), _KEYS)
-        new = keys.groupBy("slot").applyInArrow(_answer(number), _FLAGS)
-        flags = new if flags is None else flags.unionByName(new)
+            keys = texts.cogroup(flags.groupBy("chunk")).applyInArrow(_answered(rows), _KEYS)
+        flags = keys.groupBy("to").applyInArrow(_answer(number), _FLAGS)
     return held.groupBy("__chunk").cogroup(flags.groupBy("chunk")).applyInArrow(
         lambda table, f: _replay(step, table, f, rounds, slots)[1], schema)

@@ -35,7 +35,6 @@ table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Generator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +45,8 @@ from .common import _BYTE, covered, mix64, own_windows, text_bytes, window_hashe
 from .repeats import ASKED, REPEATED, in_rounds
 
 LENGTH = 200
+#: A chunk's texts: its hashes take about 40 times as much memory.
+CHUNK_BYTES = 2 << 20
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C55, 0xC2B2AE3D27D4EB4D)
 
@@ -59,24 +60,26 @@ def block_sizes(length: int, gram: int) -> list[int]:
     return sizes[::-1]
 
 
-@lru_cache(maxsize=4)
+_SCALES: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _scale(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base and of its inverse modulo 2**64."""
-    both = []
-    for base in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
-        p = np.full(n, base, dtype=_U)
-        p[0] = 1
-        both.append(np.multiply.accumulate(p))
-    return both[0], both[1]
+    """Powers of a base and of its inverse modulo 2**64, at least ``n`` of each."""
+    if which not in _SCALES or len(_SCALES[which][0]) < n:
+        both = []
+        for base in (_BASES[which], pow(_BASES[which], -1, 1 << 64)):
+            p = np.full(n, base, dtype=_U)
+            p[0] = 1
+            both.append(np.multiply.accumulate(p))
+        _SCALES[which] = both[0], both[1]
+    return _SCALES[which]
 
 
 class Prefixes:
     """Names of any byte range of a chunk."""
 
     def __init__(self, items: np.ndarray) -> None:
-        n = 1 << 22
-        while n < len(items) + 1:
-            n *= 2
+        n = max(len(items) + 1, 3 << 20)
         self.sums, self.back = [], []
         for which in range(2):
             up, down = _scale(which, n)
@@ -177,4 +180,4 @@ def remove_strings(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
                          pa.array(np.diff(spans)), kept.cast(pa.binary())],
                         names=[*names, "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return in_rounds(src, step, rounds_of(length), schema, keys_per_byte=0.05, text=text)
+    return in_rounds(src, step, rounds_of(length), schema, keys_per_byte=0.05, text=text, chunk_bytes=CHUNK_BYTES)
