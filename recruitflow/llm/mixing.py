@@ -48,6 +48,8 @@ BLOCK_WORDS = 1 << 16
 MOST_BLOCKS = 1 << 18
 SHARD_WORDS = 1 << 22
 SEED = 20_24
+#: Names of the columns that this module adds.
+ADDED = ("size", "source_size", "target", "taken", "draws", "repeat", "shard", "words", "place")
 
 
 def n_words(text: str = "text"):
@@ -100,8 +102,7 @@ def allocations(docs: DataFrame, source: str = "source", text: str = "text", key
     ``draws`` is an array of (repeat, shard, words); documents not taken have an empty one.
     """
     spark = docs.sparkSession
-    added = ("size", "source_size", "target", "taken", "draws")
-    carry = [c for c in (carry if carry is not None else docs.columns) if c not in added and not c.startswith("__")]
+    carry = [c for c in (carry if carry is not None else docs.columns) if c not in ADDED and not c.startswith("__")]
     sized = written(docs.select(
         *carry, F.col(source).alias("__source"), n_words(text).alias("size"),
         F.xxhash64(F.lit(SEED), F.col(key), F.col(text)).alias("__h")), "mix-sized")
@@ -195,7 +196,7 @@ def mix(docs: DataFrame, text: str = "text", **how) -> DataFrame:
     """
     got = allocations(docs, text=text, **how)
     rows = got.select("*", F.explode("draws").alias("__d")).select(
-        *[c for c in docs.columns if c in got.columns], "size", "__d.repeat", "__d.shard", "__d.words",
+        *[c for c in docs.columns if c in got.columns and c not in ADDED], "size", "__d.repeat", "__d.shard", "__d.words",
         F.xxhash64(F.lit(SEED + 2), F.col("__d.shard"), F.col("__d.repeat"), "__h").alias("place"))
     rows = rows.withColumns({"__cut": F.col("words") < F.col("size")})
     whole = rows.where(~F.col("__cut"))
