@@ -2,18 +2,16 @@
 
 from oracle.mart_sql import sql_for
 
-from oracle.mart_sql import IND
-
 SQL: dict[str, str] = {
-    "route_info": sql_for("m1_cp"),
-    "clean_contracts": sql_for("m3_con", "SELECT * EXCLUDE (rn) FROM m3_con WHERE rn = 1"),
-    "ranked_contracts": sql_for("m4_con2", "SELECT * RENAME (recruiter_company_id AS b_company_id) FROM m4_con2"),
+    "route_info": sql_for("m1_cp", "SELECT * EXCLUDE (js) FROM m1_cp"),
+    "clean_contracts": sql_for("clean_contract", "SELECT * EXCLUDE (entered, recency) FROM clean_contract"),
+    "ranked_contracts": sql_for("ranked_contract"),
     "contract_days": sql_for("m4_contract_days"),
     "registrations": sql_for("m1_reg"),
     "login_days": sql_for("m1_login"),
     "interest_days": sql_for("m1_flw"),
     "scout_sent": sql_for("m1_ps"),
-    "status_events": sql_for("m1", "SELECT * FROM m1_hs UNION ALL SELECT * FROM m1_offer"),
+    "status_events": sql_for("m1", "FROM m1_hs UNION ALL FROM m1_offer"),
     "net_decisions": sql_for("m1_dec"),
     "leavers": sql_for("m1_left"),
     "first_publish": sql_for("m4_pub"),
@@ -23,15 +21,15 @@ SQL: dict[str, str] = {
     "footprints": sql_for("m4_foot"),
     "company_interest": sql_for("m4_flw"),
     "interview_date": sql_for("m4_iv"),
-    "company_actions": sql_for("m4_tran"),
+    "company_actions": sql_for("m4_all"),
     "all_publish": sql_for("m5_pub"),
     "scout_replies": sql_for("m5_rep"),
     "sales_score": sql_for("m5_sales"),
     "login_2_7_ratio": sql_for("m2_login", "SELECT candidate_id, CAST(CAST(n AS DECIMAL(18,0)) / 6 AS DECIMAL(29,11)) "
                                            "AS c_login_2_7_ratio FROM m2_login"),
     "same_day_interest": sql_for("m2_flw", "SELECT candidate_id, n AS c_flw_1_cnt FROM m2_flw"),
-    "apply_count": sql_for("m2_apl", "SELECT candidate_id, n AS c_apl_cnt FROM m2_apl"),
-    "hs_count": sql_for("m2_hs", "SELECT candidate_id, n AS c_hs_cnt FROM m2_hs"),
+    "apply_count": sql_for("m2_progress", "SELECT candidate_id, applied AS c_apl_cnt FROM m2_progress"),
+    "hs_count": sql_for("m2_progress", "SELECT candidate_id, screened AS c_hs_cnt FROM m2_progress"),
     "scout_counts": sql_for("m2_ps", "SELECT candidate_id, crs AS c_crs_ps_cnt, ess AS c_ess_ps_cnt FROM m2_ps"),
     "candidate_profile": sql_for("m2", "SELECT * EXCLUDE (c_login_2_7_ratio, c_flw_1_cnt, c_apl_cnt, c_hs_cnt, "
                                        "c_crs_ps_cnt, c_ess_ps_cnt) FROM m2"),
@@ -60,11 +58,7 @@ SQL: dict[str, str] = {
     "fixed_scouts": sql_for("m5_ps"),
     "fixed_interviews": sql_for("m5_iv"),
     "fixed_decisions": sql_for("m5_dec"),
-    "company_dims": sql_for("m3_con", f"""
-        SELECT rc.recruiter_company_id, rc.company_name, rc.company_type_cd, a.area_name,
-               {IND('b.business_type_group_cd')} AS business_group_name, b.business_type_name
-        FROM recruiter_company rc LEFT JOIN mst_area a ON rc.area_cd = a.mst_area_cd
-        LEFT JOIN mst_business_type b ON rc.business_type_cd = b.business_type_cd"""),
+    "company_dims": sql_for("company", "SELECT * RENAME (industry AS business_group_name) FROM company"),
     "repeated_candidates": sql_for("m2", """
         SELECT c_candidate_id, count(*) AS n_rows FROM m2 GROUP BY c_candidate_id HAVING count(*) > 1"""),
     "contract_overlaps": sql_for("m4", """

@@ -146,24 +146,15 @@ def income_median(lower: Column | str, upper: Column | str) -> Column:
     return (as_col(lower).cast(DEC_38_2) + as_col(upper).cast(DEC_38_2)) / F.lit(2)
 
 
-def sales_score(price: Column, kind: Column, prev_kind: Column, previous_id: Column, enabled: Column) -> Column:
+def sales_score(price: Column, kind: Column, prev_kind: Column, previous_id: Column) -> Column:
     """Contribution of one approved sales row to the decision count.
 
-    First matching arm wins: no price 0; replacement +1; offset of a
-    reduction 0; other offset -1; borrowed with a predecessor +1, without
-    0; disabled reduction 0; anything else 0.
+    A priced row counts +1 as a replacement or a borrowing with a
+    predecessor, and -1 as an offset of anything but a reduction.
     """
-    return (
-        F.when(price.isNull(), 0)
-        .when(kind == codes.SALES_REPLACE, 1)
-        .when((kind == codes.SALES_OFFSET) & (prev_kind == codes.SALES_REDUCE), 0)
-        .when(kind == codes.SALES_OFFSET, -1)
-        .when((kind == codes.SALES_BORROW) & previous_id.isNotNull(), 1)
-        .when((kind == codes.SALES_BORROW) & previous_id.isNull(), 0)
-        .when((kind == codes.SALES_REDUCE) & (enabled == "N"), 0)
-        .otherwise(0)
-        .cast("bigint")
-    )
+    up = (kind == codes.SALES_REPLACE) | ((kind == codes.SALES_BORROW) & previous_id.isNotNull())
+    down = (kind == codes.SALES_OFFSET) & ~prev_kind.eqNullSafe(codes.SALES_REDUCE)
+    return F.when(price.isNull(), 0).when(up, 1).when(down, -1).otherwise(0).cast("bigint")
 
 
 def ntz_day(d: date) -> Column:

@@ -139,7 +139,7 @@ def approved_sales(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
          .join(cp.select("candidate_progress_id", "recruiter_company_id", "route_info", "apply_date"),
                F.col("_cr_pid") == F.col("candidate_progress_id")))
     score = exprs.sales_score(F.col("sales_price"), F.col("sales_product_type_cd"), F.col("_prev_kind"),
-                              F.col("previous_id"), F.col("sales_enable_flg"))
+                              F.col("previous_id"))
     out = j.select(F.col("hassei_date").alias("act_date"), F.col("_cr_candidate").alias("candidate_id"),
                    "recruiter_company_id", F.col("_cr_job").alias("job_id"), "route_info",
                    F.col("apply_date").alias("date_for_join"), F.col("sales_price").alias("replace_income"),

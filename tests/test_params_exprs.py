@@ -85,8 +85,7 @@ def test_sales_score_arms(spark):
             (10, "OFF", "BOR", 1, "Y"), (10, "BOR", None, 1, "Y"), (10, "BOR", None, None, "Y"),
             (10, "RDC", None, None, "N"), (10, "RDC", None, None, "Y"), (10, "OTH", None, None, "Y")]
     df = spark.createDataFrame(rows, "price bigint, kind string, prev string, pid bigint, en string")
-    got = [r[0] for r in df.select(exprs.sales_score(F.col("price"), F.col("kind"), F.col("prev"), F.col("pid"),
-                                                     F.col("en"))).collect()]
+    got = [r[0] for r in df.select(exprs.sales_score(F.col("price"), F.col("kind"), F.col("prev"), F.col("pid"))).collect()]
     assert got == [0, 1, 0, -1, 1, 0, 0, 0, 0]
 
 
