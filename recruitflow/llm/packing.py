@@ -40,13 +40,42 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import pieces, span_hashes, text_bytes, word_spans, written
+from .common import _LOWER, pieces, span_hashes, text_bytes, word_spans, written
 
 WINDOW = 4096
 GROUP = 64
 END_ID = 2
 #: Words whose ids a worker keeps.
-MOST_WORDS = 500_000
+MOST_WORDS = 1_000_000
+
+
+_LETTER = np.zeros(256, bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+#: ASCII marks without the apostrophe, which may start a suffix.
+_MARK = np.zeros(256, bool)
+_MARK[0x21:0x30] = _MARK[0x3A:0x41] = _MARK[0x5B:0x61] = _MARK[0x7B:0x7F] = True
+_MARK[0x27] = False
+
+
+def atoms(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, starts and ends of the pieces that are tokenized alone, and offsets of each text's pieces.
+
+    Words, cut between an ASCII letter and an ASCII mark other than the
+    apostrophe (the rules part the two anyway) and in lower case (as the
+    rules make them), so that few distinct pieces remain.  Where a
+    special string may be present words stay as they are.
+    """
+    lo, hi, at = word_spans(data, offs)
+    if b"<|" in data.tobytes() or not len(data):
+        return data, lo, hi, at
+    letter, mark = _LETTER[data], _MARK[data]
+    cut = np.flatnonzero((letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])) + 1
+    cut = cut[~np.isin(cut, lo, assume_unique=True)] if len(cut) else cut  # texts may touch
+    lo = np.concatenate([lo, cut])
+    hi = np.concatenate([hi, cut])
+    lo.sort()
+    hi.sort()
+    return _LOWER[data], lo, hi, np.searchsorted(lo, offs)
 
 
 class WordTokenizer:
@@ -65,7 +94,7 @@ class WordTokenizer:
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids (each text's followed by ``end_id``) and the offsets of the texts."""
         data, offs = text_bytes(texts)
-        lo, hi, at = word_spans(data, offs)
+        data, lo, hi, at = atoms(data, offs)
         keys, where, back = np.unique(span_hashes(data, lo, hi), return_index=True, return_inverse=True)
         got = [self.known.get(k) for k in keys.tolist()]
         new = [i for i, g in enumerate(got) if g is None]
