@@ -193,7 +193,7 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, s
             .unionByName(links.select("id", "digest", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"),
                                       F.lit(None).cast("binary").alias("payload"), "refers"))
             .withColumn("shard", shard_of(F.coalesce("id", F.lit(-1 << 63)))))
-    spread = (both.repartition(len(limits) + 1, "shard")
+    spread = (both.repartitionById(len(limits) + 1, F.col("shard").cast("int"))  # a shard is a task
               .sortWithinPartitions("shard", F.col("id").asc_nulls_first(), "digest", "kind", F.col("url").asc_nulls_first()))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,7 +318,8 @@ def read_archive(spark: SparkSession, folder: str, payloads: bool = True) -> Dat
                 if held:
                     yield batch_of(held)
 
-    return manifest.repartition(F.col("file")).mapInArrow(load, schema)
+    # a number of partitions that AQE does not reduce: the rows are small, what they name is not
+    return manifest.repartition(max(1, manifest.count()), "file").mapInArrow(load, schema)
 
 
 def _typed(name: str, values: list) -> pa.Array:
