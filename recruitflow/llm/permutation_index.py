@@ -5,7 +5,8 @@ order.  Close vectors see the pivots in nearly the same order, so rows
 are ranked by the footrule distance between their permutation and the
 query's (sum over the query's pivots of the difference in position; a
 pivot outside a row's prefix counts as position ``DEPTH``), and the best
-``SHARE`` of each block of rows is reranked by the exact inner product.
+of each block, as many different vectors as ``SHARE`` of its rows, are
+reranked by the exact inner product.
 
 Largest inner product becomes nearest neighbour by one added coordinate
 that gives all vectors the length of the longest.
@@ -20,8 +21,9 @@ that gives all vectors the length of the longest.
   ``k`` rows a query, so no list of candidates leaves a task.
 * Spark keeps the best ``k`` of each query's blocks.
 
-A common vector cannot crowd a block: equal footrules are ordered by id,
-as ties of the result are.
+A common vector cannot crowd a block: equal vectors are one entry of its
+lists, and only the result has their rows, the least ids first, as its
+ties are ordered.  Equal footrules are ordered by least id.
 
 Defined results: vectors that are null, empty, zero, of another length
 than most, or hold null or non-finite components take no part, nor do
@@ -42,7 +44,7 @@ from .common import written
 PIVOTS = 256
 DEPTH = 128
 SAMPLE = 4_096
-SHARE = 8  # one of so many rows of a block is reranked
+SHARE = 8  # a block of n rows has n / SHARE different vectors reranked
 LEAST = 512  # but at least so many
 BLOCK = 8_192
 QUERIES = 2_048
@@ -109,6 +111,18 @@ def build(vectors: DataFrame, pivots: Pivots) -> DataFrame:
     return written(vectors.select("id", "v").mapInArrow(run, "id long, v array<double>, perm binary"), "ann-index")
 
 
+def _different(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows ordered by their vector, then as they are; where each different vector begins there, and its size."""
+    held = np.ascontiguousarray(x + 0.0)  # -0.0 is 0.0
+    _, which = np.unique(held.view(np.dtype((np.void, held.itemsize * held.shape[1]))).ravel(), return_inverse=True)
+    order = np.argsort(which, kind="stable")
+    size = np.bincount(which)
+    first = np.cumsum(size) - size
+    by_row = np.argsort(order[first])  # the vector whose first row comes first is the first
+    first, size = first[by_row], size[by_row]
+    return order, first, size
+
+
 def search(index: DataFrame, queries: DataFrame, pivots: Pivots, k: int = 20, block: int = BLOCK,
            group: int = QUERIES, share: int = SHARE, least: int = LEAST) -> DataFrame:
     """query_id, rank, vec_id and score of the best ``k`` found for each query (id, v)."""
@@ -127,27 +141,42 @@ def search(index: DataFrame, queries: DataFrame, pivots: Pivots, k: int = 20, bl
             order = np.argsort(ids, kind="stable")
             ids, x = ids[order], _matrix(left["v"])[order]
             perm = np.frombuffer(b"".join(left["perm"].to_pylist()), np.uint16).reshape(len(ids), depth)[order]
-            # pivot inverted files: the position of each pivot in every row's permutation
-            posts = np.full((len(pivots.points), len(ids)), depth, np.int16)
-            posts[perm, np.arange(len(ids))[:, None]] = np.arange(depth, dtype=np.int16)
+            # equal vectors are one entry; rows has the rows of an entry in order of id
+            rows, first, size = _different(x)
+            entry = np.empty(len(ids), np.int64)
+            entry[rows[np.repeat(first - np.cumsum(size) + size, size) + np.arange(len(ids))]] = np.repeat(np.arange(len(first)), size)
+            x, perm = x[rows[first]], perm[rows[first]]
+            # pivot inverted files: the position of each pivot in every entry's permutation
+            posts = np.full((len(pivots.points), len(first)), depth, np.int16)
+            posts[perm, np.arange(len(first))[:, None]] = np.arange(depth, dtype=np.int16)
             q, q_ids = _matrix(right["v"]), right["id"].to_numpy()
-            take = min(len(ids), max(least, -(-len(ids) // share)))
-            foot, diff = np.empty(len(ids), np.int16), np.empty(len(ids), np.int16)
+            take = min(len(first), max(least, -(-len(ids) // share)))
+            foot, diff = np.empty(len(first), np.int16), np.empty(len(first), np.int16)
             for i, near in enumerate(pivots.permutations(q, query=True)):
                 foot[:] = 0
                 for position, p in enumerate(near):
                     np.subtract(posts[p], position, out=diff)
                     np.abs(diff, out=diff)
                     foot += diff
-                if take < len(ids):  # ties by id: rows are ordered by it
-                    key = foot.astype(np.int64) * len(ids) + np.arange(len(ids))
-                    best = np.argpartition(key, take - 1)[:take]
-                else:
-                    best = np.arange(len(ids))
-                best = best[ids[best] != q_ids[i]]
-                score = x[best] @ q[i]
-                top = np.lexsort((ids[best], -score))[:k]
-                out.append((np.full(len(top), q_ids[i]), ids[best[top]], score[top]))
+                own = slice(*np.searchsorted(ids, [q_ids[i], q_ids[i] + 1]))
+                free = size - np.bincount(entry[own], minlength=len(size))  # rows that are not the query's
+                best = np.flatnonzero(free)
+                if take < len(best):  # ties by id: entries are ordered by their least
+                    key = foot[best].astype(np.int64) * len(first) + best
+                    best = best[np.argpartition(key, take - 1)[:take]]
+                score = (x[best] * q[i]).sum(axis=1)  # the same in every block, so that ties are ties
+                by_score = np.argsort(-score, kind="stable")
+                enough = np.searchsorted(np.cumsum(free[best[by_score]]), k)
+                if enough < len(best):
+                    held = score >= score[by_score[enough]]
+                    best, score = best[held], score[held]
+                n = np.minimum(size[best], k + own.stop - own.start)
+                row = rows[np.repeat(first[best] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+                score = np.repeat(score, n)
+                other = ids[row] != q_ids[i]
+                row, score = row[other], score[other]
+                top = np.lexsort((ids[row], -score))[:k]
+                out.append((np.full(len(top), q_ids[i]), ids[row[top]], score[top]))
         cols = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
         return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()), strict=True)],
                         names=["query_id", "vec_id", "score"])

@@ -152,6 +152,37 @@ def test_permutation_index(spark):
     assert permutation_index.neighbours(df.limit(0), permutation_index.F.col("id") % 20 == 0).count() == 0
 
 
+def test_permutation_index_with_a_common_vector(spark):
+    """A third of the rows are one vector that most queries rank early; it takes one place of a block's rerank."""
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=24)
+    centre /= np.linalg.norm(centre)
+    x = 2 * centre + 0.35 * rng.normal(size=(6_000, 24))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype("float32")
+    x[::3] = 0.6 * centre  # in the middle of all, and of a small inner product with any
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = {}
+    for r in permutation_index.neighbours(df, permutation_index.F.col("id") % 25 == 0, block=3_000).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    every, ids, recall = x.astype(float), np.arange(6_000), []
+    assert sorted(found) == list(range(0, 6_000, 25))
+    for q, v in found.items():
+        s = (every * every[q]).sum(axis=1)
+        s[q] = -np.inf
+        assert [r for r, _ in sorted(v)] == list(range(1, 21))
+        recall.append(len(set(np.lexsort((ids, -s))[:20].tolist()) & {i for _, i in v}) / 20)
+    assert np.mean(recall) >= 0.9, np.mean(recall)
+
+
+def test_permutation_index_copies_are_ordered_by_id(spark):
+    """Copies over many blocks, with an id that is repeated: the least other ids, each row once."""
+    rows = [(i, [1.0, 2.0, 0.0]) for i in range(400)] + [(7, [1.0, 2.0, -0.0])] * 30 + [(1_000 + i, [float(i), 0.1, 0.0]) for i in range(1, 3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = permutation_index.neighbours(df, permutation_index.F.col("id").isin(3, 7), block=50).orderBy("query_id", "rank").collect()
+    by = {q: [r.vec_id for r in got if r.query_id == q] for q in (3, 7)}
+    assert by == {3: [0, 1, 2, 4, 5, 6] + [7] * 14, 7: [0, 1, 2, 3, 4, 5, 6, *range(8, 21)]}
+
+
 # ------------------------------------------------------------------ 5
 def test_toxicity_learns_pairs(spark, documents, empty):
     rng = random.Random(3)
