@@ -16,6 +16,8 @@ from recruitflow.llm import minhash, mixing, packing, substring_dedup, toxicity
 from recruitflow.llm.common import read, written
 
 OWN = ("doc_id", "text", "source")
+#: Words of a shingle in the near-dedup stage: the general rule for near copies (the 4 of op10 are that query's own).
+SHINGLE = 5
 
 
 def _tucked(docs: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -53,7 +55,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     held, columns = _tucked(docs)
     rows = written(held.withColumn("row_number", F.monotonically_increasing_id()), "pipeline-rows")
-    kept = minhash.near_classes(rows, key="row_number").where("kept").select("row_number")
+    kept = minhash.near_classes(rows, key="row_number", size=SHINGLE).where("kept").select("row_number")
     rows = rows.join(kept, "row_number", "left_semi")
     return rows.select(*[F.col(c) if c in OWN else F.col(f"held_columns.`{c}`").alias(c) for c in columns])
 
