@@ -4,12 +4,14 @@
    rules make independent of each other) and closed by an end id; the
    ids are written once with each document's place in its task's source
    queues.  A source's queue is its tasks' queues one after another.
-2. All windows are numbered before any is filled.  A group of ``GROUP``
-   consecutive windows takes from source s the queue range between
-   floor(k * M * T_s / T) for its first and last token k * M; the largest
-   source takes what rounding leaves.  So the deficits at the start of
-   any group are known in closed form: they carry over from group to
-   group without one waiting for another.
+2. All windows are numbered before any is filled.  Token j of source s
+   is due at cell floor((j * T + o_s) / T_s) of T cells (o_s: a phase
+   below T, so that small sources are not due together); a group of
+   ``GROUP`` consecutive windows takes the next ``GROUP * WINDOW`` tokens
+   by (cell, source).  The bounds of the groups are found once, a cell
+   and a source each.  So the deficits at the start of any group are
+   known: they carry over from group to group without one waiting for
+   another.
 3. Documents are cut where their range crosses groups, and shuffled by
    group.  All groups hold the same number of tokens, whatever the skew
    of sources or lengths.
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -161,25 +164,50 @@ class Plan:
         self.totals = totals
         self.total = sum(totals)
         self.window = window
-        self.most = max(range(len(totals)), key=lambda s: (totals[s], -s)) if totals else 0
-        self.group = max(group, -(-len(totals) ** 2 // window))
-        self.tokens = self.group * window
+        self.group = group
+        self.tokens = group * window
+        #: Phases: multiples of the golden ratio
+        self.phase = [((i * 0x9E3779B97F4A7C15 & (1 << 64) - 1) * self.total) >> 64 for i in range(len(totals))]
+        self.bounds = list(self._bounds())
+
+    def _bounds(self) -> Iterator[tuple[int, int]]:
+        """The (cell, source) at which each group begins."""
+        n, total = np.array(self.totals, np.int64), self.total
+        yield 0, 0
+        # tokens due before the cell at hand: place rounded up, where place * total = n * cell - phase
+        rest = -np.array(self.phase, np.int64)
+        place = np.zeros(len(n), np.int64)
+        for done in range(self.tokens, total, self.tokens):
+            rest += n * self.tokens
+            place += rest // total
+            rest %= total
+            # they differ from the cell's number by less than the number of sources
+            lo, hi = max(-len(n), -done), min(len(n), total - done)
+            while hi - lo > 1:
+                mid = (lo + hi) // 2
+                if (place - -(rest + n * mid) // total).sum() <= done:
+                    lo = mid
+                else:
+                    hi = mid
+            due = place - -(rest + n * lo) // total
+            more = done - int(due.sum())  # of the cell's own tokens, at most one a source
+            own = np.flatnonzero(place - -(rest + n * (lo + 1)) // total > due)
+            yield done + lo, int(own[more - 1]) + 1 if more else 0
+
+    def due(self, s: int, cell: int) -> int:
+        """Tokens of source ``s`` due before ``cell``."""
+        return -((self.phase[s] - self.totals[s] * cell) // self.total)
 
     def served(self, s: int, k: int) -> int:
         """Tokens of source ``s`` in the groups before ``k``."""
-        done = min(k * self.tokens, self.total)
-        if s != self.most:
-            return done * self.totals[s] // self.total
-        return done - sum(done * t // self.total for i, t in enumerate(self.totals) if i != s)
+        if k >= len(self.bounds):
+            return self.totals[s]
+        cell, end = self.bounds[k]
+        return self.due(s, cell + (s < end))
 
     def group_of(self, s: int, at: int) -> int:
         """The group that takes the token at ``at`` of source ``s``'s queue."""
-        k = at * self.total // (self.totals[s] * self.tokens)
-        while self.served(s, k) > at:
-            k -= 1
-        while self.served(s, k + 1) <= at:
-            k += 1
-        return k
+        return bisect_right(self.bounds, ((at * self.total + self.phase[s]) // self.totals[s], s)) - 1
 
     def fill(self, k: int, left: list[int]) -> Iterator[list[tuple[int, int]]]:
         """For each window of group ``k``: the sources and how many tokens each gives."""
@@ -187,28 +215,30 @@ class Plan:
         debt = [done * t / self.total - self.served(s, k) if t else 0.0 for s, t in enumerate(self.totals)]
         left = list(left)
         rest = sum(left)
+        here = [s for s, n in enumerate(left) if n]  # the others give nothing
         while rest:
             size = min(self.window, rest)
             give = [0] * len(left)
-            for s, t in enumerate(self.totals):
-                debt[s] += size * t / self.total
+            for s in here:
+                debt[s] += size * self.totals[s] / self.total
                 give[s] = min(left[s], max(0, int(debt[s])))
             short = size - sum(give)
             while short < 0:  # deficits above one window: the smallest remainders wait
-                s = max((s for s in range(len(give)) if give[s]), key=lambda s: give[s] - debt[s])
+                s = max((s for s in here if give[s]), key=lambda s: give[s] - debt[s])
                 give[s] -= 1
                 short += 1
-            turn = sorted(range(len(left)), key=lambda s: give[s] - debt[s])
+            turn = sorted(here, key=lambda s: give[s] - debt[s])
             while short:
                 for s in turn:
                     more = min(left[s] - give[s], max(1, short // len(turn)), short)
                     give[s] += more
                     short -= more
-            for s, g in enumerate(give):
-                debt[s] -= g
-                left[s] -= g
+            for s in here:
+                debt[s] -= give[s]
+                left[s] -= give[s]
             rest -= size
-            yield [(s, g) for s, g in enumerate(give) if g]
+            yield [(s, give[s]) for s in here if give[s]]
+            here = [s for s in here if left[s]]
 
 
 def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", source: str = "source",

@@ -286,6 +286,28 @@ def test_plan_serves_every_token_once(totals):
     assert [p.served(s, groups) for s in range(len(totals))] == totals
 
 
+def test_groups_do_not_grow_with_the_sources():
+    rng = random.Random(4)
+    totals = [rng.choice([1, 2, 40, 700]) for _ in range(2_000)] + [300_000]
+    p = packing.Plan(totals, window=4_096, group=4)
+    assert p.tokens == 4 * 4_096  # the sources squared are 4 million
+    groups = -(-p.total // p.tokens)
+    served = [[p.served(s, k) for s in range(len(totals))] for k in range(groups + 1)]
+    for k in range(groups):
+        left = [b - a for a, b in zip(served[k], served[k + 1], strict=True)]
+        assert min(left) >= 0 and sum(left) == min(p.tokens, p.total - k * p.tokens)
+        windows = list(p.fill(k, left))
+        assert all(sum(g for _, g in w) == 4_096 for w in windows[:-1])
+        assert sum(g for w in windows for _, g in w) == sum(left)
+        slack = [abs(k * p.tokens * t / p.total - a) for t, a in zip(totals, served[k], strict=True)]
+        assert max(slack[:-1]) < 2 and slack[-1] < 100  # a share is kept to a token or two
+    assert served[-1] == totals
+    for s in (0, 1, 2, 3, 2_000):
+        for at in range(0, totals[s], max(1, totals[s] // 50)):
+            k = p.group_of(s, at)
+            assert served[k][s] <= at < served[k + 1][s]
+
+
 # ------------------------------------------------------------------ 8
 @pytest.mark.parametrize("length", [200, 16, 1])
 def test_suffix_dedup(documents, empty, length):
