@@ -14,9 +14,12 @@ The byte-level BPE tokenizer is compiled into two deterministic machines.
 A chunk of text acts on the machine as a ``StateMap``: characters before
 its first forced start (their pre-token began earlier), tokens emitted
 between, characters after its last forced start (their pre-token is
-still open).  Maps compose associatively, so chunks of one text can be
-mapped in any order and joined by a prefix scan; texts longer than
-``CHUNK`` characters go this way, shorter ones are chunks by themselves.
+still open).  Maps compose associatively.  One text is counted inside one
+task, whatever its length: a text of more than ``CHUNK`` characters that
+is also longer than 4 * ``CHUNK`` bytes (or shares its slice of a batch
+with a special string that it does not hold itself) is mapped chunk by
+chunk and the maps are joined from left to right; nothing is dealt to
+other tasks.  Every other text is decided at once, without maps.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; a text
 that holds a special string of the vocabulary is counted as the library
