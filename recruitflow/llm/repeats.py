@@ -8,8 +8,9 @@ One round: every chunk makes its keys unique (a key that a chunk holds a
 thousand times is sent once, marked), and sends them by key range to
 slots; a slot sorts the keys of all chunks and answers with two bits a
 key.  So a key held by a third of all texts costs its slot one entry a
-chunk, and no task ever holds a group of texts.  Chunks are rebuilt from
-the same shuffle in each round; nothing is collected.  Sizes of chunks
+chunk, and no task ever holds a group of texts.  Rows are dealt
+to chunks by their number in a written copy.  Chunks are rebuilt from the
+same shuffle in each round; nothing is collected.  Sizes of chunks
 and slots are fixed, their numbers follow the input.
 """
 
@@ -22,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: A chunk's texts and a slot's keys, in bytes.
 CHUNK_BYTES = 4 << 20
 SLOT_BYTES = 8 << 20
@@ -184,9 +187,9 @@ def in_rounds(docs: DataFrame, step: Step, rounds: int, schema, keys_per_byte: f
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
     chunks = max(1, -(-total // chunk_bytes))
     slots = max(1, int(total * keys_per_byte * 8) // slot_bytes, min(chunks, 32))
-    # exact copies differ in other columns, so that a large group of copies is spread
-    chunk = F.pmod(F.xxhash64(*docs.columns), F.lit(chunks))
-    held = docs.withColumn("__chunk", chunk)
+    # rows are numbered in a written copy, so that equal rows are spread and every round sees the same chunks
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "repeats-rows")
+    held = rows.withColumn("__chunk", F.pmod(F.xxhash64("__row"), F.lit(chunks))).drop("__row")
     flags = None
     for number in range(rounds):
         texts = held.groupBy("__chunk")

@@ -17,6 +17,7 @@ from recruitflow.llm import (
     packing,
     permutation_index,
     quality_rules,
+    repeats,
     substring_dedup,
     suffix_dedup,
     token_counts,
@@ -230,6 +231,18 @@ def test_substring_dedup(documents, empty, length):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_equal_rows_are_spread_over_chunks(spark):
+    """A repeated row is not one chunk's load."""
+    docs = spark.createDataFrame([(1, "a text that is always the same")] * 4_000, "doc_id long, text string").repartition(4)
+
+    def step(table):
+        yield np.zeros(0, np.uint64), None, None
+        return pa.table([pa.array([table.num_rows], pa.int64())], names=["n"])
+
+    got = [r.n for r in repeats.in_rounds(docs, step, 1, "n long", 0.05, chunk_bytes=4_000).collect()]
+    assert sum(got) == 4_000 and max(got) < 400
+
+
 def test_covers_hold_every_shift():
     for v, d in substring_dedup.COVERS.items():
         assert {(a - b) % v for a in d for b in d} == set(range(v))
