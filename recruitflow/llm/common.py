@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +17,9 @@ WORD_CLASS = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"
 
 _U = np.uint64
-#: Bytes or items hashed in one numpy step.
+#: Blocks of a long span, and windows, hashed in one numpy step.
 _STEP = 1 << 20
-MOST_WINDOW = 1 << 16
+_RUN = 1 << 16
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -62,15 +61,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=_U)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 _BYTE = mix64(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
 _BASE = 0xD6E8FEB86659FD93
-_POW = _powers(_BASE, 2 * _STEP + 1)
+#: Blocks of eight bytes that all spans of a batch hash together, their places, and masks of 0 to 8 bytes.
+_BLOCKS = 32
+_PLACE = mix64(np.arange(1, _BLOCKS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=_U)
+_ALL = (1 << 64) - 1
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -120,27 +117,29 @@ def word_spans(data: np.ndarray, offs: np.ndarray, apart: np.ndarray = _IS_SPACE
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span; spans are ordered and do not overlap."""
-    out = np.empty(len(starts), dtype=_U)
-    at = 0
-    while at < len(starts):
-        lo = int(starts[at])
-        to = max(at, int(np.searchsorted(ends, lo + _STEP, "right")))
-        if to == at:  # one span longer than a step: fold its steps
-            h = _U(0)
-            for s in range(lo, int(ends[at]), _STEP):
-                part = _BYTE[data[s:min(s + _STEP, int(ends[at]))]]
-                h = mix64(np.array([h], _U) + (part * _POW[:len(part)]).sum(dtype=_U))[0]
-            out[at] = h
-            at += 1
-            continue
-        part = _BYTE[data[lo:int(ends[to - 1])]]
-        sums = np.zeros(len(part) + 1, dtype=_U)
-        np.cumsum(part * _POW[:len(part)], out=sums[1:])
-        s, e = starts[at:to] - lo, ends[at:to] - lo
-        out[at:to] = (sums[e] - sums[s]) * _POW[_STEP - s]
-        at = to
-    return mix64(out + (ends - starts).astype(_U))
+    """64-bit hash of each byte span: every block of eight bytes is mixed with its place, so no pattern cancels out."""
+    size = ends - starts
+    out = size.astype(_U) * _U(_BASE)
+    if not len(starts):
+        return out
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    blocks = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    pick, at, left = slice(None), starts, size
+    for k in range(_BLOCKS):
+        out[pick] += mix64((blocks[at] & _KEEP[np.minimum(left, 8)]) ^ _PLACE[k])
+        more = np.flatnonzero(left > 8)
+        pick = more if k == 0 else pick[more]
+        at, left = at[more] + 8, left[more] - 8
+        if not len(at):
+            return mix64(out)
+    for i, lo, n in zip(pick, at, left, strict=True):  # the rest of spans beyond _BLOCKS blocks
+        for s in range(0, int(n), 8 * _STEP):
+            part = blocks[lo + s:lo + min(s + 8 * _STEP, int(n)):8].copy()
+            if s + 8 * _STEP >= n:
+                part[-1] &= _KEEP[(int(n) - 1) % 8 + 1]
+            place = mix64((np.arange(len(part), dtype=_U) + _U(s // 8 + _BLOCKS + 1)) * _U(0x9E3779B97F4A7C15))
+            out[i:i + 1] += mix64(part ^ place).sum(dtype=_U)
+    return mix64(out)
 
 
 def word_hashes(data: np.ndarray, offs: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -149,25 +148,41 @@ def word_hashes(data: np.ndarray, offs: np.ndarray, lower: bool = False) -> tupl
     return span_hashes(_LOWER[data] if lower else data, starts, ends), at
 
 
-@lru_cache(maxsize=4)
-def _window_powers(salt: int) -> np.ndarray:
-    return _powers((_BASE * (2 * salt + 1) + 2) & ((1 << 64) - 1) | 1, _STEP + MOST_WINDOW)
+def _paired(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Hash of two runs, one after the other."""
+    t = (x ^ (x >> _U(32))) * _U(0xBF58476D1CE4E5B9) + y
+    t = (t ^ (t >> _U(29))) * _U(0x94D049BB133111EB)
+    return t ^ (t >> _U(32))
+
+
+#: Bytes between words of letters, digits and all that is not ASCII, after lower-casing A-Z.
+NOT_LETTERS = np.zeros(256, dtype=bool)
+NOT_LETTERS[[*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]] = True
+
+
+def letter_words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased words of letters, digits and non-ASCII, and the offsets of each text's words."""
+    low = _LOWER[data]
+    starts, ends, at = word_spans(low, offs, NOT_LETTERS)
+    return span_hashes(low, starts, ends), at
 
 
 def window_hashes(items: np.ndarray, length: int, salt: int = 1) -> np.ndarray:
-    """Hash of every run of ``length`` (up to ``MOST_WINDOW``) items; a run may cross texts, the caller drops those."""
+    """Hash of every run of ``length`` items, composed from runs half as long; a run may cross texts, the caller drops those."""
     n = len(items) - length + 1
     if n <= 0:
         return np.zeros(0, dtype=_U)
     out = np.empty(n, dtype=_U)
-    pow_ = _window_powers(salt)
-    for at in range(0, n, _STEP):
-        part = items[at:at + _STEP + length - 1]
-        sums = np.zeros(len(part) + 1, dtype=_U)
-        np.cumsum(part * pow_[:len(part)], out=sums[1:])
-        k = len(part) - length + 1
-        out[at:at + k] = (sums[length:] - sums[:k]) * pow_[_STEP:_STEP - k:-1]
-    return mix64(out)
+    first, last = _U(salt * 0xD6E8FEB86659FD93 & _ALL), _U(length * 0x9FB21C651E98DF25 & _ALL)
+    for at in range(0, n, _RUN):
+        to = min(at + _RUN, n)
+        h, k = items[at:to + length - 1] ^ first, 1
+        while 2 * k <= length:
+            h, k = _paired(h[:-k], h[k:]), 2 * k
+        if k < length:  # the last two runs overlap
+            h = _paired(h[:k - length], h[length - k:])
+        out[at:to] = mix64(h + last)
+    return out
 
 
 def own_windows(at: np.ndarray, length: int, n: int) -> np.ndarray:

@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    conversation_repair,
+    decontamination,
+    importance,
     minhash,
     mixing,
     packing,
@@ -76,5 +79,22 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_classes(read(spark, sf_dir, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    got = decontamination.contamination(docs, read(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "n_words", "n_hit", "n_items",
+                      F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired(conversation_repair.damaged(read(spark, sf_dir, "conversations")))
+
+
 def all_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_mixing, op4_permutation_index, op5_toxicity, op6_substring_dedup, op7_packing, op8_suffix_dedup, op9_token_counts, op10_minhash)}
+    return {f.__name__: f for f in (
+        op1_quality_rules, op2_warc, op3_mixing, op4_permutation_index, op5_toxicity, op6_substring_dedup, op7_packing,
+        op8_suffix_dedup, op9_token_counts, op10_minhash, op11_decontamination, op12_importance, op13_conversation_repair)}
