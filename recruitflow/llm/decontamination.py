@@ -76,7 +76,8 @@ class Block:
         return int(self.size.min()) if len(self.size) else 1
 
 
-def segments(benchmark: DataFrame, item: str = "item_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+def segments(benchmark: DataFrame, item: str = "item_id", text: str = "text", length: int = LENGTH,
+             segment: int = SEGMENT) -> DataFrame:
     """Rows (item, first, words, n) of word hashes; a long item is cut into rows that overlap by length - 1 words."""
     src = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
 
@@ -85,8 +86,8 @@ def segments(benchmark: DataFrame, item: str = "item_id", text: str = "text", le
             words, at = letter_words(*text_bytes(part.column("text")))
             names, rows = part.column("item").to_pylist(), []
             for k, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
-                for s in range(a, max(b - length + 1, min(a + 1, b)), SEGMENT):
-                    e = min(s + SEGMENT + length - 1, b)
+                for s in range(a, max(b - length + 1, min(a + 1, b)), segment):
+                    e = min(s + segment + length - 1, b)
                     rows.append((names[k], int(s - a), words[s:e].tobytes(), int(e - s)))
             if rows:
                 cols = zip(*rows, strict=True)
@@ -253,7 +254,7 @@ class Shard:
 
 def _blocks(benchmark: DataFrame, item: str, text: str, length: int) -> Iterator[Block]:
     """The benchmark, a bounded block at a time."""
-    rows = written(segments(benchmark, item, text, length).withColumn("row", F.monotonically_increasing_id()), "benchmark")
+    rows = written(segments(benchmark, item, text, length, SEGMENT).withColumn("row", F.monotonically_increasing_id()), "benchmark")
     total = rows.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_WORDS))
     for k in range(blocks):
@@ -288,7 +289,7 @@ def _searched(docs: DataFrame, block: Block, text: str, carry: list[str]) -> Dat
                 spans[t].append({"lo": a - int(shard.at[t]), "hi": b - int(shard.at[t])})
             text_of = np.searchsorted(shard.at, word, "right") - 1
             cut = np.flatnonzero(np.append(True, text_of[1:] != text_of[:-1])) if len(word) else word
-            for a, b in zip(cut, [*cut[1:], len(word)], strict=True):
+            for a, b in zip(cut, np.append(cut[1:], len(word))[:len(cut)], strict=True):
                 mine = np.unique(window[a:b])
                 if (key := mine.tobytes()) not in known:  # copies share their windows
                     items = np.unique(np.concatenate([held.items[held.item_at[g]:held.item_at[g + 1]] for g in mine]))
@@ -337,9 +338,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
           length: int = LENGTH) -> DataFrame:
     """``docs`` without the contaminated rows."""
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "decontamination-docs")
-    bad = contamination(rows.select("__row", F.col(text).alias("text")), benchmark, "text", item, item_text, length)
-    return rows.join(bad.where("contaminated").select("__row"), "__row", "left_anti").drop("__row")
+    rows = written(docs.withColumn("__doc", F.monotonically_increasing_id()), "decontamination-docs")
+    bad = contamination(rows.select("__doc", F.col(text).alias("text")), benchmark, "text", item, item_text, length)
+    return rows.join(bad.where("contaminated").select("__doc"), "__doc", "left_anti").drop("__doc")
 
 
 def longest_matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",

@@ -4,10 +4,12 @@ Documents are drawn with the Gumbel top-k trick by how much likelier
 their hashed n-grams are in a target corpus than in the documents.
 
 Texts are translated byte by byte: A-Z become lower case, bytes between
-words become spaces.  Each slice of a batch makes a dictionary of its
-distinct words, every one bounded by a space on both sides and carrying
-its CRC-32 and its length as payload.  The automaton's scan then emits
-one payload a word, in order.  Payloads of adjacent words compose into
+words become spaces.  Each task makes a dictionary of the distinct words of its
+first slice of texts, the ``DICTIONARY`` commonest, every one bounded by
+a space on both sides and carrying its CRC-32 and its length as payload.
+The automaton's scan then emits one payload a word, in order; a word that
+is not in the dictionary gets the same payload from its bytes, so results
+do not depend on which words are.  Payloads of adjacent words compose into
 the payload of their run: the CRC of a joined string is the first one's
 CRC, moved over the bytes that follow (a linear map of 32 bits, a table
 product for each set bit of the length), xor the second one's.  So
@@ -31,7 +33,9 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -40,16 +44,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import NOT_LETTERS, pieces, text_bytes, written
+from .common import NOT_LETTERS, pieces, text_bytes, word_spans, written
 
 #: Words of the longest feature, buckets, words a drawn document has at least, and percent drawn.
 LONGEST, BUCKETS, LEAST_WORDS, PERCENT, SEED = 1, 10_000, 20, 10, 2024
-#: Bytes of text that share a dictionary.
-SLICE_BYTES = 4 << 20
+#: Words of a task's dictionary (a small one stays in the processor's cache), and bytes of text in one step.
+DICTIONARY, SLICE_BYTES = 8192, 4 << 20
 
 _TABLE = np.arange(256, dtype=np.uint8)
 _TABLE[0x41:0x5B] += 0x20
 _TABLE = np.where(NOT_LETTERS[_TABLE], 0x20, _TABLE).astype(np.uint8).tobytes()
+_SPACE = np.arange(256) == 0x20
 _POLY = 0xEDB88320
 
 
@@ -88,33 +93,41 @@ def composed(crc: np.ndarray, then: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out ^ then
 
 
-def dictionary(text: str) -> ahocorasick.Automaton:
-    """Automaton of the distinct words of a translated text, with a space on both sides; payload: length << 32 | CRC."""
+def dictionary(raw: bytes, most: int = DICTIONARY) -> ahocorasick.Automaton:
+    """Automaton of a translated text's ``most`` commonest words, a space on both sides; payload: length << 32 | CRC."""
     out = ahocorasick.Automaton()
-    for word in set(text.split(" ")):
+    for word, _ in Counter(raw.split(b" ")).most_common(most + 1):
         if word:
-            raw = word.encode("utf-8", "surrogatepass")
-            out.add_word(f" {word} ", len(raw) << 32 | zlib.crc32(raw))
+            out.add_word(f" {word.decode('latin-1')} ", len(word) << 32 | zlib.crc32(word))
     if len(out):
         out.make_automaton()
     return out
 
 
-def payloads(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Payloads of all words of the texts in order, and the offsets of each text's words."""
+def translated(texts: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The texts' bytes, lower-cased, with spaces between words, and their offsets."""
     data, offs = text_bytes(texts)
-    raw = data.tobytes().translate(_TABLE)
-    rows = [f" {raw[a:b].decode('utf-8', 'surrogatepass')} " for a, b in zip(offs[:-1], offs[1:], strict=True)]
-    automaton = dictionary("".join(rows))
-    if not len(automaton):
-        return np.zeros(0, np.int64), np.zeros(len(rows) + 1, np.int64)
-    parts = [np.fromiter((p for _, p in automaton.iter(row)), np.int64) for row in rows]
-    return np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts]))
-
-
-def buckets_of(texts: pa.Array, longest: int = LONGEST, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of all features, ordered by text, offsets of each text's features, and words of each text."""
-    held, at = payloads(texts)
+    return data.tobytes().translate(_TABLE), offs
+
+
+def payloads(raw: bytes, offs: np.ndarray, known: ahocorasick.Automaton) -> tuple[np.ndarray, np.ndarray]:
+    """Payloads of all words of translated texts in order, and the offsets of each text's words."""
+    starts, ends, at = word_spans(np.frombuffer(raw, np.uint8), offs, _SPACE)
+    out = np.full(len(starts), -1, np.int64)
+    if len(known):
+        for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True):
+            # one character a byte, so that places in the string are places in the text
+            found = known.iter(f" {raw[a:b].decode('latin-1')} ")
+            got = np.fromiter(chain.from_iterable(found), np.int64).reshape(-1, 2)
+            out[np.searchsorted(ends, got[:, 0] + (a - 1))] = got[:, 1]
+    rest = np.flatnonzero(out < 0)
+    out[rest] = [b - a << 32 | zlib.crc32(raw[a:b]) for a, b in zip(starts[rest].tolist(), ends[rest].tolist(), strict=True)]
+    return out, at
+
+
+def buckets_of(held: np.ndarray, at: np.ndarray, longest: int = LONGEST,
+               buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of all features from payloads, ordered by text, offsets of each text's features, and words of each text."""
     words = np.diff(at)
     text_of = np.repeat(np.arange(len(words)), words)
     crc, size = (held & 0xFFFFFFFF).astype(np.uint32), held >> 32
@@ -139,8 +152,12 @@ def features(docs: DataFrame, key: str, text: str = "text", longest: int = LONGE
     src = docs.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = ahocorasick.Automaton()
         for part in pieces(batches, "text", SLICE_BYTES):
-            held, at, words = buckets_of(part.column("text"), longest, buckets)
+            raw, offs = translated(part.column("text"))
+            if not known and raw:
+                known = dictionary(raw)
+            held, at, words = buckets_of(*payloads(raw, offs, known), longest, buckets)
             col = pa.Array.from_buffers(pa.large_binary(), part.num_rows, [
                 None, pa.py_buffer((4 * at).astype(np.int64).tobytes()), pa.py_buffer(held.astype("<i4").tobytes())])
             yield pa.RecordBatch.from_arrays(
