@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from typing import ClassVar
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +45,51 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+class Scope:
+    """Tables that ``written`` makes while the scope is open (``with``); ``close`` deletes them.
+
+    For callers that write an operator's result themselves: what the
+    operator wrote on its way goes when the result is there.
+    """
+
+    _open: ClassVar[list["Scope"]] = []
+
+    def __init__(self) -> None:
+        self.tables: list[tuple[SparkSession, str]] = []
+
+    def __enter__(self) -> "Scope":
+        Scope._open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        Scope._open.remove(self)
+
+    def close(self) -> None:
+        while self.tables:
+            _delete(*self.tables.pop())
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back (cuts lineage, survives lost executors)."""
     spark = df.sparkSession
     path = new_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if Scope._open:
+        Scope._open[-1].tables.append((spark, path))
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that no later step reads."""
+    for t in tables:
+        _delete(t.sparkSession, t._written_to)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

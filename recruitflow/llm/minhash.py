@@ -9,20 +9,27 @@
    shares no band with probability (1 - 0.8^6)^42, about 3e-6.
 2. Texts with equal sets are one class; everything below is on classes,
    so a large group of copies costs one entry.
-3. In each bucket of classes with an equal band, all are compared with
-   the least one: a star, so candidates grow with the bucket's size, not
-   with its square.  A sketch of the signature and the set sizes drop
-   pairs that cannot reach the threshold before texts are read.
-4. Candidates are confirmed on full sets.  Centres travel to their
-   members; a star of many members is salted.
-5. Members that a star left in other components are centres in turn (a
-   growing number of a bucket in each round), against all members of
-   other components, until every bucket is one component or has no open
-   member.  So no link between two classes that share a bucket is lost
-   because the first centre resembles only one of them.
-6. Components by least-label propagation over confirmed links.
-
-Links, labels and components stay in tables on the shared folder.
+3. Each bucket of classes with an equal band is a star around its least
+   class.  A class meets one centre: of the centres of its buckets that
+   with most buckets in common.  So the first round tests at most one
+   pair a class.
+4. Pairs are tested on full sets.  Centres travel to their members; a
+   star of many members is salted.
+5. Links make components (contraction, so rounds are logarithmic).  A
+   bucket that lies in one component is closed.  In an open one, each
+   member outside its centre's component is compared by sketch with the
+   members of other components and names its best partner not tested
+   yet; of its partners in all buckets the best ``k`` are tested (k grows
+   fourfold a round).  Members already joined are skipped, so a round
+   adds at most one tree of links and never lists a bucket's pairs.  It
+   ends when no sketch names an untested partner: no link between two
+   classes that share a bucket is lost because others were better.
+6. A bucket's members are dealt to blocks of ``BLOCK``; only members
+   outside the centre's component go to every block, streaming past the
+   block's own.
+
+Links, labels and components stay in tables on the shared folder, each
+dropped when the next has replaced it.
 
 Defined results: a null text or one without words has an empty set, is
 linked with nothing and kept; a text with fewer words than a shingle has
@@ -42,18 +49,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix64, own_windows, pieces, text_bytes, window_hashes, word_hashes, written
+from .common import drop, mix64, own_windows, pieces, text_bytes, window_hashes, word_hashes, written
 
 SHINGLE = 4
 THRESHOLD = 80
 BINS, ROWS = 252, 6
-#: Centres a bucket has in the second round; eight times as many in each further one.
-CENTRES = 32
-#: Bins of the sketch that screens pairs, and the share of them that must agree.  At the threshold a pair agrees in
-#: 0.80 with a deviation of at most 0.018, so this loses as few as the bands do.
-SKETCH, LIKELY = 512, 0.72
-#: Members of a star that are compared in one task.
-STAR = 256
+#: Bins of the sketch that screens pairs (two bits each), and the least similarity it may estimate.  At the threshold
+#: the estimate deviates by at most 0.023, so this loses as few pairs as the bands do.
+SKETCH, LIKELY = 512, 0.70
+#: Members of a star that are tested in one task, and members of a bucket that are compared in one.
+STAR, BLOCK = 256, 4096
 _U = np.uint64
 _NO_ID = (1 << 63) - 1
 
@@ -126,27 +131,42 @@ def bands(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return key
 
 
-def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """id, the number a row is found by, and text."""
-    own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    return own.withColumn("row", F.coalesce("id", F.xxhash64("text")))
-
-
 def sketches(hashes: np.ndarray, at: np.ndarray, bins: int = SKETCH) -> list[bytes]:
-    """One byte of the least hash in each of ``bins`` bins, zero where a bin is empty."""
+    """Two bits of the least hash in each of ``bins`` bins, 1 to 3, or 0 where a bin is empty."""
     out = np.zeros((len(at) - 1, bins), np.uint8)
     text = np.repeat(np.arange(len(at) - 1), np.diff(at))
     bin_ = ((hashes >> _U(32)) * _U(bins) >> _U(32)).astype(np.int64)
     first = np.ones(len(hashes), bool)
     first[1:] = (text[1:] != text[:-1]) | (bin_[1:] != bin_[:-1])
-    out[text[first], bin_[first]] = (mix64(hashes[first]) % _U(255)).astype(np.uint8) + 1
-    flat = out.tobytes()
-    return [flat[i:i + bins] for i in range(0, len(flat), bins)]
+    out[text[first], bin_[first]] = (mix64(hashes[first]) % _U(3)).astype(np.uint8) + 1
+    four = out.reshape(len(out), -1, 4)
+    flat = (four[:, :, 0] | four[:, :, 1] << 2 | four[:, :, 2] << 4 | four[:, :, 3] << 6).tobytes()
+    return [flat[i:i + bins // 4] for i in range(0, len(flat), bins // 4)]
+
+
+_FOUR = (np.arange(256, dtype=np.uint8)[:, None] >> np.array([0, 2, 4, 6], np.uint8) & 3).astype(np.uint8)
+
+
+def unpacked(held: list[bytes]) -> np.ndarray:
+    """Sketches, one byte a bin."""
+    return _FOUR[np.frombuffer(b"".join(held), np.uint8)].reshape(len(held), -1)
+
+
+def estimates(one: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Similarity of one sketch to others: equal bins, less the third of the unequal ones that agree by chance."""
+    equal = ((others == one) & (others > 0)).sum(axis=1)
+    both = ((others > 0) & (one > 0)).sum(axis=1)
+    return (1.5 * equal - 0.5 * both) / np.maximum(((others | one) > 0).sum(axis=1), 1)
+
+
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """id, the numbers a row's text is found by (row, body), and text."""
+    own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    return own.withColumn("body", F.xxhash64("text")).withColumn("row", F.coalesce("id", "body"))
 
 
 def signed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
-    """id, row, n_shingles, set key and band keys of every row."""
-    src = _rows(docs, key, text)
+    """id, row, body, n (set size), set key, band keys and sketch of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, "text", 2 << 20):
@@ -154,124 +174,142 @@ def signed(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
             b = bands(signatures(hashes, at)).view(np.int64)
             rows = pa.ListArray.from_arrays(pa.array(np.arange(0, b.size + 1, b.shape[1], dtype=np.int32)), pa.array(b.ravel()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), part.column("row"), pa.array(np.diff(at).astype(np.int64)), pa.array(set_keys(hashes, at), pa.binary()), rows,
-                 pa.array(sketches(hashes, at), pa.binary())], ["id", "row", "n", "key", "bands", "sketch"])
+                [*(part.column(c) for c in ("id", "row", "body")), pa.array(np.diff(at).astype(np.int64)),
+                 pa.array(set_keys(hashes, at), pa.binary()), rows, pa.array(sketches(hashes, at), pa.binary())],
+                ["id", "row", "body", "n", "key", "bands", "sketch"])
 
-    return src.mapInArrow(run, "id long, row long, n long, key binary, bands array<long>, sketch binary")
+    return _rows(docs, key, text).mapInArrow(
+        run, "id long, row long, body long, n long, key binary, bands array<long>, sketch binary")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """The pairs (a, b) of class keys whose full sets reach the threshold."""
+    """a, b and linked (the full sets reach the threshold) of pairs (a, b) of classes; ``texts``: cid, text."""
     many = pairs.groupBy("a").count()
     dealt = pairs.join(many, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), 1 + F.floor(F.col("count") / STAR)).alias("salt"))
-    wanted = (dealt.select("a", "salt", F.lit(1).alias("role"), F.col("b").alias("key"))
-              .unionByName(dealt.select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("key")).distinct()))
-    rows = (wanted.join(texts, "key").repartition("a", "salt").sortWithinPartitions("a", "salt", "role"))
+    wanted = (dealt.select("a", "salt", F.lit(1).alias("role"), F.col("b").alias("cid"))
+              .unionByName(dealt.select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("cid")).distinct()))
+    rows = wanted.join(texts, "cid").repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, own = None, None
+        own = None
         for part in pieces(batches, "text", 1 << 20):
             hashes, at = shingle_sets(part.column("text"), size)
-            real = set_keys(hashes, at)
             out = []
-            for i, (a, role, key) in enumerate(zip(*(part.column(c).to_pylist() for c in ("a", "role", "key")), strict=True)):
-                if real[i] != key:  # another text under the same doc_id
-                    continue
+            for i, (a, role, cid) in enumerate(zip(*(part.column(c).to_pylist() for c in ("a", "role", "cid")), strict=True)):
                 got = hashes[at[i]:at[i + 1]]
-                if role == 0:
-                    centre, own = a, got.copy()
-                elif centre == a:
-                    both = np.searchsorted(own, got)
-                    both[both == len(own)] = 0
-                    common = int((own[both] == got).sum())
-                    if 100 * common >= threshold * (len(own) + len(got) - common):
-                        out.append((a, key))
+                if role == 0:  # the centre comes first
+                    own = got.copy()
+                    continue
+                both = np.searchsorted(own, got)
+                both[both == len(own)] = 0
+                common = int((own[both] == got).sum())
+                out.append((a, cid, 100 * common >= threshold * (len(own) + len(got) - common)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.bool_()), strict=True)],
+                    ["a", "b", "linked"])
+
+    return rows.select("a", "role", "cid", "text").mapInArrow(run, "a long, b long, linked boolean")
 
-    return rows.select("a", "role", "key", "text").mapInArrow(run, "a binary, b binary")
 
+def components(links: DataFrame) -> DataFrame:
+    """cid and label (least member) of all ends of ``links`` (a, b), by contraction.
 
-def spread_labels(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Least label of each component: ``labels`` (key, label), ``links`` (a, b); returns (key, label)."""
-    ends = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "near-ends")
+    Each round every end hooks to its least neighbour, hooks are followed
+    to their roots by pointer doubling, and the links between roots are
+    the next round's.  At least half of the ends with links left go in
+    each round.
+    """
+    edges = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "near-edges")
+    labels = None
     while True:
-        offered = (ends.join(labels, ends["a"] == labels["key"]).groupBy("b").agg(F.min("label").alias("offer")))
-        got = written(labels.join(offered, labels["key"] == offered["b"], "left").select(
-            "key", F.least("label", F.coalesce("offer", "label")).alias("label"),
-            (F.col("offer") < F.col("label")).alias("changed")), "near-labels")
-        labels = got.select("key", "label")
-        if got.where("changed").isEmpty():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hooks = written(both.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("low")).select(
+            "cid", F.least("cid", "low").alias("root"), F.lit(True).alias("moved")), "near-hooks")
+        while not hooks.where("moved").isEmpty():
+            up = hooks.select(F.col("cid").alias("root"), F.col("root").alias("next"))
+            new = written(hooks.join(up, "root").select(
+                "cid", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved")), "near-hooks")
+            drop(hooks)
+            hooks = new
+        roots = hooks.select("cid", "root")
+        if labels is None:
+            new = written(roots.select("cid", F.col("root").alias("label")), "near-labels")
+        else:
+            new = written(labels.join(roots.withColumnRenamed("cid", "label"), "label", "left").select(
+                "cid", F.coalesce("root", "label").alias("label")), "near-labels")
+            drop(labels)
+        labels = new
+        ends = (edges.join(roots.select(F.col("cid").alias("a"), F.col("root").alias("x")), "a")
+                .join(roots.select(F.col("cid").alias("b"), F.col("root").alias("y")), "b"))
+        new = written(ends.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "near-edges")
+        drop(edges, hooks)
+        edges = new
+        if edges.isEmpty():
+            drop(edges)
             return labels
 
 
-def stars(rows: DataFrame, centres: int, threshold: int = THRESHOLD) -> DataFrame:
-    """Candidate pairs (a, b) of each bucket's first ``centres`` open members with members of other components.
+def partners(rows: DataFrame, k: int, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (cid, partner, score): the best ``k`` of each asking member among its block of a bucket.
 
-    ``rows``: bucket, band, key, label, n, open, sketch and bands (null
-    sketches: sizes alone decide).  A bucket is streamed, open members
-    first; only its centres are held.  A pair passes if its sizes can
-    reach the threshold, its sketches agree in ``LIKELY`` of the bins that
-    either fills, and no earlier band of the two agrees (that band's
-    bucket has the pair).  A row with a bucket in place of a pair names
-    the last centre used, so that the next round goes on after it.
+    ``rows``: bucket, block, asks, cid, label, n, sketch, tested.  Members
+    that do not ask are held, at most a block of them; asking ones stream
+    past.  A partner has another label, a size that can reach the
+    threshold, an estimate of at least ``LIKELY``, and is not in tested.
     """
-    dealt = (rows.repartition("bucket").sortWithinPartitions("bucket", F.desc("open"), "key")
-             .select("bucket", "band", "key", "label", "n", "open", "sketch", "bands"))
+    dealt = (rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "asks")
+             .select("bucket", "block", "asks", "cid", "label", "n", "sketch", "tested"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, full = None, None, False
+        now, held = None, None
         for batch in batches:
-            bucket = batch.column("bucket").to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
-            keys = np.array(batch.column("key").to_pylist(), dtype=object)
-            label, n, band = (batch.column(c).to_numpy() for c in ("label", "n", "band"))
-            open_ = batch.column("open").to_numpy(zero_copy_only=False)
-            screen = batch.column("sketch").null_count == 0
-            size = len(bucket)
-            sketch = (np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(size, -1)
-                      if screen and size else np.zeros((size, 0), np.uint8))
-            every = (batch.column("bands").flatten().to_numpy().reshape(size, -1)
-                     if screen and size else np.zeros((size, 0), np.int64))
-            a, b, done, last = [], [], [], []
+            bucket, block, cid, label, n = (batch.column(c).to_numpy() for c in ("bucket", "block", "cid", "label", "n"))
+            asks = batch.column("asks").to_numpy(zero_copy_only=False)
+            tested = batch.column("tested")
+            if not len(bucket):
+                continue
+            sketch = unpacked(batch.column("sketch").to_pylist())
+            cuts = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1]), [True]]))
+            out = []
             for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-                if x == y:
-                    continue
-                if bucket[x] != now:
-                    now, held, full = bucket[x], None, False
-                take = x
-                if not full:  # the bucket's first open members
-                    room = centres - (0 if held is None else len(held[0]))
-                    take = x + min(int(open_[x:y].sum()), room)
-                    full = take < y or room == take - x
-                    if take > x:
-                        part = (keys[x:take], label[x:take], n[x:take], sketch[x:take], every[x:take])
-                        held = part if held is None else tuple(np.concatenate(z) for z in zip(held, part, strict=True))
-                        done.append(int(now))
-                        last.append(keys[take - 1])
-                if held is None:
+                if (bucket[x], block[x]) != now:
+                    now, held = (bucket[x], block[x]), None
+                take = x + int((~asks[x:y]).sum())
+                if take > x:
+                    part = cid[x:take], label[x:take], n[x:take], sketch[x:take]
+                    held = part if held is None else tuple(np.concatenate(z) for z in zip(held, part, strict=True))
+                if held is None:  # no member of the bucket is dealt to this block
                     continue
-                for m in range(x, y):
-                    near = (held[1] != label[m]) & (100 * np.minimum(held[2], n[m]) >= threshold * np.maximum(held[2], n[m]))
-                    if m < take:
-                        near &= held[0] < keys[m]  # each pair of centres once
-                    pick = np.flatnonzero(near)
-                    if screen and len(pick):
-                        both = held[3][pick]
-                        likely = (((both == sketch[m]) & (both > 0)).sum(axis=1)
-                                  >= LIKELY * ((both > 0) | (sketch[m] > 0)).sum(axis=1))
-                        pick = pick[likely & ~(held[4][pick, :band[m]] == every[m, :band[m]]).any(axis=1)]
-                    for c in pick:
-                        a.append(min(held[0][c], keys[m]))
-                        b.append(max(held[0][c], keys[m]))
-            if a or done:
-                none = [None] * len(done)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([*a, *none], pa.binary()), pa.array([*b, *last], pa.binary()),
-                     pa.array([*[None] * len(a), *done], pa.int64())], ["a", "b", "bucket"])
+                for m in range(take, y):
+                    pick = np.flatnonzero((held[1] != label[m]) & (100 * np.minimum(held[2], n[m]) >= threshold * np.maximum(held[2], n[m])))
+                    if len(pick) and tested[m].is_valid:
+                        pick = pick[~np.isin(held[0][pick], tested[m].values.to_numpy())]
+                    like = estimates(sketch[m], held[3][pick])
+                    pick, like = pick[like >= LIKELY], like[like >= LIKELY]
+                    best = np.lexsort((held[0][pick], -like))[:k]
+                    out += [(int(cid[m]), int(held[0][pick[i]]), float(like[i])) for i in best]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["cid", "partner", "score"])
+
+    return dealt.mapInArrow(run, "cid long, partner long, score double")
+
 
-    return dealt.mapInArrow(run, "a binary, b binary, bucket long")
+def _asking(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Rows (bucket, block, asks, cid, label) of the buckets that hold two components or more."""
+    named = members.withColumn("label", F.col("cid")) if labels is None else members.join(labels, "cid", "left").select(
+        "bucket", "cid", F.coalesce("label", "cid").alias("label"))
+    named = written(named, "near-named")
+    open_ = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min_by("label", "cid").alias("head"),
+                                        F.count("*").alias("size")).where("low < high").select("bucket", "head", "size")
+    blocks = F.floor((F.col("size") + BLOCK - 1) / BLOCK)
+    return (named.join(open_, "bucket").withColumn("blocks", blocks)
+            .withColumn("asks", F.explode(F.when(F.col("label") == F.col("head"), F.array(F.lit(False)))
+                                          .otherwise(F.array(F.lit(False), F.lit(True)))))
+            .withColumn("block", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+                                           .otherwise(F.array(F.pmod(F.xxhash64("cid"), F.col("blocks"))))))
+            .select("bucket", "block", "asks", "cid", "label"))
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
@@ -279,55 +317,54 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     """key, n_shingles, component_id and kept (is the component's least id) of every row."""
     sig = written(signed(docs, key, text, size), "near-signed")
     # a row without an id is found again by its text's hash
-    least = F.min(F.struct(F.coalesce("id", F.lit(_NO_ID)).alias("rep"), "row")).alias("m")
+    least = F.min(F.struct(F.coalesce("id", F.lit(_NO_ID)).alias("rep"), "row", "body")).alias("m")
     classes = written(sig.where("n > 0").groupBy("key").agg(
         least, F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-        .select("key", "m.rep", "m.row", "n", "bands", "sketch"), "near-classes")
-    entries = classes.select("key", "n", F.posexplode("bands").alias("band", "bucket"))
-    shared = written(entries.groupBy("bucket").count().where("count > 1").select("bucket"), "near-buckets")
-    members = written(entries.join(shared, "bucket"), "near-members")
-
-    nodes = written(classes.select("key", "rep", "row").join(members.select("key"), "key", "left_semi"), "near-nodes")
-    texts = written(_rows(docs, key, text).select("row", "text").join(nodes.select("row", "key"), "row")
-                    .select("key", "text"), "near-texts")
-
-    labels = nodes.select("key", F.col("rep").alias("label"))
-    # round one: every bucket's least member against all others
-    every = members.withColumns({"label": F.xxhash64("key"), "open": F.lit(True), "sketch": F.lit(None).cast("binary"),
-                                 "bands": F.lit(None).cast("array<long>")})
-    found = written(stars(every, 1, threshold), "near-stars")
-    pairs = written(found.where("a is not null").select("a", "b").distinct(), "near-pairs")
-    tested, links, used, centres = pairs, None, None, CENTRES
+        .select("key", "m.*", "n", "bands", "sketch").withColumn("cid", F.monotonically_increasing_id()), "near-classes")
+    entries = classes.select("cid", F.explode("bands").alias("bucket"))
+    heads = entries.groupBy("bucket").agg(F.min("cid").alias("head"), F.max("cid").alias("last")).where("head < last").select("bucket", "head")
+    stars = written(entries.join(heads, "bucket"), "near-stars")
+    members = stars.select("bucket", "cid")
+
+    nodes = stars.select("cid").distinct().join(classes.select("cid", "row", "body"), "cid")
+    # rows that repeat an id and a text are one before they travel
+    bodies = _rows(docs, key, text).groupBy("row", "body").agg(F.first("text").alias("text"))
+    texts = written(bodies.join(nodes, ["row", "body"]).select("cid", "text"), "near-texts")
+
+    # round one: each class and the centre it shares most buckets with
+    votes = stars.where("cid != head").groupBy("cid", "head").count()
+    pairs = votes.groupBy("cid").agg(F.max_by("head", F.struct("count", -F.col("head"))).alias("b")).select(
+        F.col("b").alias("a"), F.col("cid").alias("b"))
+    tested, labels, k = None, None, 1
     while True:
-        if not pairs.isEmpty():
-            new = written(confirmed(pairs, texts, size, threshold), "near-links")
-            links = new if links is None else links.unionByName(new)
-            labels = spread_labels(labels, links)
-        lab = members.join(labels, "key")
-        heads = lab.groupBy("bucket").agg(F.min_by("label", "key").alias("head"), F.min("label").alias("low"),
-                                          F.max("label").alias("high")).where("low < high").select("bucket", "head")
-        lab = lab.join(heads, "bucket")
-        if used is not None:
-            lab = lab.join(used, "bucket", "left")
-        after = F.lit(True) if used is None else F.col("last").isNull() | (F.col("key") > F.col("last"))
-        lab = written(lab.withColumn("open", (F.col("label") != F.col("head")) & after).drop("last"), "near-labelled")
-        # buckets that are one component, or have no member left to be a centre, are finished
-        todo = lab.where("open").select("bucket").distinct()
-        lab = written(lab.join(todo, "bucket", "left_semi"), "near-open")
-        found = written(stars(lab.join(classes.select("key", "sketch", "bands"), "key"), centres, threshold), "near-stars")
-        if found.isEmpty():
+        got = written(confirmed(written(pairs, "near-pairs"), texts, size, threshold), "near-tested")
+        tested = got if tested is None else tested.unionByName(got)
+        if not got.where("linked").isEmpty():
+            new = components(tested.where("linked"))
+            if labels is not None:
+                drop(labels)
+            labels = new
+        failed = tested.where("NOT linked")
+        failed = (failed.select(F.col("a").alias("cid"), F.col("b").alias("other"))
+                  .unionByName(failed.select(F.col("b").alias("cid"), F.col("a").alias("other")))
+                  .groupBy("cid").agg(F.collect_set("other").alias("tested")))
+        asking = written(_asking(members, labels).join(classes.select("cid", "n", "sketch"), "cid").join(failed, "cid", "left"), "near-asking")
+        best = partners(asking, k, threshold).dropDuplicates(["cid", "partner"]).groupBy("cid").agg(
+            F.slice(F.sort_array(F.collect_list(F.struct("score", "partner")), asc=False), 1, k).alias("best"))
+        pairs = written(best.select("cid", F.explode("best.partner").alias("partner")).select(
+            F.least("cid", "partner").alias("a"), F.greatest("cid", "partner").alias("b")).distinct(), "near-pairs")
+        if pairs.isEmpty():
             break
-        news = found.where("bucket is not null").groupBy("bucket").agg(F.max("b").alias("last"))
-        members = lab.select("bucket", "band", "key", "n")
-        used = written(news, "near-used")
-        pairs = written(found.where("a is not null").select("a", "b").distinct()
-                        .join(tested, ["a", "b"], "left_anti"), "near-pairs")
-        tested = tested.unionByName(pairs)
-        centres *= 8
-
-    named = written(classes.select("key", "rep").join(labels, "key", "left")
-                    .select("key", F.least("rep", F.coalesce("label", "rep")).alias("label")), "near-named")
+        members = written(asking.where("NOT asks").select("bucket", "cid"), "near-members")
+        drop(asking)
+        k *= 4
+
+    if labels is None:
+        labels = classes.select("cid", F.col("cid").alias("label")).limit(0)
+    named = classes.select("cid", "key", "rep").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+    least_id = named.groupBy("label").agg(F.min("rep").alias("component"))
+    named = named.join(least_id, "label").select("key", "component")
     out = sig.select("id", "n", "key").join(named, "key", "left")
-    component = F.when(F.col("n") == 0, F.col("id")).when(F.col("label") < _NO_ID, F.col("label"))
+    component = F.when(F.col("n") == 0, F.col("id")).when(F.col("component") < _NO_ID, F.col("component"))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col(key) == F.col("component_id"), F.col("component_id").isNull()))
