@@ -19,11 +19,12 @@
    bucket that lies in one component is closed.  In an open one, each
    member outside its centre's component is compared by sketch with the
    members of other components and names its best partner not tested
-   yet; of its partners in all buckets the best ``k`` are tested (k grows
-   sixteenfold a round).  Members already joined are skipped, so a round
-   adds at most one tree of links and never lists a bucket's pairs.  It
-   ends when no sketch names an untested partner: no link between two
-   classes that share a bucket is lost because others were better.
+   yet; the best of its partners in all buckets is tested.  Members
+   already joined are skipped, so a round adds at most one tree of links
+   and never lists a bucket's pairs.  When best partners seldom link any
+   more, every pair that the sketches still cannot rule out, between two
+   components, is tested once.  So no link between two classes that share
+   a bucket is lost because others were better.
 6. A bucket's members are dealt to blocks of ``BLOCK``; only members
    outside the centre's component go to every block, streaming past the
    block's own.
@@ -59,6 +60,8 @@ BINS, ROWS = 252, 6
 SKETCH, LIKELY = 1024, 0.73
 #: Members of a star that are tested in one task, and members of a bucket that are compared in one.
 STAR, BLOCK = 256, 4096
+#: Rounds of best partners go on while more than one pair in so many links.
+LEAST_YIELD = 4
 _U = np.uint64
 _NO_ID = (1 << 63) - 1
 
@@ -210,6 +213,20 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE, threshold
     return rows.select("a", "role", "cid", "text").mapInArrow(run, "a long, b long, linked boolean")
 
 
+def _jumped(hooks: DataFrame) -> DataFrame:
+    """(cid, root, moved) with the roots of the roots, twice."""
+    up = hooks.select(F.col("cid").alias("root"), F.col("root").alias("next"))
+    further = hooks.select(F.col("cid").alias("next"), F.col("root").alias("last"))
+    return hooks.join(up, "root").join(further, "next").select(
+        "cid", F.col("last").alias("root"), (F.col("last") != F.col("root")).alias("moved"))
+
+
+def hooked(edges: DataFrame) -> DataFrame:
+    """(cid, root) of all ends of ``edges`` (a, b): each hooks to its least neighbour."""
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return both.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("low")).select("cid", F.least("cid", "low").alias("root"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """cid and label (least member) of all ends of ``links`` (a, b), by contraction.
 
@@ -221,13 +238,9 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "near-edges")
     labels = None
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hooks = written(both.groupBy(F.col("a").alias("cid")).agg(F.min("b").alias("low")).select(
-            "cid", F.least("cid", "low").alias("root"), F.lit(True).alias("moved")), "near-hooks")
+        hooks = written(_jumped(written(hooked(edges), "near-hooks")), "near-hooks")
         while not hooks.where("moved").isEmpty():
-            up = hooks.select(F.col("cid").alias("root"), F.col("root").alias("next"))
-            new = written(hooks.join(up, "root").select(
-                "cid", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("moved")), "near-hooks")
+            new = written(_jumped(hooks), "near-hooks")
             drop(hooks)
             hooks = new
         roots = hooks.select("cid", "root")
@@ -248,8 +261,8 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def partners(rows: DataFrame, k: int, threshold: int = THRESHOLD) -> DataFrame:
-    """Pairs (cid, partner, score): the best ``k`` of each asking member among its block of a bucket.
+def partners(rows: DataFrame, most: int | None, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (cid, partner, score): the best ``most`` (None: all) of each asking member among its block of a bucket.
 
     ``rows``: bucket, block, asks, cid, label, n, sketch, tested.  Members
     that do not ask are held, at most a block of them; asking ones stream
@@ -285,7 +298,7 @@ def partners(rows: DataFrame, k: int, threshold: int = THRESHOLD) -> DataFrame:
                         pick = pick[~np.isin(held[0][pick], tested[m].values.to_numpy())]
                     like = estimates(sketch[m], held[3][pick])
                     pick, like = pick[like >= LIKELY], like[like >= LIKELY]
-                    best = np.lexsort((held[0][pick], -like))[:k]
+                    best = np.lexsort((held[0][pick], -like))[:most]
                     out += [(int(cid[m]), int(held[0][pick[i]]), float(like[i])) for i in best]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], ["cid", "partner", "score"])
@@ -332,32 +345,34 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     votes = stars.where("cid != head").groupBy("cid", "head").count()
     pairs = written(votes.groupBy("cid").agg(F.max_by("head", F.struct("count", -F.col("head"))).alias("a")).select(
         "a", F.col("cid").alias("b")), "near-pairs")
-    tested, labels, k = None, None, 1
+    tested, labels, most = None, None, 1
     while True:
         got = written(confirmed(pairs, texts, size, threshold), "near-tested")
         tested = got if tested is None else tested.unionByName(got)
-        if not got.where("linked").isEmpty():
-            new = components(tested.where("linked"))
-            if labels is not None:
-                drop(labels)
-            labels = new
-        failed = tested.where("NOT linked")
-        failed = (failed.select(F.col("a").alias("cid"), F.col("b").alias("other"))
-                  .unionByName(failed.select(F.col("b").alias("cid"), F.col("a").alias("other")))
-                  .groupBy("cid").agg(F.collect_set("other").alias("tested")))
-        asking = written(_asking(members, labels).join(classes.select("cid", "n", "sketch"), "cid").join(failed, "cid", "left"), "near-asking")
-        best = partners(asking, k, threshold).dropDuplicates(["cid", "partner"]).groupBy("cid").agg(
-            F.slice(F.sort_array(F.collect_list(F.struct("score", "partner")), asc=False), 1, k).alias("best"))
-        # a pair that both name is tested once; the centre is a member that asked, so a star has k members at most
-        pairs = (best.select("cid", F.explode("best.partner").alias("partner"))
-                 .groupBy(F.least("cid", "partner").alias("x"), F.greatest("cid", "partner").alias("y")).agg(F.min("cid").alias("a"))
+        counts = got.agg(F.count_if("linked").alias("links"), F.count("*").alias("pairs")).first()
+        if most is None:
+            if counts.links:
+                labels = components(tested.where("linked"))
+            break
+        if LEAST_YIELD * counts.links < counts.pairs:  # best partners seldom link any more: test what is left
+            most = None
+        if counts.links:
+            labels = components(tested.where("linked"))
+        ends = (tested.select(F.col("a").alias("cid"), F.col("b").alias("other"))
+                .unionByName(tested.select(F.col("b").alias("cid"), F.col("a").alias("other")))
+                .groupBy("cid").agg(F.collect_set("other").alias("tested")))
+        asking = written(_asking(members, labels).join(classes.select("cid", "n", "sketch"), "cid").join(ends, "cid", "left"), "near-asking")
+        best = partners(asking, most, threshold).dropDuplicates(["cid", "partner"])
+        if most is not None:
+            best = best.groupBy("cid").agg(F.max_by("partner", F.struct("score", "partner")).alias("partner"))
+        # a pair that both name is tested once; the centre is a member that asked
+        pairs = (best.groupBy(F.least("cid", "partner").alias("x"), F.greatest("cid", "partner").alias("y")).agg(F.min("cid").alias("a"))
                  .select("a", (F.col("x") + F.col("y") - F.col("a")).alias("b")))
         pairs = written(pairs, "near-pairs")
         if pairs.isEmpty():
             break
         members = written(asking.where("NOT asks").select("bucket", "cid"), "near-members")
         drop(asking)
-        k *= 16
 
     if labels is None:
         labels = classes.select("cid", F.col("cid").alias("label")).limit(0)
