@@ -69,7 +69,11 @@ class Scope:
     def __exit__(self, *_) -> None:
         Scope._open.remove(self)
 
-    def close(self) -> None:
+    def close(self, still: DataFrame | None = None) -> None:
+        """Delete the tables, unless ``still`` has yet to read one of them."""
+        files = still.inputFiles() if still is not None and self.tables else []
+        if any(path.rsplit("/", 1)[-1] in f for f in files for _, path in self.tables):
+            return
         while self.tables:
             _delete(*self.tables.pop())
 

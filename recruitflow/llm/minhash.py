@@ -362,7 +362,7 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
                 .unionByName(tested.select(F.col("b").alias("cid"), F.col("a").alias("other")))
                 .groupBy("cid").agg(F.collect_set("other").alias("tested")))
         asking = written(_asking(members, labels).join(classes.select("cid", "n", "sketch"), "cid").join(ends, "cid", "left"), "near-asking")
-        best = partners(asking, most, threshold).dropDuplicates(["cid", "partner"])
+        best = partners(asking, most, threshold)
         if most is not None:
             best = best.groupBy("cid").agg(F.max_by("partner", F.struct("score", "partner")).alias("partner"))
         # a pair that both name is tested once; the centre is a member that asked

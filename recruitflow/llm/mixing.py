@@ -49,6 +49,8 @@ MOST_BLOCKS = 1 << 18
 SHARD_WORDS = 1 << 22
 SEED = 20_24
 #: Names of the columns that this module adds.
+#: Rows of the documents while they are mixed.
+ROW = "mix_row_number"
 ADDED = ("size", "source_size", "target", "taken", "draws", "repeat", "shard", "words", "place")
 
 
@@ -192,16 +194,19 @@ def _first_words(text: pd.Series, n: pd.Series) -> pd.Series:
 def mix(docs: DataFrame, text: str = "text", **how) -> DataFrame:
     """The mixed documents: one row per draw, with shard, repeat, words and place (order inside the shard).
 
+    Drawn on row numbers; the documents' own columns join the draws once.
     A document drawn in part carries only its first words.
     """
-    got = allocations(docs, text=text, **how)
-    rows = got.select("*", F.explode("draws").alias("__d")).select(
-        *[c for c in docs.columns if c in got.columns and c not in ADDED], "size", "__d.repeat", "__d.shard", "__d.words",
+    numbered = written(docs.drop(*ADDED).withColumn(ROW, F.monotonically_increasing_id()), "mix-rows")
+    got = allocations(numbered, text=text, carry=[ROW, how.get("key", "doc_id")], **how)
+    draws = got.select(ROW, "size", "__h", F.explode("draws").alias("__d")).select(
+        ROW, "__d.repeat", "__d.shard", "__d.words", (F.col("__d.words") < F.col("size")).alias("__cut"),
         F.xxhash64(F.lit(SEED + 2), F.col("__d.shard"), F.col("__d.repeat"), "__h").alias("place"))
-    rows = rows.withColumns({"__cut": F.col("words") < F.col("size")})
-    whole = rows.where(~F.col("__cut"))
-    cut = rows.where(F.col("__cut")).withColumn(text, F.pandas_udf(_first_words, "string")(F.col(text), F.col("words")))
-    return whole.unionByName(cut).drop("__cut", "size")
+    rows = draws.join(numbered, ROW)
+    # only texts that are cut travel to Python
+    cut = F.pandas_udf(_first_words, "string")(F.when(F.col("__cut"), F.col(text)), F.col("words"))
+    return rows.withColumn(text, F.when(F.col("__cut"), cut).otherwise(F.col(text))).select(
+        *[F.col(f"`{c}`") for c in docs.columns if c not in ADDED], "repeat", "shard", "words", "place")
 
 
 def in_order(mixed: DataFrame) -> DataFrame:

@@ -3,8 +3,10 @@
 A byte goes if a string of ``length`` bytes that covers it also starts
 anywhere else in the corpus; matches never cross texts.
 
-Sorting (position, rank) pairs of *all* positions would move more than
-ten times the text in each round, so the suffixes that are ranked are a
+Names stand for ranks: each round sorts the names of the corpus by key
+range on Spark, but a prefix's name is a hash of its bytes, not composed
+from the ranks of its halves.  Sorting (position, rank) pairs of *all*
+positions would move more than ten times the text in each round, so the suffixes that are ranked are a
 content-defined sample: positions whose ``gram`` hashes below a limit
 (about one in 25).  A string belongs to the first sampled position at or
 after its start, at distance d; equal strings have it at equal d.  Ranks
@@ -17,9 +19,9 @@ unique.
 * The next round ranks the blocks' strings in full: from the first
   string's start to the last one's end.  A repeated block is done: all
   its strings occur twice.
-* What is left is cut into four blocks of a quarter of the distances, so
-  the ranked prefix grows towards ``length`` (73, 169, 193, 199 and 200
-  bytes for the default), until unique or as long as the threshold.
+* What is left is cut into twelve blocks of a twelfth of the distances,
+  so the ranked prefix grows towards ``length`` (57, 189 and 200 bytes for
+  the default), until unique or as long as the threshold.
 
 A block that is done stays as a witness only while an undecided block
 has the same middle part.  Strings without a sampled position in reach
@@ -52,11 +54,10 @@ _BASES = (0x9E3779B97F4A7C55, 0xC2B2AE3D27D4EB4D)
 
 
 def block_sizes(length: int, gram: int) -> list[int]:
-    """Distances per block, each a quarter of the last, down to one."""
-    size = 1
+    """Distances per block, each a twelfth of the last, down to one."""
     sizes = [1]
-    while (size := 2 if size == 1 else size * 4) + gram <= length:
-        sizes.append(size)
+    while sizes[-1] * 12 + gram <= length:
+        sizes.append(sizes[-1] * 12)
     return sizes[::-1]
 
 
