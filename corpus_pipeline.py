@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recruitflow.llm import minhash, mixing, packing, substring_dedup, toxicity
-from recruitflow.llm.common import read, written
+from recruitflow.llm.common import Scope, read, written
 
 OWN = ("doc_id", "text", "source")
 #: Words of a shingle in the near-dedup stage: the general rule for near copies (the 4 of op10 are that query's own).
@@ -79,13 +79,29 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs.select(*OWN), public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [
+#: What each stage's operators wrote on their way, in the order of the stages.
+SCOPES = [Scope() for _ in range(5)]
+
+
+def _scoped(place: int, stage):
+    """The stage; what the stage before it wrote on its way goes first, if that one's rows are written and read again by now."""
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if place:
+            SCOPES[place - 1].close(still=docs)
+        SCOPES[place] = Scope()
+        with SCOPES[place]:
+            return stage(spark, docs, sf_dir)
+
+    return run
+
+
+STAGES = [(name, _scoped(k, stage)) for k, (name, stage) in enumerate([
     ("toxicity", clean),
     ("near_dedup", distinct),
     ("substring_dedup", without_repeats),
     ("mixing", mixed),
     ("packing", packed),
-]
+])]
 
 #: The stages learn, draw and tokenize, which SQL cannot express; tests hold them against brute force.
 ORACLE_SQL = None
