@@ -264,13 +264,15 @@ def components(links: DataFrame) -> DataFrame:
 def partners(rows: DataFrame, most: int | None, threshold: int = THRESHOLD) -> DataFrame:
     """Pairs (cid, partner, score): the best ``most`` (None: all) of each asking member among its block of a bucket.
 
-    ``rows``: bucket, block, asks, cid, label, n, sketch, tested.  Members
+    ``rows``: bucket, block, asks, open, cid, label, n, sketch, tested and
+    bands.  Where bands are not null, a pair is named in the first bucket
+    that it shares only, and by one of two open members.  Members
     that do not ask are held, at most a block of them; asking ones stream
     past.  A partner has another label, a size that can reach the
     threshold, an estimate of at least ``LIKELY``, and is not in tested.
     """
     dealt = (rows.repartition("bucket", "block").sortWithinPartitions("bucket", "block", "asks")
-             .select("bucket", "block", "asks", "cid", "label", "n", "sketch", "tested"))
+             .select("bucket", "block", "asks", "open", "cid", "label", "n", "sketch", "tested", "bands"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, None
@@ -281,6 +283,9 @@ def partners(rows: DataFrame, most: int | None, threshold: int = THRESHOLD) -> D
             if not len(bucket):
                 continue
             sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), _U).reshape(len(cid), -1)
+            once = batch.column("bands").null_count == 0
+            every = batch.column("bands").flatten().to_numpy().reshape(len(cid), -1) if once else np.zeros((len(cid), 0), np.int64)
+            open_ = batch.column("open").to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (block[1:] != block[:-1]), [True]]))
             out = []
             for x, y in zip(cuts[:-1], cuts[1:], strict=True):
@@ -288,7 +293,7 @@ def partners(rows: DataFrame, most: int | None, threshold: int = THRESHOLD) -> D
                     now, held = (bucket[x], block[x]), None
                 take = x + int((~asks[x:y]).sum())
                 if take > x:
-                    part = cid[x:take], label[x:take], n[x:take], sketch[x:take]
+                    part = cid[x:take], label[x:take], n[x:take], sketch[x:take], every[x:take], open_[x:take]
                     held = part if held is None else tuple(np.concatenate(z) for z in zip(held, part, strict=True))
                 if held is None:  # no member of the bucket is dealt to this block
                     continue
@@ -298,6 +303,10 @@ def partners(rows: DataFrame, most: int | None, threshold: int = THRESHOLD) -> D
                         pick = pick[~np.isin(held[0][pick], tested[m].values.to_numpy())]
                     like = estimates(sketch[m], held[3][pick])
                     pick, like = pick[like >= LIKELY], like[like >= LIKELY]
+                    if once and len(pick):
+                        first = every[m][np.argmax(held[4][pick] == every[m], axis=1)] == bucket[x]
+                        first &= ~(held[5][pick] & (held[0][pick] < cid[m]))
+                        pick, like = pick[first], like[first]
                     best = np.lexsort((held[0][pick], -like))[:most]
                     out += [(int(cid[m]), int(held[0][pick[i]]), float(like[i])) for i in best]
             if out:
@@ -319,7 +328,7 @@ def _asking(members: DataFrame, labels: DataFrame | None) -> DataFrame:
                                           .otherwise(F.array(F.lit(False), F.lit(True)))))
             .withColumn("block", F.explode(F.when(F.col("asks"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
                                            .otherwise(F.array(F.pmod(F.xxhash64("cid"), F.col("blocks"))))))
-            .select("bucket", "block", "asks", "cid", "label"))
+            .select("bucket", "block", "asks", (F.col("label") != F.col("head")).alias("open"), "cid", "label"))
 
 
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
@@ -361,7 +370,8 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
         ends = (tested.select(F.col("a").alias("cid"), F.col("b").alias("other"))
                 .unionByName(tested.select(F.col("b").alias("cid"), F.col("a").alias("other")))
                 .groupBy("cid").agg(F.collect_set("other").alias("tested")))
-        asking = written(_asking(members, labels).join(classes.select("cid", "n", "sketch"), "cid").join(ends, "cid", "left"), "near-asking")
+        own = classes.select("cid", "n", "sketch", "bands" if most is None else F.lit(None).cast("array<long>").alias("bands"))
+        asking = written(_asking(members, labels).join(own, "cid").join(ends, "cid", "left"), "near-asking")
         best = partners(asking, most, threshold)
         if most is not None:
             best = best.groupBy("cid").agg(F.max_by("partner", F.struct("score", "partner")).alias("partner"))
