@@ -2,6 +2,7 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
@@ -9,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql.functions import spark_partition_id
 from tokenizers import Tokenizer
 
 from recruitflow.llm import (
@@ -350,14 +352,55 @@ def test_token_counts(documents, empty):
     assert all(r.over_limit == (r.n_tokens > 512) for r in got) and token_counts.count_tokens(empty, BYTE_BPE).count() == 0
 
 
-def test_state_maps_compose():
-    rng = random.Random(8)
+def test_state_maps_compose(monkeypatch):
+    """Maps of any chunks, composed in any order of nesting, count as the library does; the machine runs without it."""
+    rng, library = random.Random(8), Tokenizer.from_file(BYTE_BPE)
+    monkeypatch.setitem(sys.modules, "tokenizers", None)
     own = token_counts.Transducer(BYTE_BPE)
-    chars = ["a", "b", "s", "t", "'", "'", " ", " ", "\n", "1", "!", "é", "中", "\x1c", "\x85", "²", "👍", "re", "ll"]
+    chars = ["a", "b", "s", "t", "'", "'", " ", " ", "\n", "1", "!", "é", "中", "\x1c", "\x85", "²", "👍", "re", "ll", "<|endoftext|>"]
     for _ in range(1_500):
         text = "".join(rng.choice(chars) for _ in range(rng.randint(1, 40)))
         for chunk in (1, 3, 8):
-            assert own.long_text(text, chunk) == own.whole(text), (text, chunk)
+            parts = list(own.chunks(text, chunk))
+            assert "".join(parts) == text
+            maps = [own.mapped(x) for x in parts]
+            while len(maps) > 1:
+                k = rng.randrange(len(maps) - 1)
+                maps[k:k + 2] = [own.compose(*maps[k:k + 2])]
+            assert own.ended(maps[0]) == len(library.encode(text, add_special_tokens=False).ids), (text, chunk)
+
+
+def test_counter_equals_library(monkeypatch):
+    rng, library = random.Random(3), Tokenizer.from_file(BYTE_BPE)
+    chars = ["a", "aa", "the", "ing", "é", "中", "\x00", "0", "00", "-", "--", "=", "er", "xyz", "Q", "o", "on", " ", "  "]
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randint(0, 12))) for _ in range(5_000)]
+    texts += ["a" * n for n in range(1, 80)] + ["-" * n for n in range(1, 300, 7)] + ["é中" * 900, "x<|endoftext|><|endoftext|>", None]
+    want = [len(library.encode(x or "", add_special_tokens=False).ids) for x in texts]
+    assert token_counts.Transducer(BYTE_BPE).count(pa.array(texts)).tolist() == want
+    monkeypatch.setattr(token_counts, "MOST_STATES", 50)
+    monkeypatch.setattr(token_counts, "MOST_PATHS", 20)
+    assert token_counts.Transducer(BYTE_BPE).count(pa.array(texts)).tolist() == want
+
+
+def test_long_texts_are_counted_in_many_tasks(spark, documents):
+    t = Tokenizer.from_file(BYTE_BPE)
+    want = Counter((r.doc_id, len((r.text or "").encode()), len(t.encode(r.text or "", add_special_tokens=False).ids))
+                   for r in documents.collect())
+    got = token_counts.count_tokens(documents, BYTE_BPE, chunk=300).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_tokens) for r in got) == want
+    text = " ".join(f"u{i}" for i in range(30_000))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        one = spark.createDataFrame([(1, text)], "__key long, __text string")
+        tasks = token_counts.state_maps(one, BYTE_BPE, 2_000).select(spark_partition_id().alias("task"), "place").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(tasks) == -(-len(text) // 2_000) and len({r.task for r in tasks}) > 3
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError):
+        token_counts.Transducer(WORD_BPE)
 
 
 # ------------------------------------------------------------------ 10
