@@ -8,7 +8,8 @@
 ``--as-of`` (naive UTC) defaults to the job's start time, read once here
 and passed down as a parameter.  The session is the one the launcher
 provides; ``--input-gb``, the size of the sources, sets its shuffle
-partitions and the other settings of a large run.
+partitions and the other settings of a large run.  ``--publish`` leaves
+the last marts readable until the new ones are whole.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     ap.add_argument("--since", help="fixed start of the cohort log (default 2017-08-01)")
     ap.add_argument("--contract-since", help="earliest contract start of the company log (default 2016-08-01)")
     ap.add_argument("--input-gb", type=float, help="size of the sources, for the settings of a large run")
+    ap.add_argument("--publish", action="store_true",
+                    help="write each mart as a new version and switch to it when it is whole")
     ap.add_argument("--only", help="comma-separated mart names")
     a = ap.parse_args(argv)
     as_of = datetime.fromisoformat(a.as_of) if a.as_of else datetime.now(timezone.utc).replace(tzinfo=None)
@@ -46,7 +49,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     if a.input_gb:
         apply_cluster_defaults(spark, int(a.input_gb * 1e9))
     t = Tables.from_parquet(spark, a.sources)
-    return write_all(t, p, a.out, a.only.split(",") if a.only else None)
+    return write_all(t, p, a.out, a.only.split(",") if a.only else None, a.publish)
 
 
 if __name__ == "__main__":
