@@ -18,7 +18,8 @@
 
 One row per source and, per source, the number of draws pass through the
 driver.  Window partitions are blocks or lists of blocks, both bounded
-by parameters.  A hot source is split over its own blocks.
+by parameters.  A hot source is split over its own blocks; of rows equal
+in key, text and source, each is dealt by its number among them.
 
 Defined results: a null or empty text has size 0, belongs to its source
 and is taken with 0 words; a null source is a source of its own, ordered
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, written
+from .common import SPACE_CLASS, drop, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -48,9 +49,9 @@ BLOCK_WORDS = 1 << 16
 MOST_BLOCKS = 1 << 18
 SHARD_WORDS = 1 << 22
 SEED = 20_24
-#: Names of the columns that this module adds.
 #: Rows of the documents while they are mixed.
 ROW = "mix_row_number"
+#: Names of the columns that this module adds.
 ADDED = ("size", "source_size", "target", "taken", "draws", "repeat", "shard", "words", "place")
 
 
@@ -96,6 +97,23 @@ def split(counts: np.ndarray, shards: int, lo: int, hi: int, seed: int = SEED) -
     yield from walk(0, shards, np.zeros(len(counts), dtype=np.int64), counts.astype(np.int64))
 
 
+def _apart(sized: DataFrame) -> DataFrame:
+    """Rows with equal hash and source get hashes of their own, by their number among them (the first keeps its).
+
+    Numbers are counted inside the task that read the rows, from what the
+    tasks before it hold, so that no group of equal rows meets in one
+    task, and the hashes given do not depend on how rows lie in files.
+    """
+    own = sized.withColumn("__g", F.xxhash64("__h", "__source"))
+    earlier = Window.partitionBy("__g").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    later = (own.groupBy("__g", "__p").agg(F.count("*").alias("__c"))
+             .withColumn("__o", F.sum("__c").over(earlier)).where(F.col("__o").isNotNull()).select("__g", "__p", "__o"))
+    inside = F.row_number().over(Window.partitionBy("__g", "__p").orderBy("__i")) - 1
+    number = F.col("__k") + F.coalesce("__o", F.lit(0))
+    return own.withColumn("__k", inside).join(later, ["__g", "__p"], "left").withColumn(
+        "__h", F.when(number == 0, F.col("__h")).otherwise(F.xxhash64("__h", number))).drop("__g", "__p", "__i", "__k", "__o")
+
+
 def allocations(docs: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id",
                 carry: list[str] | None = None, share: float = SHARE, block_words: int = BLOCK_WORDS,
                 shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -105,9 +123,12 @@ def allocations(docs: DataFrame, source: str = "source", text: str = "text", key
     """
     spark = docs.sparkSession
     carry = [c for c in (carry if carry is not None else docs.columns) if c not in ADDED and not c.startswith("__")]
-    sized = written(docs.select(
+    read = written(docs.select(
         *carry, F.col(source).alias("__source"), n_words(text).alias("size"),
-        F.xxhash64(F.lit(SEED), F.col(key), F.col(text)).alias("__h")), "mix-sized")
+        F.xxhash64(F.lit(SEED), F.col(key), F.col(text)).alias("__h"),
+        F.spark_partition_id().alias("__p"), F.monotonically_increasing_id().alias("__i")), "mix-read")
+    sized = written(_apart(read), "mix-sized")
+    drop(read)
 
     rows = [(r[0], r[1] or 0) for r in sized.groupBy("__source").agg(F.sum("size")).collect()]
     rows.sort(key=lambda r: (r[0] is None, r[0] or ""))  # code points order as UTF-8 bytes do
