@@ -138,7 +138,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
           label: str = "toxic", sample: int = SAMPLE) -> Model:
-    """Fit on about ``sample`` labelled rows outside the held-out fold."""
+    """Fit on about ``sample`` labelled keys outside the held-out fold, one text each (that with the least hash)."""
     own = (labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__y"))
            .where(F.col("__key").isNotNull() & F.col("__y").isNotNull() & ~held_out(F.col("__key")))
            .groupBy("__key").agg(F.max("__y").alias("__y")))
@@ -147,6 +147,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     # a hash threshold, not a limit: the expected size is the bound whatever the number of labels
     few = own.where(F.pmod(F.xxhash64("__key", F.lit(11)), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
     src = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).join(F.broadcast(few), "__key")
+    # one text a label: repeated rows of a key are one row of the sample
+    src = src.groupBy("__key", "__y").agg(F.min_by("__text", F.xxhash64("__text")).alias("__text"))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches, "__text"):
