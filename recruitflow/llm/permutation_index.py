@@ -25,6 +25,9 @@ A common vector cannot crowd a block: equal vectors are one entry of its
 lists, and only the result has their rows, the least ids first, as its
 ties are ordered.  Equal footrules are ordered by least id.
 
+A score that overflows is infinite, as in double precision; one that adds
+infinities of both signs counts as the least.
+
 Defined results: vectors that are null, empty, zero, of another length
 than most, or hold null or non-finite components take no part, nor do
 rows without an id; a query's own id is never its neighbour; a repeated
@@ -50,29 +53,38 @@ BLOCK = 8_192
 QUERIES = 2_048
 
 
-def _norm2(v: Column) -> Column:
-    return F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
+def _longest(v: Column, scale: Column) -> Column:
+    """Square sum of ``v / scale``."""
+    return F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / scale) * (x / scale))
 
 
 def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """(id, v, norm2) of the vectors that take part."""
+    """(id, v, big) of the vectors that take part; ``big`` is the largest magnitude of a component."""
     v = F.col("v")
     own = rows.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-    own = own.where(F.col("id").isNotNull() & v.isNotNull() & ~F.exists(v, lambda x: x.isNull())).withColumn("norm2", _norm2(v))
-    own = own.where((F.col("norm2") > 0) & (F.col("norm2") < float("inf")) & ~F.isnan("norm2"))
+    odd = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    own = own.where(F.col("id").isNotNull() & v.isNotNull() & ~odd).withColumn(
+        "big", F.aggregate(v, F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x))))
+    own = own.where(F.col("big") > 0)
     size = own.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return own.where(F.size("v") == (size["n"] if size else -1))
 
 
 class Pivots:
-    """The fitted part of the index."""
+    """The fitted part of the index.
+
+    Distances are taken after division by the largest component of the
+    table (of a query: by its own), so that no square over- or underflows;
+    neither changes the order of a query's inner products.
+    """
 
-    def __init__(self, vectors: np.ndarray, longest2: float, depth: int = DEPTH) -> None:
-        self.longest2 = longest2
+    def __init__(self, vectors: np.ndarray, scale: float, longest2: float, depth: int = DEPTH) -> None:
+        self.scale, self.longest2 = scale, longest2
         self.depth = min(depth, len(vectors))
         self.points = self.lifted(vectors)
 
     def lifted(self, x: np.ndarray, query: bool = False) -> np.ndarray:
+        x = x / (np.abs(x).max(axis=1, keepdims=True) if query else self.scale)
         more = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.longest2 - (x * x).sum(1), 0))
         return np.column_stack([x, more])
 
@@ -89,13 +101,14 @@ def _matrix(col: pa.Array) -> np.ndarray:
 
 def fit(vectors: DataFrame, pivots: int = PIVOTS, sample: int = SAMPLE, depth: int = DEPTH) -> Pivots | None:
     """Pivots from the rows with the least hash of their id."""
-    longest2 = vectors.agg(F.max("norm2")).first()[0]
-    if longest2 is None:
+    scale = vectors.agg(F.max("big")).first()[0]
+    if scale is None:
         return None
+    longest2 = vectors.agg(F.max(_longest(F.col("v"), F.lit(scale)))).first()[0]
     few = vectors.orderBy(F.xxhash64("id"), "id", "v").limit(sample).select("v").toArrow()["v"]
     x = _matrix(few)
     _, first = np.unique(x, axis=0, return_index=True)
-    return Pivots(x[np.sort(first)[:pivots]], longest2, depth)
+    return Pivots(x[np.sort(first)[:pivots]], scale, longest2, depth)
 
 
 def build(vectors: DataFrame, pivots: Pivots) -> DataFrame:
@@ -164,7 +177,9 @@ def search(index: DataFrame, queries: DataFrame, pivots: Pivots, k: int = 20, bl
                 if take < len(best):  # ties by id: entries are ordered by their least
                     key = foot[best].astype(np.int64) * len(first) + best
                     best = best[np.argpartition(key, take - 1)[:take]]
-                score = (x[best] * q[i]).sum(axis=1)  # the same in every block, so that ties are ties
+                with np.errstate(over="ignore", invalid="ignore"):
+                    score = (x[best] * q[i]).sum(axis=1)  # the same in every block, so that ties are ties
+                score[np.isnan(score)] = -np.inf
                 by_score = np.argsort(-score, kind="stable")
                 enough = np.searchsorted(np.cumsum(free[best[by_score]]), k)
                 if enough < len(best):

@@ -126,6 +126,25 @@ def test_mixing(documents, empty):
     assert sum(r.words for r in mixed) == sum(r.taken for r in rows)
 
 
+def test_mixing_deals_equal_rows_apart(spark):
+    """A third of the rows are one row: each has a block of its own draw, however the rows lie."""
+    docs = spark.createDataFrame([(i, f"w{i} a b c", "s", i) for i in range(600)] + [(7_000, "w x y z", "s", 0)] * 300,
+                                 "doc_id long, text string, source string, other int")
+    hashed = lambda df: mixing._apart(df.select(
+        "doc_id", mixing.F.col("source").alias("__source"), mixing.F.xxhash64("doc_id", "text").alias("__h"),
+        mixing.F.spark_partition_id().alias("__p"), mixing.F.monotonically_increasing_id().alias("__i")))
+    one, other = (sorted(map(tuple, hashed(docs.repartition(n)).select("doc_id", "__h").collect())) for n in (2, 7))
+    assert one == other and len({h for _, h in one}) == len(one) == 900
+    blocks = Counter(h % 30 for _, h in one)
+    assert max(blocks.values()) <= 2 * len(one) / 30
+    how = {"block_words": 40, "share": 0.5}
+    taken = sorted((r.doc_id, r.taken) for r in mixing.allocations(docs, **how).collect())
+    assert taken == sorted((r.doc_id, r.taken) for r in mixing.allocations(docs.repartition(5), **how).collect())
+    assert abs(sum(t for _, t in taken) - 0.5 * 4 * 900) <= 1
+    of_the_copy = [t for k, t in taken if k == 7_000]
+    assert 0.25 < sum(of_the_copy) / (4 * len(of_the_copy)) < 0.75  # drawn like all others, not as one block
+
+
 # ------------------------------------------------------------------ 4
 def test_permutation_index(spark):
     rng = np.random.default_rng(1)
@@ -186,6 +205,24 @@ def test_permutation_index_copies_are_ordered_by_id(spark):
     assert by == {3: [0, 1, 2, 4, 5, 6] + [7] * 14, 7: [0, 1, 2, 3, 4, 5, 6, *range(8, 21)]}
 
 
+@pytest.mark.parametrize("size", [1e160, 1e-170])
+def test_permutation_index_keeps_vectors_of_any_magnitude(spark, size):
+    """Components whose squares over- or underflow, beside ordinary ones."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(60, 6))
+    x[::3] *= size
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = permutation_index.neighbours(df, permutation_index.F.col("id") % 20 == 0, k=5).collect()
+    assert {r.query_id for r in got} == {0, 20, 40} and len(got) == 15
+    for q in (0, 20, 40):
+        with np.errstate(over="ignore", invalid="ignore"):
+            score = (x * x[q]).sum(axis=1)
+        score[np.isnan(score)] = -np.inf
+        want = [i for i in np.lexsort((np.arange(60), -score)) if i != q][:5]
+        own = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [i for _, i, _ in own] == want and [s for _, _, s in own] == [score[i] for i in want]
+
+
 # ------------------------------------------------------------------ 5
 def test_toxicity_learns_pairs(spark, documents, empty):
     rng = random.Random(3)
@@ -212,6 +249,19 @@ def test_toxicity_learns_pairs(spark, documents, empty):
     assert toxicity.score_keys(empty, model).count() == 0
 
 
+def test_toxicity_takes_one_text_a_label(spark, monkeypatch):
+    """A document repeated 3,000 times is one row of the sample; the model is that of the distinct rows."""
+    seen = []
+    fit = toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda rows, y: seen.append(len(rows)) or fit(rows, y))
+    docs = spark.createDataFrame([(i, "fool people " * (i % 2) + f"word{i} text") for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    first = toxicity.train(docs, labels)
+    again = toxicity.train(docs.unionByName(docs.where("doc_id < 20").crossJoin(spark.range(150)).drop("id")), labels)
+    assert seen[0] == seen[1] <= 40
+    assert (first.scores(pa.array(["fool people"])) == again.scores(pa.array(["fool people"]))).all()
+
+
 # ------------------------------------------------------------------ 6
 def brute_words(texts, n):
     c = Counter(tuple(w[i:i + n]) for w in texts for i in range(len(w) - n + 1))
