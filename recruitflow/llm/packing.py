@@ -8,10 +8,11 @@
    is due at cell floor((j * T + o_s) / T_s) of T cells (o_s: a phase
    below T, so that small sources are not due together); a group of
    ``GROUP`` consecutive windows takes the next ``GROUP * WINDOW`` tokens
-   by (cell, source).  The bounds of the groups are found once, a cell
-   and a source each.  So the deficits at the start of any group are
-   known: they carry over from group to group without one waiting for
-   another.
+   by (cell, source).  A group's bound, a cell and a source, is found by
+   bisection from its number alone, in the task that needs it.  So the
+   deficits at the start of any group are known: they carry over from
+   group to group without one waiting for another, and no list of groups
+   exists anywhere.
 3. Documents are cut where their range crosses groups, and shuffled by
    group.  All groups hold the same number of tokens, whatever the skew
    of sources or lengths.
@@ -27,14 +28,13 @@ Defined results: a null or empty text is the end id alone; a null source
 is a queue of its own; repeated rows are packed once each; a null key is
 carried; an empty table gives no pieces; extra columns are ignored.  One
 row per source passes through the driver; a group holds
-``GROUP * WINDOW`` tokens (more only beyond 512 sources).
+``GROUP * WINDOW`` tokens, however many sources there are.
 """
 
 from __future__ import annotations
 
 import os
 import zlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -158,7 +158,10 @@ def tokenized(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
 
 
 class Plan:
-    """Where every group of windows begins in every source queue."""
+    """Where every group of windows begins in every source queue; each bound is found from its number alone."""
+
+    #: Bounds a task keeps.
+    MOST_BOUNDS = 4_096
 
     def __init__(self, totals: list[int], window: int = WINDOW, group: int = GROUP) -> None:
         self.totals = totals
@@ -168,31 +171,40 @@ class Plan:
         self.tokens = group * window
         #: Phases: multiples of the golden ratio
         self.phase = [((i * 0x9E3779B97F4A7C15 & (1 << 64) - 1) * self.total) >> 64 for i in range(len(totals))]
-        self.bounds = list(self._bounds())
-
-    def _bounds(self) -> Iterator[tuple[int, int]]:
-        """The (cell, source) at which each group begins."""
-        n, total = np.array(self.totals, np.int64), self.total
-        yield 0, 0
-        # tokens due before the cell at hand: place rounded up, where place * total = n * cell - phase
-        rest = -np.array(self.phase, np.int64)
-        place = np.zeros(len(n), np.int64)
-        for done in range(self.tokens, total, self.tokens):
-            rest += n * self.tokens
-            place += rest // total
-            rest %= total
-            # they differ from the cell's number by less than the number of sources
-            lo, hi = max(-len(n), -done), min(len(n), total - done)
-            while hi - lo > 1:
-                mid = (lo + hi) // 2
-                if (place - -(rest + n * mid) // total).sum() <= done:
-                    lo = mid
-                else:
-                    hi = mid
-            due = place - -(rest + n * lo) // total
-            more = done - int(due.sum())  # of the cell's own tokens, at most one a source
-            own = np.flatnonzero(place - -(rest + n * (lo + 1)) // total > due)
-            yield done + lo, int(own[more - 1]) + 1 if more else 0
+        # products of a total and a number of cells up to that of the sources have to fit
+        self.kind = np.int64 if max(totals, default=0) * (len(totals) + 2) < 1 << 62 else object
+        self.known: dict[int, tuple[int, int]] = {}
+
+    def _before(self, cell: int) -> tuple[int, np.ndarray]:
+        """Whole tokens due before ``cell``, over all sources, and what each source has beyond them (times T)."""
+        parts = [divmod(n * cell - o, self.total) for n, o in zip(self.totals, self.phase, strict=True)]
+        return sum(q for q, _ in parts), np.array([r for _, r in parts], self.kind)
+
+    def bound(self, k: int) -> tuple[int, int]:
+        """The (cell, source) at which group ``k`` begins."""
+        if k not in self.known:
+            if len(self.known) >= self.MOST_BOUNDS:
+                self.known.clear()
+            self.known[k] = self._bound(k * self.tokens)
+        return self.known[k]
+
+    def _bound(self, done: int) -> tuple[int, int]:
+        if not 0 < done < self.total:
+            return min(max(done, 0), self.total), 0
+        n = np.array(self.totals, self.kind)
+        whole, rest = self._before(done)
+        # the tokens due before a cell differ from its number by less than the number of sources
+        lo, hi = max(-len(n), -done), min(len(n), self.total - done)
+        while hi - lo > 1:
+            mid = (lo + hi) // 2
+            if whole + int((-(-(rest + n * mid) // self.total)).sum()) <= done:
+                lo = mid
+            else:
+                hi = mid
+        due = -(-(rest + n * lo) // self.total)
+        more = done - whole - int(due.sum())  # of the cell's own tokens, at most one a source
+        own = np.flatnonzero(-(-(rest + n * (lo + 1)) // self.total) > due)
+        return done + lo, int(own[more - 1]) + 1 if more else 0
 
     def due(self, s: int, cell: int) -> int:
         """Tokens of source ``s`` due before ``cell``."""
@@ -200,14 +212,18 @@ class Plan:
 
     def served(self, s: int, k: int) -> int:
         """Tokens of source ``s`` in the groups before ``k``."""
-        if k >= len(self.bounds):
-            return self.totals[s]
-        cell, end = self.bounds[k]
+        cell, end = self.bound(k)
         return self.due(s, cell + (s < end))
 
     def group_of(self, s: int, at: int) -> int:
         """The group that takes the token at ``at`` of source ``s``'s queue."""
-        return bisect_right(self.bounds, ((at * self.total + self.phase[s]) // self.totals[s], s)) - 1
+        cell = (at * self.total + self.phase[s]) // self.totals[s]
+        k = cell // self.tokens  # its group, or one beside it (or further, if groups are smaller than the sources)
+        while (cell, s) < self.bound(k):
+            k -= 1
+        while self.bound(k + 1) <= (cell, s):
+            k += 1
+        return k
 
     def fill(self, k: int, left: list[int]) -> Iterator[list[tuple[int, int]]]:
         """For each window of group ``k``: the sources and how many tokens each gives."""

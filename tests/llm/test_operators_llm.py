@@ -373,6 +373,21 @@ def test_groups_do_not_grow_with_the_sources():
             assert served[k][s] <= at < served[k + 1][s]
 
 
+def test_plan_of_any_size_holds_no_groups():
+    import pickle
+
+    small, large = packing.Plan([10_000] * 20), packing.Plan([10**13] * 19 + [7])
+    assert len(pickle.dumps(large)) < 2 * len(pickle.dumps(small))
+    groups = -(-large.total // large.tokens)
+    for k in (0, 1, groups // 3, groups - 1):
+        give = [large.served(s, k + 1) - large.served(s, k) for s in range(20)]
+        assert min(give) >= 0 and sum(give) == min(large.tokens, large.total - k * large.tokens)
+    for at in (0, 10**12 + 7, 10**13 - 1):
+        k = large.group_of(3, at)
+        assert large.served(3, k) <= at < large.served(3, k + 1)
+    assert len(large.known) < 20
+
+
 # ------------------------------------------------------------------ 8
 @pytest.mark.parametrize("length", [200, 16, 1])
 def test_suffix_dedup(documents, empty, length):
