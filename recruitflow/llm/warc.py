@@ -4,9 +4,9 @@ Writer:
 
 1. digests of all payloads; the largest page_id of each repeated payload
    is its response, the others become revisits;
-2. shard limits from an exact histogram of payload bytes over page_id,
-   refined where one cell is too heavy, so the same pages always give the
-   same shards;
+2. shard limits from exact running sums of payload bytes over the sorted
+   page_ids, so the same pages always give the same shards; a page_id (or
+   null) whose rows fill several shards is split over them by payload;
 3. one shuffle of the payloads by shard, sorted by page_id; the links of
    revisits travel in the same shuffle as small rows sorted just before
    their page, so payloads are never joined;
@@ -25,7 +25,9 @@ can be a response only if no page of equal payload has an id (then the
 first record is, and the revisits refer to null); rows with the same
 page_id and payload: one is the response, the others revisit it; a null
 url is written as a name made of the page_id; extra columns are ignored;
-an empty table gives an archive without files.
+an empty table gives an archive without files.  The driver and the writing
+tasks hold 24 bytes a shard; rows equal in page_id and payload are written
+by one task.
 """
 
 from __future__ import annotations
@@ -41,15 +43,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import drop, written
 
 ROLL_BYTES = 16 << 20
 SHARD_BYTES = 64 << 20
-#: Cells of the histogram that sets the shard limits.
-CELLS = 4_096
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -63,39 +64,40 @@ def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def shard_limits(sizes: DataFrame, shard_bytes: int = SHARD_BYTES, cells: int = CELLS) -> list[int]:
-    """First ids of the shards after the first, from exact byte sums of (id, bytes) rows.
+def shard_starts(sizes: DataFrame, shard_bytes: int = SHARD_BYTES) -> list[tuple[int, int, int]]:
+    """(first id, shard, parts) rows, by id, from (id, bytes) rows without null ids.
 
-    Each round keeps at most ``cells`` sums per range that is still too
-    heavy; a range of one id cannot be split and stays whole.
+    An id begins in the shard that the bytes before it fill up to; the ids
+    that begin in one shard stay together.  An id that reaches over
+    ``parts`` > 1 whole shards has a row of its own and may be split over
+    that many.  Byte sums run over the ids sorted by Spark, in a fixed
+    number of jobs, so that the same rows give the same shards however
+    they are partitioned; at most two rows a shard come back.
     """
-    lo, hi = sizes.agg(F.min("id"), F.max("id")).first()
-    if lo is None:
-        return []
-    done: list[tuple[int, int]] = []  # (first id, bytes) of fine ranges
-    heavy = [(lo, hi + 1)]
-    while heavy:
-        again = []
-        for a, b in heavy:
-            step = max(1, -(-(b - a) // cells))
-            cell = F.floor((F.col("id") - F.lit(a)) / F.lit(step)) if b - a < 1 << 52 else F.expr(
-                f"(cast(id as decimal(38,0)) - {a}) div {step}")
-            got = (sizes.where((F.col("id") >= a) & (F.col("id") < b)).groupBy(cell.cast("long").alias("c"))
-                   .agg(F.sum("bytes").alias("n")).collect())
-            for c, n in got:
-                at = a + c * step
-                if n > shard_bytes and step > 1:
-                    again.append((at, min(at + step, b)))
-                else:
-                    done.append((at, n))
-        heavy = again
-    limits, held = [], 0
-    for at, n in sorted(done):
-        if held and held + n > shard_bytes:
-            limits.append(at)
-            held = 0
-        held += n
-    return limits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.column("bytes").to_numpy(zero_copy_only=False)
+            ends = held + np.cumsum(n)
+            if len(n):
+                held = int(ends[-1])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("bytes"), pa.array(ends - n), pa.array(np.full(len(n), task, np.int64))],
+                ["id", "bytes", "at", "task"])
+
+    ids = sizes.groupBy("id").agg(F.sum("bytes").alias("bytes")).repartitionByRange("id").sortWithinPartitions("id")
+    held = written(ids.mapInArrow(run, "id long, bytes long, at long, task long"), "warc-sizes")
+    before = Window.partitionBy(F.lit(0)).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)  # a row a task
+    base = (held.groupBy("task").agg(F.sum("bytes").alias("n"))
+            .select("task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
+    shard, after = F.expr(f"(base + at) div {shard_bytes}"), F.expr(f"(base + at + bytes) div {shard_bytes}")
+    rows = (held.join(base, "task").select("id", shard.alias("shard"), F.greatest(after - shard, F.lit(1)).alias("parts"))
+            .groupBy("shard").agg(F.min("id").alias("first"), F.max(F.struct("parts", "id")).alias("long")).collect())
+    drop(held)
+    starts = {r["first"]: (r["first"], r["shard"], 1) for r in rows}
+    starts |= {r["long"].id: (r["long"].id, r["shard"], r["long"].parts) for r in rows if r["long"].parts > 1}
+    return sorted(starts.values())
 
 
 def _url(url: str | None, page_id: int | None) -> str:
@@ -181,19 +183,23 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, s
     links = narrow.where(F.col("bytes") >= min_bytes).select("id", "digest").join(repeated, "digest")
     # the response's own copies too: all rows of that id and payload after the first are revisits
     links = links.distinct()
-    sizes = narrow.select("id", (F.col("bytes") + 512).alias("bytes"))
-    limits = np.array(shard_limits(sizes, shard_bytes), dtype=np.int64)
+    place = F.coalesce("id", F.lit(-1 << 63))  # null ids sort first
+    sizes = narrow.select(place.alias("id"), (F.col("bytes") + 512).alias("bytes"))
+    first, shard, parts = np.array(shard_starts(sizes, shard_bytes) or [(0, 0, 1)], dtype=np.int64).T
 
     @F.pandas_udf("long")
-    def shard_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(limits, ids.to_numpy(), "right"))
+    def shard_of(ids: pd.Series, payloads: pd.Series) -> pd.Series:
+        ids = ids.to_numpy()
+        at = np.searchsorted(first, ids, "right") - 1
+        split = np.where(first[at] == ids, parts[at], 1)
+        return pd.Series(shard[at] + payloads.to_numpy() % split)
 
     both = (rows.select("id", F.sha1("payload").alias("digest"), F.lit(1).alias("kind"), "url", "payload",
                         F.lit(None).cast("long").alias("refers"))
             .unionByName(links.select("id", "digest", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"),
                                       F.lit(None).cast("binary").alias("payload"), "refers"))
-            .withColumn("shard", shard_of(F.coalesce("id", F.lit(-1 << 63)))))
-    spread = (both.repartitionById(len(limits) + 1, F.col("shard").cast("int"))  # a shard is a task
+            .withColumn("shard", shard_of(place, F.conv(F.substring("digest", 1, 8), 16, 10).cast("long"))))
+    spread = (both.repartitionById(int((shard + parts).max()), F.col("shard").cast("int"))  # a shard is a task
               .sortWithinPartitions("shard", F.col("id").asc_nulls_first(), "digest", "kind", F.col("url").asc_nulls_first()))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

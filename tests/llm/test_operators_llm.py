@@ -4,6 +4,7 @@ import random
 import re
 import sys
 import zlib
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -90,6 +91,39 @@ def test_warc_round_trip(spark):
     assert warc.read_archive(spark, bare).count() == 0
 
 
+def test_warc_shards_from_running_sums(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice([i, 7, -1 << 63]), rng.randrange(1, 900)) for i in range(0, 6_000, 3)] + [(10_001, 64)]
+    sums = Counter()
+    for i, n in rows:
+        sums[i] += n
+    want, at = {}, 0
+    for i in sorted(sums):
+        want[i] = at // 1_000, max(1, (at + sums[i]) // 1_000 - at // 1_000)
+        at += sums[i]
+    sizes = spark.createDataFrame(rows, "id long, bytes long")
+    got = warc.shard_starts(sizes.repartition(7), 1_000)
+    assert got == warc.shard_starts(sizes.coalesce(1), 1_000)  # however the rows lie
+    first = [g[0] for g in got]
+    for i, (shard, parts) in want.items():
+        g = got[bisect_right(first, i) - 1]
+        assert g[1] == shard and (parts == 1 or g == (i, shard, parts))
+    assert max(g[2] for g in got) > 100 and len(got) <= 2 * (at // 1_000 + 1)
+
+
+def test_warc_splits_a_hot_page_id(spark):
+    rows = [(5, "u", f"{i:05d}" * 40) for i in range(200)] + [(None, "n", f"{i:04d}" * 40) for i in range(200)] + [(6, "u", "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = new_folder(spark, "t")
+    files = warc.write_archive(pages, folder, shard_bytes=8_000).collect()
+    by_shard = Counter()
+    for f in files:
+        by_shard[f.shard] += f.records
+    assert len(by_shard) > 20 and max(by_shard.values()) < 60  # 401 records
+    got = warc.read_archive(spark, folder).collect()
+    assert sorted((r.page_id or -1, r.payload.decode()) for r in got) == sorted((r[0] or -1, r[2]) for r in rows)
+
+
 # ------------------------------------------------------------------ 3
 def test_fill_and_split():
     assert mixing.fill([100, 100, 100], [5, 2, 1], 450) == [200.0, 2 * 250 / 3, 250 / 3]
