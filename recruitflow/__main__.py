@@ -36,6 +36,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     ap.add_argument("--input-gb", type=float, help="size of the sources, for the settings of a large run")
     ap.add_argument("--publish", action="store_true",
                     help="write each mart as a new version and switch to it when it is whole")
+    ap.add_argument("--by-month", action="store_true",
+                    help="dated sources are partitioned by event month (sources.layout.write_by_month)")
     ap.add_argument("--only", help="comma-separated mart names")
     a = ap.parse_args(argv)
     as_of = datetime.fromisoformat(a.as_of) if a.as_of else datetime.now(timezone.utc).replace(tzinfo=None)
@@ -48,7 +50,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> li
     spark = spark or SparkSession.builder.appName("recruitflow").getOrCreate()
     if a.input_gb:
         apply_cluster_defaults(spark, int(a.input_gb * 1e9))
-    t = Tables.from_parquet(spark, a.sources)
+    t = (Tables.from_months if a.by_month else Tables.from_parquet)(spark, a.sources)
     return write_all(t, p, a.out, a.only.split(",") if a.only else None, a.publish)
 
 

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recruitflow.functions import codes, exprs
+from recruitflow.functions import codes
 from recruitflow.sources.tables import Tables
 
 
@@ -18,7 +18,7 @@ def candidate_login_days(t: Tables, since: datetime | date) -> DataFrame:
     Logins are reduced to distinct (candidate, day) first — a bot with
     millions of logins becomes a few hundred rows before any join.
     """
-    lg = (t.candidate_login_history.where(F.col("login_tm") >= exprs.ntz_bound(since))
+    lg = (t.since("candidate_login_history", "login_tm", since)
           .select(F.col("cid").alias("candidate_id"), F.to_date("login_tm").alias("act_date")).distinct())
     reg = t.candidate.select(F.col("candidate_id").alias("_reg_id"), F.to_date("ins_datetime").alias("_reg_day"))
     lg = lg.join(reg, (lg.candidate_id == reg._reg_id) & (reg._reg_day < lg.act_date), "left_semi")
@@ -30,7 +30,7 @@ def candidate_login_days(t: Tables, since: datetime | date) -> DataFrame:
 def company_login_days(t: Tables, since: datetime | date, company_type: str, owner_id: int | None = None) -> DataFrame:
     """Recruiter logins reduced to one row per (company, day) with the
     largest login id (a max() per group, partially aggregated map-side)."""
-    rll = t.recruiter_login_log.where(F.col("login_tm") >= exprs.ntz_bound(since))
+    rll = t.since("recruiter_login_log", "login_tm", since)
     r = t.recruiter.select(F.col("recruiter_id").alias("_r_id"), F.col("recruiter_company_id").alias("_r_cid"))
     rc = t.recruiter_company.where(F.col("company_type_cd") == company_type).select(F.col("recruiter_company_id"))
     if owner_id is not None:
@@ -42,5 +42,5 @@ def company_login_days(t: Tables, since: datetime | date, company_type: str, own
 
 def interest_clicks(t: Tables, since: datetime | date) -> DataFrame:
     """'Interested' clicks since ``since``."""
-    return t.recruiter_correspond_data.where((F.col("conversion_tm") >= exprs.ntz_bound(since))
-                                             & (F.col("conversion_type_cd") == codes.CONVERSION_INTERESTED))
+    return t.since("recruiter_correspond_data", "conversion_tm", since).where(
+        F.col("conversion_type_cd") == codes.CONVERSION_INTERESTED)

@@ -16,8 +16,8 @@ SAME_AS_APPLICATIONS = "same-as-applications"
 
 def scout_threads_for_routes(t: Tables, sent_since: datetime | date, company_type: str | None = None) -> DataFrame:
     """Distinct (thread, trigger, class) of scout threads sent since a bound."""
-    mt = t.message_thread.where((F.col("create_trigger_type_cd") == codes.THREAD_SCOUT)
-                                & (F.col("scout_sent_tm") >= exprs.ntz_bound(sent_since)))
+    mt = t.since("message_thread", "scout_sent_tm", sent_since).where(
+        F.col("create_trigger_type_cd") == codes.THREAD_SCOUT)
     if company_type is not None:
         mt = mt.where(F.col("company_type_cd") == company_type)
     return mt.select("message_thread_id", "create_trigger_type_cd", "scout_s_class").distinct()
@@ -39,9 +39,8 @@ def applications_with_route(t: Tables, owner_id: int, thread_since: datetime | d
     ``company_type``).  ``with_json`` keeps the progress JSON text (only the
     interview branches read it).
     """
-    cp = t.candidate_progress.where(F.col("recruiter_company_id") != owner_id)
-    if applied_since is not None:
-        cp = cp.where(F.col("ins_datetime") >= exprs.ntz_bound(applied_since))
+    cp = t.candidate_progress if applied_since is None else t.since("candidate_progress", "ins_datetime", applied_since)
+    cp = cp.where(F.col("recruiter_company_id") != owner_id)
     if join_company or company_type is not None:
         rc = t.recruiter_company.select(F.col("recruiter_company_id").alias("_rc_id"), "company_type_cd")
         if company_type is not None:
@@ -63,10 +62,8 @@ def applications_with_route(t: Tables, owner_id: int, thread_since: datetime | d
 def progress_log(t: Tables, statuses: tuple[str, ...] | str, since: datetime | date | None = None) -> DataFrame:
     """Non-deleted status-log rows with one of ``statuses`` (optionally windowed)."""
     st = (statuses,) if isinstance(statuses, str) else statuses
-    log = t.candidate_progress_log.where((F.col("del_flg") == codes.NOT_DELETED)
-                                         & F.col("candidate_progress_status_cd").isin(*st))
-    if since is not None:
-        log = log.where(F.col("ins_datetime") >= exprs.ntz_bound(since))
+    log = t.candidate_progress_log if since is None else t.since("candidate_progress_log", "ins_datetime", since)
+    log = log.where((F.col("del_flg") == codes.NOT_DELETED) & F.col("candidate_progress_status_cd").isin(*st))
     return log.select(F.col("candidate_progress_id").alias("_log_pid"), F.col("ins_datetime").alias("status_tm"))
 
 
@@ -87,10 +84,8 @@ def labelled_status_events(cp: DataFrame, t: Tables, labels: dict[str, tuple[str
     """
     codes_all = tuple(c for sts in labels.values() for c in sts)
     assert len(set(codes_all)) == len(codes_all), "status sets must be disjoint"
-    log = t.candidate_progress_log.where((F.col("del_flg") == codes.NOT_DELETED)
-                                         & F.col("candidate_progress_status_cd").isin(*codes_all))
-    if since is not None:
-        log = log.where(F.col("ins_datetime") >= exprs.ntz_bound(since))
+    log = t.candidate_progress_log if since is None else t.since("candidate_progress_log", "ins_datetime", since)
+    log = log.where((F.col("del_flg") == codes.NOT_DELETED) & F.col("candidate_progress_status_cd").isin(*codes_all))
     label = None
     for name, sts in labels.items():
         cond = F.col("candidate_progress_status_cd").isin(*sts)
@@ -115,9 +110,7 @@ def net_decisions(cp: DataFrame, t: Tables, since: datetime | date | None = None
     With ``require_parents`` the company and candidate must exist
     (semi joins: ids are unique in their entity tables).
     """
-    cr = t.candidate_replace
-    if since is not None:
-        cr = cr.where(F.col("ins_datetime") >= exprs.ntz_bound(since))
+    cr = t.candidate_replace if since is None else t.since("candidate_replace", "ins_datetime", since)
     cr = cr.select(F.col("candidate_replace_id").alias("cr_id"), F.col("candidate_progress_id").alias("cr_pid"),
                    F.col("candidate_id").alias("cr_candidate_id"), F.col("job_id").alias("cr_job_id"),
                    F.col("income").alias("cr_income"), F.col("ins_datetime").alias("cr_ins_datetime"))

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recruitflow.functions import codes, exprs
+from recruitflow.functions import codes
 from recruitflow.sources.tables import Tables
 
 
@@ -21,16 +21,14 @@ def scouts_sent(t: Tables, sent_since: datetime | date, company_type: str | None
     instant cannot multiply thread rows.  Thread rows are one per
     attached job.
     """
-    mt = t.message_thread.where((F.col("create_trigger_type_cd") == codes.THREAD_SCOUT)
-                                & (F.col("scout_sent_tm") >= exprs.ntz_bound(sent_since)))
+    mt = t.since("message_thread", "scout_sent_tm", sent_since).where(
+        F.col("create_trigger_type_cd") == codes.THREAD_SCOUT)
     if company_type is not None:
         mt = mt.where(F.col("company_type_cd") == company_type)
     if owner_id is not None:
         mt = mt.where(F.col("recruiter_company_id") != owner_id)
-    m = t.message.where(F.col("from_recruiter") == codes.FLAG_TRUE)
-    if message_since is not None:
-        m = m.where(F.col("sent_tm") >= exprs.ntz_bound(message_since))
-    m = m.select(F.col("message_thread_id").alias("_m_tid"), F.col("sent_tm").alias("_m_tm"))
+    # times are equal, so the threads' bound holds for messages too
+    m = t.since("message", "sent_tm", sent_since if message_since is None else message_since).where(F.col("from_recruiter") == codes.FLAG_TRUE).select(F.col("message_thread_id").alias("_m_tid"), F.col("sent_tm").alias("_m_tm"))
     return mt.join(m, (mt.message_thread_id == m._m_tid) & (mt.scout_sent_tm == m._m_tm), "left_semi")
 
 
@@ -40,7 +38,7 @@ def first_replies(t: Tables, since: datetime | date) -> DataFrame:
     A plain min() aggregate: partial aggregation on the map side keeps a
     thread with millions of messages from reaching one task whole.
     """
-    m = t.message.where((F.col("from_recruiter") == codes.FLAG_FALSE) & (F.col("sent_tm") >= exprs.ntz_bound(since)))
+    m = t.since("message", "sent_tm", since).where(F.col("from_recruiter") == codes.FLAG_FALSE)
     return m.groupBy(F.col("message_thread_id").alias("_rep_tid")).agg(F.min("sent_tm").alias("reply_tm"))
 
 

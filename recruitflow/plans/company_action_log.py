@@ -88,9 +88,8 @@ def first_publications(t: Tables, p: Params) -> DataFrame:
 
 def auto_scout_segments(t: Tables, p: Params) -> DataFrame:
     """Auto-scout job segments switched to sending, in the window (direct-hiring jobs)."""
-    s = t.job_segment_info.where((F.col("scout_type_cd") == codes.SEGMENT_SCOUT_TYPE)
-                                 & (F.col("job_segment_status_cd") == codes.SEGMENT_SENDING)
-                                 & (F.col("ins_datetime") >= exprs.ntz(p.local_bound())))
+    s = t.since("job_segment_info", "ins_datetime", p.local_bound()).where(
+        (F.col("scout_type_cd") == codes.SEGMENT_SCOUT_TYPE) & (F.col("job_segment_status_cd") == codes.SEGMENT_SENDING))
     j = (s.join(t.job.select("job_id", "recruiter_company_id"), "job_id")
          .join(_crs_companies(t), F.col("recruiter_company_id") == F.col("_crs"), "left_semi"))
     return to_schema(j.select(F.col("ins_datetime").alias("act_date"), F.col("job_segment_id").alias("act_id"),
@@ -115,7 +114,7 @@ def scout_mails(t: Tables, p: Params) -> DataFrame:
 
 def footprints(t: Tables, p: Params) -> DataFrame:
     """Footprints on direct-hiring jobs in the window; company from the footprint row."""
-    f = t.footprint.where(F.col("upd_datetime") >= exprs.ntz(p.local_bound()))
+    f = t.since("footprint", "upd_datetime", p.local_bound())
     jobs = t.job.select(F.col("job_id").alias("_j_id"), F.col("recruiter_company_id").alias("_j_cid")).join(
         _crs_companies(t), F.col("_j_cid") == F.col("_crs"), "left_semi")
     # inner join: a job id repeated in ``job`` would repeat the footprint

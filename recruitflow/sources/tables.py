@@ -8,10 +8,14 @@ inference, so column pruning and filter pushdown reach the scan).
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recruitflow.functions import exprs
+
 B, S, TS, D, I = T.LongType(), T.StringType(), T.TimestampNTZType(), T.DateType(), T.IntegerType()
 
 
@@ -80,14 +84,36 @@ SOURCE_SCHEMAS: dict[str, T.StructType] = {
 }
 
 
+#: Event time of the sources that grow by the day: what reports window on, and what a layout by month follows.
+EVENT_TIMES: dict[str, str] = {
+    "candidate_login_history": "login_tm",
+    "candidate_progress": "ins_datetime",
+    "candidate_progress_log": "ins_datetime",
+    "candidate_replace": "ins_datetime",
+    "footprint": "upd_datetime",
+    "job_segment_info": "ins_datetime",
+    "message": "sent_tm",
+    "message_thread": "scout_sent_tm",
+    "recruiter_correspond_data": "conversion_tm",
+    "recruiter_login_log": "login_tm",
+}
+#: Partition column of that layout: the first day of the event's month.
+EVENT_MONTH = "event_month"
+
+
 class Tables(Mapping[str, DataFrame]):
-    """Read-only mapping of source name -> DataFrame (attribute access too)."""
+    """Read-only mapping of source name -> DataFrame (attribute access too).
+
+    ``by_month``: sources with an additional ``EVENT_MONTH`` column that
+    they are partitioned by; as members of the mapping they come without it.
+    """
 
-    def __init__(self, frames: Mapping[str, DataFrame]):
-        missing = set(SOURCE_SCHEMAS) - set(frames)
+    def __init__(self, frames: Mapping[str, DataFrame], by_month: Mapping[str, DataFrame] | None = None):
+        self._by_month = dict(by_month or {})
+        self._frames = {**frames, **{n: df.drop(EVENT_MONTH) for n, df in self._by_month.items()}}
+        missing = set(SOURCE_SCHEMAS) - set(self._frames)
         if missing:
             raise KeyError(f"missing source tables: {sorted(missing)}")
-        self._frames = dict(frames)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self._frames[name]
@@ -104,11 +130,33 @@ class Tables(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._frames)
 
+    def since(self, name: str, column: str, bound: datetime | date) -> DataFrame:
+        """Rows of a source with ``column`` at or after ``bound``.
+
+        Spark derives no partition predicate from a filter on a timestamp;
+        where the source is laid out by the month of ``column``, the bound's
+        month prunes its partitions too.
+        """
+        rows = self._frames[name]
+        if name in self._by_month and EVENT_TIMES[name] == column:
+            month = date(bound.year, bound.month, 1)
+            rows = self._by_month[name].where(F.col(EVENT_MONTH) >= F.lit(month)).drop(EVENT_MONTH)
+        return rows.where(F.col(column) >= exprs.ntz_bound(bound))
+
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str) -> "Tables":
         """One Parquet dataset per table under ``root/<name>``, declared schema."""
         return cls({n: spark.read.schema(s).parquet(f"{root.rstrip('/')}/{n}") for n, s in SOURCE_SCHEMAS.items()})
 
+    @classmethod
+    def from_months(cls, spark: SparkSession, root: str) -> "Tables":
+        """As ``from_parquet``, the sources of ``EVENT_TIMES`` partitioned by month (``layout.write_by_month``)."""
+        month = T.StructField(EVENT_MONTH, D)
+        read = {n: spark.read.schema(T.StructType([*s.fields, month]) if n in EVENT_TIMES else s)
+                .parquet(f"{root.rstrip('/')}/{n}") for n, s in SOURCE_SCHEMAS.items()}
+        return cls({n: df for n, df in read.items() if n not in EVENT_TIMES},
+                   {n: df for n, df in read.items() if n in EVENT_TIMES})
+
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str | None = None) -> "Tables":
         """Tables of the session catalog (optionally in ``database``), cast to the declared types."""
