@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _BYTE, covered, mix64, own_windows, text_bytes, window_hashes
+from .common import _BYTE, _KEEP, covered, mix64, text_bytes
 from .repeats import ASKED, REPEATED, in_rounds
 
 LENGTH = 200
@@ -51,6 +51,9 @@ LENGTH = 200
 CHUNK_BYTES = 2 << 20
 _U = np.uint64
 _BASES = (0x9E3779B97F4A7C55, 0xC2B2AE3D27D4EB4D)
+#: Positions hashed in one numpy step, and factors of the words of a sampled gram.
+_RUN = 1 << 15
+_SCALE = mix64(np.arange(1, 65, dtype=_U) * _U(0x9E3779B97F4A7C15)) | _U(1)
 
 
 def block_sizes(length: int, gram: int) -> list[int]:
@@ -77,20 +80,25 @@ def _scale(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Prefixes:
-    """Names of any byte range of a chunk."""
-
-    def __init__(self, items: np.ndarray) -> None:
-        n = max(len(items) + 1, 3 << 20)
-        self.sums, self.back = [], []
-        for which in range(2):
-            up, down = _scale(which, n)
-            sums = np.zeros(len(items) + 1, dtype=_U)
-            np.cumsum(items * up[:len(items)], out=sums[1:])
-            self.sums.append(sums)
-            self.back.append(down)
+    """Names of any byte range of a chunk; a base's sums are made when first asked for."""
+
+    def __init__(self, data: np.ndarray) -> None:
+        self.data = data
+        self.made: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _sums(self, which: int) -> tuple[np.ndarray, np.ndarray]:
+        if which not in self.made:
+            n = len(self.data)
+            up, down = _scale(which, max(n + 1, 3 << 20))
+            sums = np.zeros(n + 1, dtype=_U)
+            np.multiply(_BYTE[self.data], up[:n], out=sums[1:])
+            np.cumsum(sums, out=sums)
+            self.made[which] = sums, down
+        return self.made[which]
 
     def name(self, a: np.ndarray, b: np.ndarray, tag: np.ndarray | int = 0, which: int = 0) -> np.ndarray:
-        raw = (self.sums[which][b] - self.sums[which][a]) * self.back[which][a]
+        sums, back = self._sums(which)
+        raw = (sums[b] - sums[a]) * back[a]
         return mix64(raw + (b - a).astype(_U) * _U(0x9FB21C651E98DF25) + np.asarray(tag).astype(_U) * _U(0xD6E8FEB86659FD93))
 
 
@@ -98,33 +106,63 @@ def _short(names: np.ndarray) -> np.ndarray:
     return (names >> _U(32)).astype(np.uint32)
 
 
+def sampled(data: np.ndarray, offs: np.ndarray, gram: int, one_in: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions whose ``gram`` bytes, inside one text, hash below a limit, and their texts.
+
+    The hash only deals positions, no names come of it: eight bytes at a
+    time are scaled and added, and the sum is mixed once.
+    """
+    n = len(data) - gram + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    words = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    places = [*range(0, gram - 8, 8), max(0, gram - 8)]
+    limit = _U(((1 << 64) - 1) // one_in)
+    at = []
+    for lo in range(0, n, _RUN):
+        hi = min(lo + _RUN, n)
+        h = np.full(hi - lo, _BASES[1], dtype=_U)
+        for k, place in enumerate(places):
+            word = words[lo + place:hi + place]
+            h += (word if gram >= 8 else word & _KEEP[gram]) * _SCALE[k % len(_SCALE)]
+        h ^= h >> _U(32)
+        h *= _U(0x94D049BB133111EB)
+        h ^= h >> _U(29)
+        h *= _U(0xBF58476D1CE4E5B9)
+        at.append(np.flatnonzero(h < limit) + lo)
+    found = np.concatenate(at)
+    text = np.searchsorted(offs, found, "right") - 1
+    own = found + gram <= offs[1:][text]
+    return found[own], text[own]
+
+
+def left_out(offs: np.ndarray, length: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Starts of strings of ``length`` bytes in one text that lie in none of the ranges ``lo..hi`` (apart, each in one text)."""
+    long = np.diff(offs) >= length
+    begin, to = np.sort(np.append(offs[:-1][long], hi + 1)), np.sort(np.append(lo, offs[1:][long] - length + 1))
+    k = to - begin
+    return np.repeat(begin - np.cumsum(k) + k, k) + np.arange(int(k.sum()))
+
+
 def rounds_of(length: int) -> int:
     return 2 * (len(block_sizes(length, max(1, length // 8))) - 1) + 1
 
 
 def repeated_strings(data: np.ndarray, offs: np.ndarray, length: int = LENGTH) -> Generator:
     """Coroutine over one chunk; returns the starts of all strings of ``length`` bytes that are repeated."""
-    n, gram = len(data), max(1, length // 8)
+    gram = max(1, length // 8)
     sizes = block_sizes(length, gram)
     span = sizes[0]
-    items = _BYTE[data]
-    hashed = window_hashes(items, gram)
-    at = np.flatnonzero((hashed < _U(((1 << 64) - 1) // max(1, span // 5))) & own_windows(offs, gram, len(hashed)))
-    names = Prefixes(items)
-    del items, hashed
-    text = np.searchsorted(offs, at, "right") - 1
+    at, text = sampled(data, offs, gram, max(1, span // 5))
+    names = Prefixes(data)
     begin, end = offs[:-1][text], offs[1:][text]
     before = np.append(-1, at[:-1]) if len(at) else at
     lo = np.maximum(np.maximum(np.maximum(before + 1, begin), at - span + 1), 0)
     hi = np.minimum(at, end - length)
     ok = hi >= lo
     s, e0, e1 = at[ok], (at - hi)[ok], (at - lo)[ok]
-    whole = np.flatnonzero(own_windows(offs, length, max(0, n - length + 1)))
-    # strings without a sampled position in reach
-    reach = np.zeros(n + 1, np.int32)
-    reach[s - e1] += 1
-    np.subtract.at(reach, s - e0 + 1, 1)
-    rest = whole[np.cumsum(reach)[whole] == 0]
+    reached = lo[ok], hi[ok]
     d0 = np.zeros(len(s), np.int64)
     open_ = np.ones(len(s), bool)
     found: list[np.ndarray] = []
@@ -152,6 +190,7 @@ def repeated_strings(data: np.ndarray, offs: np.ndarray, length: int = LENGTH) -
             ok = p0 <= p1
             parts.append((s[ok], c[ok], p0[ok], p1[ok], open_[ok]))
         s, d0, e0, e1, open_ = (np.concatenate(x) for x in zip(*parts, strict=True))
+    rest = left_out(offs, length, *reached)  # strings without a sampled position in reach
     one = np.concatenate([s - e0, rest])
     ask = np.concatenate([open_, np.ones(len(rest), bool)])
     got = yield names.name(one, one + length), _short(names.name(one, one + length, 0, 1)), ask
