@@ -23,6 +23,19 @@ def scout_threads_for_routes(t: Tables, sent_since: datetime | date, company_typ
     return mt.select("message_thread_id", "create_trigger_type_cd", "scout_s_class").distinct()
 
 
+def thread_classes(cpmi: DataFrame, threads: DataFrame) -> DataFrame:
+    """(application, class of its thread) for every message-info row; NULL where the thread is unknown.
+
+    Looked up before the applications are joined: most applications have
+    no message info, and would meet in one task under a NULL thread id.
+    Message-info rows without a thread id are kept beside the lookup for
+    the same reason.
+    """
+    known = cpmi.where(F.col("_mi_tid").isNotNull()).join(threads, F.col("_mi_tid") == F.col("_th_tid"), "left")
+    none = cpmi.where(F.col("_mi_tid").isNull()).withColumn("_th_class", F.lit(None).cast("string"))
+    return known.select("_mi_pid", "_th_class").unionByName(none.select("_mi_pid", "_th_class"))
+
+
 def applications_with_route(t: Tables, owner_id: int, thread_since: datetime | date, numbered: bool = True,
                             company_type: str | None = None, join_company: bool = False,
                             applied_since: datetime | date | None = None,
@@ -51,8 +64,8 @@ def applications_with_route(t: Tables, owner_id: int, thread_since: datetime | d
     tct = company_type if thread_company_type == SAME_AS_APPLICATIONS else thread_company_type
     threads = scout_threads_for_routes(t, thread_since, tct).select(
         F.col("message_thread_id").alias("_th_tid"), F.col("scout_s_class").alias("_th_class"))
-    j = (cp.join(cpmi, cp.candidate_progress_id == cpmi._mi_pid, "left")
-         .join(threads, F.col("_mi_tid") == F.col("_th_tid"), "left"))
+    routes = thread_classes(cpmi, threads)
+    j = cp.join(routes, cp.candidate_progress_id == routes._mi_pid, "left")
     keep = ["ins_datetime", "candidate_progress_id", "apply_date", "candidate_id", "recruiter_company_id", "job_id"]
     if with_json:
         keep.append("candidate_progress_data_json")

@@ -144,6 +144,31 @@ def test_route_lookup_window_and_fanout(tiny):
         [(1, "1_興味があるPS"), (1, "2_その他PS"), (2, "Other")]
 
 
+def test_applications_without_a_thread_do_not_meet_in_one_task(spark, tiny):
+    """No message info, or one without a thread id: such rows have no key to be dealt by, and are most of the table."""
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+    n = 2_000
+    t = tiny(candidate_progress=[(i, 7, 5, 100, TS(2018, 1, 1), D(2018, 1, 1), "PSC" if i % 4 == 0 else "APL", None)
+                                 for i in range(n)],
+             candidate_progress_message_info=[(i, None if i % 8 else i + 1) for i in range(0, n, 4)] + [(0, None)],
+             message_thread=[(i + 1, 7, 5, 100, "CRS", "PSC", "FL", TS(2018, 1, 1), None) for i in range(0, n, 16)])
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        cp = applications.applications_with_route(t, 1, TS(2017, 8, 1))
+        tasks = Counter(r[0] for r in cp.select(F.spark_partition_id()).collect())
+        labels = Counter(r.route_info for r in cp.collect())
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(tasks) == 8 and max(tasks.values()) < n / 4
+    # application 0 has two message-info rows; threads of every 16th application are known
+    assert sum(labels.values()) == n + 1 and labels["1_興味があるPS"] == 125 and labels["Other"] == 376
+
+
 def test_company_login_days_max_id(tiny):
     t = tiny(recruiter=[(1, 5), (2, 5), (3, 6)], recruiter_company=companies(5) + companies(6, ctype="ESS"),
              recruiter_login_log=[(10, 1, TS(2018, 1, 1, 9)), (11, 2, TS(2018, 1, 1, 10)), (12, 3, TS(2018, 1, 1)),
