@@ -87,14 +87,9 @@ def status_events(cp: DataFrame, t: Tables, statuses: tuple[str, ...] | str,
     return cp.join(log, cp.candidate_progress_id == log._log_pid).drop("_log_pid")
 
 
-def labelled_status_events(cp: DataFrame, t: Tables, labels: dict[str, tuple[str, ...]],
-                           since: datetime | date | None = None) -> DataFrame:
-    """Applications joined once to their status changes for several disjoint
-    status sets; ``status_label`` names the set each change belongs to.
-
-    One scan and one join of the (large) status log serve every labelled
-    branch, instead of one per branch.
-    """
+def labelled_progress_log(t: Tables, labels: dict[str, tuple[str, ...]],
+                          since: datetime | date | None = None) -> DataFrame:
+    """Non-deleted status-log rows of several disjoint status sets; ``status_label`` names a row's set."""
     codes_all = tuple(c for sts in labels.values() for c in sts)
     assert len(set(codes_all)) == len(codes_all), "status sets must be disjoint"
     log = t.candidate_progress_log if since is None else t.since("candidate_progress_log", "ins_datetime", since)
@@ -103,8 +98,19 @@ def labelled_status_events(cp: DataFrame, t: Tables, labels: dict[str, tuple[str
     for name, sts in labels.items():
         cond = F.col("candidate_progress_status_cd").isin(*sts)
         label = F.when(cond, F.lit(name)) if label is None else label.when(cond, F.lit(name))
-    log = log.select(F.col("candidate_progress_id").alias("_log_pid"), F.col("ins_datetime").alias("status_tm"),
-                     label.alias("status_label"))
+    return log.select(F.col("candidate_progress_id").alias("_log_pid"), F.col("ins_datetime").alias("status_tm"),
+                      label.alias("status_label"))
+
+
+def labelled_status_events(cp: DataFrame, t: Tables, labels: dict[str, tuple[str, ...]],
+                           since: datetime | date | None = None) -> DataFrame:
+    """Applications joined once to their status changes for several disjoint
+    status sets; ``status_label`` names the set each change belongs to.
+
+    One scan and one join of the (large) status log serve every labelled
+    branch, instead of one per branch.
+    """
+    log = labelled_progress_log(t, labels, since)
     return cp.join(log, cp.candidate_progress_id == log._log_pid).drop("_log_pid")
 
 
@@ -113,22 +119,27 @@ def cancelled_progress(t: Tables) -> DataFrame:
     return progress_log(t, codes.STATUS_HIRE_CANCELLED).select("_log_pid")
 
 
+def standing_decisions(t: Tables, since: datetime | date | None = None) -> DataFrame:
+    """Hire decisions (``cr_*``) minus those cancelled before joining: an anti
+    join on the progress id (a correlated NOT EXISTS)."""
+    cr = t.candidate_replace if since is None else t.since("candidate_replace", "ins_datetime", since)
+    cr = cr.select(F.col("candidate_replace_id").alias("cr_id"), F.col("candidate_progress_id").alias("cr_pid"),
+                   F.col("candidate_id").alias("cr_candidate_id"), F.col("job_id").alias("cr_job_id"),
+                   F.col("income").alias("cr_income"), F.col("ins_datetime").alias("cr_ins_datetime"))
+    cancelled = cancelled_progress(t)
+    return cr.join(cancelled, cr.cr_pid == cancelled._log_pid, "left_anti")
+
+
 def net_decisions(cp: DataFrame, t: Tables, since: datetime | date | None = None,
                   require_parents: bool = False) -> DataFrame:
     """Hire decisions minus those cancelled before joining.
 
     Returns the replace row (``cr_*``) joined with its application.  The
-    cancellation test is an anti join on the progress id (a correlated
-    NOT EXISTS), applied to the decisions before the join with ``cp``.
+    cancelled ones are left out before the join with ``cp``.
     With ``require_parents`` the company and candidate must exist
     (semi joins: ids are unique in their entity tables).
     """
-    cr = t.candidate_replace if since is None else t.since("candidate_replace", "ins_datetime", since)
-    cr = cr.select(F.col("candidate_replace_id").alias("cr_id"), F.col("candidate_progress_id").alias("cr_pid"),
-                   F.col("candidate_id").alias("cr_candidate_id"), F.col("job_id").alias("cr_job_id"),
-                   F.col("income").alias("cr_income"), F.col("ins_datetime").alias("cr_ins_datetime"))
-    cancelled = cancelled_progress(t)
-    cr = cr.join(cancelled, cr.cr_pid == cancelled._log_pid, "left_anti")
+    cr = standing_decisions(t, since)
     j = cr.join(cp, cr.cr_pid == cp.candidate_progress_id)
     if require_parents:
         rc = t.recruiter_company.select(F.col("recruiter_company_id").alias("_p_cid"))

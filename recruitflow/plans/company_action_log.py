@@ -37,6 +37,8 @@ CONTRACT_COLUMNS = ["b_contract_id", "b_company_name", "b_company_type", "b_comp
                     "b_contract_end_date", "b_recent_contract"]
 ACT = codes.M4_ACT
 CRS = codes.COMPANY_DIRECT
+#: Marks an application's row that meets its log (no action by itself).
+MEETS_LOG = "log"
 
 
 def ranked_contracts(t: Tables, p: Params) -> DataFrame:
@@ -173,6 +175,47 @@ def decisions(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
                               F.col("cr_income").alias("replace_income")), ACTION_SCHEMA, act_type=ACT["decision"])
 
 
+def application_actions(cp: DataFrame, t: Tables, p: Params) -> DataFrame:
+    """``applied``, ``status_branches``, ``first_interviews`` and ``decisions`` from one pass over the applications.
+
+    As branches of their own each would build the applications, with
+    company and route, anew.  An application is repeated for what it says
+    itself (applied, interviewed) and once to meet its log: status changes
+    and decisions, united before the join.
+    """
+    iv = exprs.interview_set_date("candidate_progress_data_json", p.tz)
+    lo = p.local_bound()
+
+    def own(cond, label, at):
+        return F.when(cond, F.struct(F.lit(label).alias("act_type"), at.cast("timestamp_ntz").alias("act_date")))
+
+    rows = F.array_compact(F.array(
+        own(F.col("ins_datetime") >= exprs.ntz(lo), ACT["apply"], F.col("ins_datetime")),
+        own(exprs.has_interview_set("candidate_progress_data_json") & (iv >= F.lit(lo.date())), ACT["interview"], iv),
+        own(F.lit(True), MEETS_LOG, F.lit(None))))
+    e = cp.select("candidate_progress_id", "candidate_id", "recruiter_company_id", "job_id", "route_info",
+                  F.explode(rows).alias("_own"))
+    log = applications.labelled_progress_log(
+        t, {ACT["hs"]: codes.STATUS_HS_COMPANY, ACT["offer"]: (codes.STATUS_OFFER,)}, lo)
+    log = log.select("_log_pid", F.col("status_label").alias("_type"), F.col("status_tm").alias("_tm"),
+                     F.lit(None).cast("bigint").alias("_id"), F.lit(None).cast("bigint").alias("_income"))
+    log = log.unionByName(applications.standing_decisions(t, since=lo).select(
+        F.col("cr_pid").alias("_log_pid"), F.lit(ACT["decision"]).alias("_type"), F.col("cr_ins_datetime").alias("_tm"),
+        F.col("cr_id").alias("_id"), F.col("cr_income").alias("_income")))
+    meets = F.col("_own.act_type") == MEETS_LOG
+    j = e.join(log, (e.candidate_progress_id == log._log_pid) & meets, "left").where(
+        ~meets | F.col("_log_pid").isNotNull())
+    # a decision's candidate must exist; its company does, by the join with companies that cp is made of
+    ids = t.candidate.select(F.col("candidate_id").alias("_p_candidate")).distinct()
+    decided = F.coalesce(F.col("_type") == ACT["decision"], F.lit(False))
+    j = j.join(ids, j.candidate_id == ids._p_candidate, "left").where(~decided | F.col("_p_candidate").isNotNull())
+    return to_schema(j.select(
+        F.when(meets, F.col("_tm")).otherwise(F.col("_own.act_date")).alias("act_date"),
+        F.when(decided, F.col("_id")).otherwise(F.col("candidate_progress_id")).alias("act_id"),
+        F.when(meets, F.col("_type")).otherwise(F.col("_own.act_type")).alias("act_type"),
+        "recruiter_company_id", "job_id", "route_info", F.col("_income").alias("replace_income")), ACTION_SCHEMA)
+
+
 def company_actions(t: Tables, p: Params) -> DataFrame:
     """The unioned branches before the contract merge."""
     cp = crs_applications(t, p)
@@ -184,10 +227,7 @@ def company_actions(t: Tables, p: Params) -> DataFrame:
         scout_mails(t, p),
         footprints(t, p),
         interest_clicks(t, p),
-        applied(cp, p),
-        status_branches(cp, t, p),
-        first_interviews(cp, p),
-        decisions(cp, t, p),
+        application_actions(cp, t, p),
     ])
 
 

@@ -207,3 +207,32 @@ def test_job_info_golden(tiny):
         101: (None, None, None, "job ring", None, None, "client co", None, "ESS", "agent6"),
         103: (IA, IA, None, None, "200万円-300万円", Decimal("2500000.000000"), "co5", "Tokyo", "CRS", "co5"),
     }
+
+
+def test_application_actions_equal_their_branches(tiny):
+    """One pass over the applications gives the rows of four branches, repeated and missing keys included."""
+    from recruitflow.plans import company_action_log as m4
+    from recruitflow.operators.logs import union_log
+    late, iv = TS(2018, 6, 1, 3), '{"firstInterviewSetTime": %d}' % (1_530_000_000_000)
+    t = tiny(
+        recruiter_company=[(5, "a", "CRS", "13", "IT"), (6, "b", "ESS", "13", "IT"), (1, "own", "CRS", "13", "IT")],
+        candidate=[(7, None, None, "ACT", "M", None, "13"), (7, None, None, "ACT", "M", None, "13")],
+        candidate_progress=[(1, 7, 5, 100, late, None, "PSC", iv), (1, 7, 5, 101, late, None, "APL", None),
+                            (2, 8, 5, 100, TS(2010, 1, 1), None, "APL", iv), (3, None, 5, None, late, None, None, iv),
+                            (None, 7, 5, 100, late, None, "APL", '{"firstInterviewSetTime": ""}'),
+                            (4, 7, 6, 100, late, None, "APL", iv), (5, 7, 1, 100, late, None, "APL", iv),
+                            (6, 7, 5, 100, None, None, "APL", '{"firstInterviewSetTime": "x"}'),
+                            (7, 7, 5, 100, TS(2010, 1, 1), None, "APL", None)],
+        candidate_progress_message_info=[(1, 50), (1, None)],
+        message_thread=[(50, 7, 5, 100, "CRS", "PSC", "FL", late, None)],
+        candidate_progress_log=[(i, late, s, "N") for i in (1, 2, 3, 6, 7, None) for s in ("ITV__", "OFFER", "OFFER")]
+        + [(7, late, "HIRNG", "N"), (6, late, "OFFER", "Y"), (6, TS(2010, 1, 1), "OFFER", "N"), (6, None, "OFFER", "N")],
+        candidate_replace=[(10 + (i or 0), i, 7, 100, 500 + (i or 0), late) for i in (1, 1, 2, 3, 6, 7, None)]
+        + [(90, 6, 7, 100, None, TS(2010, 1, 1)), (None, 6, 7, 100, None, late)])
+    cp = m4.crs_applications(t, P)
+    apart = union_log([m4.applied(cp, P), m4.status_branches(cp, t, P), m4.first_interviews(cp, P), m4.decisions(cp, t, P)])
+    got, want = (sorted(map(str, df.collect())) for df in (m4.application_actions(cp, t, P), apart))
+    assert got == want and {r.act_type for r in apart.collect()} == {m4.ACT[k] for k in ("apply", "hs", "offer", "interview", "decision")}
+    plan = m4.company_actions(t, P)._jdf.queryExecution().optimizedPlan().toString()
+    # the route of an application is looked up once, not once a branch
+    assert plan.count("HSC") == 1
